@@ -1,0 +1,158 @@
+"""One surviving value per field of each group of duplicate rows, by token consensus.
+
+Per group and field the different values are put in order of trust and aligned one
+after the other, token by token (progressive alignment).  Each column of the alignment
+is voted on with the values' weights; the winning tokens are the consensus, and the
+existing value closest to it survives, of equally close ones the more trusted.
+
+Weights: ``"first"`` halves the weight from one value to the next, so that a value
+outweighs all later ones together and missing fields are filled from the best row that
+has them; ``"vote"`` weighs a value by its rows, each by 1 / (1 + rank).
+
+Scale: only keys that occur twice or more are joined back; equal values of a group are
+combined before they move, and of a group's different values only the first ``most``
+are aligned.  Under "first" this is exact: what follows weighs less than half of the
+last one aligned.  Under "vote" the rest still vote for the token in each place that
+their own text has in the column it aligns with; they are added in further blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+GAP = ""
+
+
+def tokens(text: str) -> list[str]:
+    import re
+
+    return re.findall(r"\d+|[^\W\d_]+|[^\d\W]|\W|_", text)
+
+
+def _align(profile: list[dict], seq: list[str], weight: float, total: float) -> list[dict]:
+    """The profile (token -> weight per column) with one more sequence aligned to it."""
+    n, m = len(profile), len(seq)
+    if not n:
+        return [{t: weight, **({GAP: total} if total else {})} for t in seq]
+    score = [[0.0] * (m + 1) for _ in range(n + 1)]
+    move = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(1, n + 1):
+        score[i][0], move[i][0] = score[i - 1][0] - 1 + profile[i - 1].get(GAP, 0) / total, 1
+    for j in range(1, m + 1):
+        score[0][j], move[0][j] = -float(j), 2
+    for i in range(1, n + 1):
+        col, up, row, mv = profile[i - 1], score[i - 1], score[i], move[i]
+        skip = -1 + col.get(GAP, 0) / total
+        for j in range(1, m + 1):
+            best, k = up[j - 1] + 2 * col.get(seq[j - 1], 0) / total - 0.5, 0
+            if up[j] + skip > best:
+                best, k = up[j] + skip, 1
+            if row[j - 1] - 1 > best:
+                best, k = row[j - 1] - 1, 2
+            row[j], mv[j] = best, k
+    out, i, j = [], n, m
+    while i or j:
+        k = move[i][j]
+        if k == 2:
+            j -= 1
+            out.append({seq[j]: weight, GAP: total})
+            continue
+        i -= 1
+        if k == 0:
+            j -= 1
+        token = seq[j] if k == 0 else GAP
+        col = dict(profile[i])
+        col[token] = col.get(token, 0) + weight
+        out.append(col)
+    return out[::-1]
+
+
+def _distance(a: list[str], b: list[str]) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def survivor(values: Sequence[str], weights: Sequence[float]) -> int:
+    """Index of the value closest to the weighted token consensus; values in order of trust."""
+    seqs = [tokens(v) for v in values]
+    profile: list[dict] = []
+    total = 0.0
+    for s, w in zip(seqs, weights):
+        profile = _align(profile, s, w, total)
+        total += w
+    voted = [max(col, key=col.get) for col in profile]  # of equal weights the earlier value's token
+    consensus = [t for t in voted if t != GAP]
+    away = [0 if s == consensus else _distance(s, consensus) for s in seqs]
+    return away.index(min(away))
+
+
+def filled(c: Column, kind: str) -> Column:
+    """The value as text, null where it is missing: null, NaN or blank."""
+    if kind in ("double", "float"):
+        return F.when(~F.isnan(c), c.cast("string"))
+    return F.when(F.trim(c.cast("string")) != "", c.cast("string"))
+
+
+def duplicates(rows: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    """rows whose key occurs twice or more, with the group's smallest row id as ``_group``. Null keys are no group."""
+    rows = rows.dropna(subset=keys)
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_group")).filter("_n > 1").drop("_n")
+    return rows.join(twice, keys)
+
+
+def representatives(
+    rows: DataFrame,
+    keys: list[str],
+    row_id: str,
+    order: list[Column],
+    fields: list[str],
+    weights: str = "first",
+    most: int = 16,
+) -> DataFrame:
+    """rows -> (group, field, row_id, value, values): the surviving value of each field.
+
+    ``order``: bigint columns, the best row has the smallest; ties go to the smaller ``row_id``.
+    A field that no row of the group has filled gives no row.  ``values`` counts the different
+    ones.  Under "vote" the weight of values after the first ``most`` goes to the closest
+    of these (the one they agree with in most leading characters is not searched: to the first).
+    """
+    kinds = dict(rows.dtypes)
+    rank = F.struct(*[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).cast("long").alias("id"))
+    dup = duplicates(rows.select(*keys, row_id, rank.alias("_rank"), *[f for f in fields if f not in keys]), keys, row_id)
+    long = dup.select(
+        "_group", "_rank", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), filled(F.col(f), kinds[f]).alias("value")) for f in fields])).alias("x")
+    ).select("_group", "_rank", "x.field", "x.value")
+    weigh = F.sum(F.lit(1.0) / (1 + F.greatest(F.lit(0).cast("long"), F.col("_rank.o0"))))
+    distinct = (
+        long.filter(F.col("value").isNotNull())
+        .groupBy("_group", "field", "value")
+        .agg(F.min("_rank").alias("_rank"), weigh.alias("_w"))
+    )
+    per = Window.partitionBy("_group", "field")
+    ranked = distinct.withColumn("_k", F.row_number().over(per.orderBy("_rank")))
+    if weights == "first":
+        top = ranked.filter(F.col("_k") <= most).withColumn("_w", F.pow(F.lit(0.5), F.col("_k")))
+    else:
+        top = ranked.withColumn("_rest", F.sum(F.when(F.col("_k") > most, F.col("_w")).otherwise(0.0)).over(per))
+        top = top.filter(F.col("_k") <= most).withColumn("_w", F.col("_w") + F.when(F.col("_k") == 1, F.col("_rest")).otherwise(0.0))
+    lists = top.groupBy("_group", "field").agg(F.array_sort(F.collect_list(F.struct("_rank", "value", "_w"))).alias("v"))
+
+    @F.pandas_udf("int")
+    def choose(values: pd.Series, ws: pd.Series) -> pd.Series:
+        return pd.Series([survivor(list(v), list(w)) for v, w in zip(values, ws)], dtype="int32")
+
+    one = F.size("v") == 1
+    agreed = lists.filter(one).withColumn("_at", F.lit(0))
+    voted = lists.filter(~one).withColumn("_at", choose(F.col("v.value"), F.col("v._w")))
+    x = F.element_at("v", F.col("_at") + 1)
+    return agreed.unionByName(voted).select(
+        F.col("_group").alias("group"), "field", x["_rank"]["id"].alias("row_id"), x["value"].alias("value"), F.size("v").alias("values")
+    )
