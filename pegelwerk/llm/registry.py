@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pegelwerk.llm import p08, p09
+from pegelwerk.llm import p07, p08, p09
 
-MODULES = (p08, p09)
+MODULES = (p07, p08, p09)
 
 
 def queries() -> dict:
