@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pegelwerk.queries import p01, p02, p03, p04, p05, p06
+from pegelwerk.queries import levels, p01, p02, p03, p04, p05, p06
 
-MODULES = (p01, p02, p03, p04, p05, p06)
-FLAGSHIP = "p3_found"
+MODULES = (levels, p01, p02, p03, p04, p05, p06)
+FLAGSHIP = "daily_laeq"
 
 
 def queries() -> dict:
