@@ -85,7 +85,8 @@ def spans(seconds: DataFrame, keys: list[str], above: float = 70.0, spread: floa
     """
     from pegelwerk.operators.rolling import centred
 
-    loud = centred(seconds, keys).filter((F.col("mittel") > above) & (F.col("streuung") < spread))
+    # rounded, so that a window at the very threshold does not hang on the order of summation
+    loud = centred(seconds, keys).filter((F.round("mittel", 9) > above) & (F.round("streuung", 9) < spread))
     x = F.col("leq")
     return islands(loud, keys, "second", gap, least - 1, {"leq": L.laeq(x), "lmax": F.max(x)})
 

@@ -136,7 +136,7 @@ _EXCL = f"""{CLIPS}, x0 AS (SELECT messstelle, second - 30 AS a, second + 60 AS
     x1 AS (SELECT *, max(b) OVER (PARTITION BY messstelle ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS v FROM x0),
     x2 AS (SELECT *, sum(CASE WHEN v IS NULL OR a > v THEN 1 ELSE 0 END) OVER (PARTITION BY messstelle ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM x1),
     x AS (SELECT messstelle, min(a) AS a, max(b) AS b FROM x2 GROUP BY messstelle, g)"""
-_SPANS = f"""WITH {SECONDS}, w AS (SELECT *, count(*) OVER v AS cnt, avg(leq) OVER v AS m, stddev_samp(leq) OVER v AS d FROM s WINDOW v AS (PARTITION BY messstelle, tag ORDER BY second RANGE BETWEEN 15 PRECEDING AND 14 FOLLOWING)),
+_SPANS = f"""WITH {SECONDS}, w AS (SELECT *, count(*) OVER v AS cnt, round(avg(leq) OVER v, 9) AS m, round(stddev_samp(leq) OVER v, 9) AS d FROM s WINDOW v AS (PARTITION BY messstelle, tag ORDER BY second RANGE BETWEEN 15 PRECEDING AND 14 FOLLOWING)),
     q AS (SELECT *, coalesce(second - lag(second) OVER (PARTITION BY messstelle, tag ORDER BY second) > 15, true) AS neu FROM w WHERE cnt >= 15 AND m > 60 AND d < 2),
     r AS (SELECT *, sum(neu::INT) OVER (PARTITION BY messstelle, tag ORDER BY second) AS lauf FROM q)
     SELECT messstelle, tag, min(second) AS "begin", max(second) + 1 AS "end", count(*) AS punkte, round(10 * log10(avg(pow(10, leq / 10))), 6) AS leq, max(leq) AS lmax

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pegelwerk.queries import intervals, levels, p01, p02, p03, p04, p05, p06
+from pegelwerk.queries import events, intervals, levels, p01, p02, p03, p04, p05, p06
 
-MODULES = (levels, intervals, p01, p02, p03, p04, p05, p06)
+MODULES = (levels, intervals, events, p01, p02, p03, p04, p05, p06)
 FLAGSHIP = "daily_laeq"
 
 
