@@ -10,10 +10,10 @@ outweighs all later ones together and missing fields are filled from the best ro
 has them; ``"vote"`` weighs a value by its rows, each by 1 / (1 + rank).
 
 Scale: only keys that occur twice or more are joined back; equal values of a group are
-combined before they move, and of a group's different values only the first ``most``
-are aligned.  Under "first" this is exact: what follows weighs less than half of the
-last one aligned.  Under "vote" the rest still vote for the token in each place that
-their own text has in the column it aligns with; they are added in further blocks.
+combined before they move.  The first ``most`` values of a group are aligned with each
+other.  Under "first" that is exact: what follows weighs less than half of the last one
+aligned.  Under "vote" every further value is aligned with the finished columns, each by
+itself and in parallel, and adds its votes; a group of any size is never in one task.
 """
 
 from __future__ import annotations
@@ -33,44 +33,53 @@ def tokens(text: str) -> list[str]:
     return re.findall(r"\d+|[^\W\d_]+|[^\d\W]|\W|_", text)
 
 
-def _align(profile: list[dict], seq: list[str], weight: float, total: float) -> list[dict]:
-    """The profile (token -> weight per column) with one more sequence aligned to it."""
+def _path(profile: list[dict], seq: list[str], total: float) -> list[tuple[int | None, str]]:
+    """Best alignment of a token sequence with columns: (column or None for a new one, token or GAP)."""
     n, m = len(profile), len(seq)
-    if not n:
-        return [{t: weight, **({GAP: total} if total else {})} for t in seq]
-    score = [[0.0] * (m + 1) for _ in range(n + 1)]
-    move = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(1, n + 1):
-        score[i][0], move[i][0] = score[i - 1][0] - 1 + profile[i - 1].get(GAP, 0) / total, 1
-    for j in range(1, m + 1):
-        score[0][j], move[0][j] = -float(j), 2
-    for i in range(1, n + 1):
-        col, up, row, mv = profile[i - 1], score[i - 1], score[i], move[i]
-        skip = -1 + col.get(GAP, 0) / total
-        for j in range(1, m + 1):
-            best, k = up[j - 1] + 2 * col.get(seq[j - 1], 0) / total - 0.5, 0
-            if up[j] + skip > best:
-                best, k = up[j] + skip, 1
-            if row[j - 1] - 1 > best:
-                best, k = row[j - 1] - 1, 2
-            row[j], mv[j] = best, k
+    skip = [col.get(GAP, 0) / total - 1 for col in profile]
+    score = [[-float(j) for j in range(m + 1)]]
+    move = [[2] * (m + 1)]
+    for i, col in enumerate(profile):
+        up = score[i]
+        row, mv = [up[0] + skip[i]], [1]
+        for j, token in enumerate(seq):
+            best, k = up[j] + 2 * col.get(token, 0) / total - 0.5, 0
+            if up[j + 1] + skip[i] > best:
+                best, k = up[j + 1] + skip[i], 1
+            if row[j] - 1 > best:
+                best, k = row[j] - 1, 2
+            row.append(best)
+            mv.append(k)
+        score.append(row)
+        move.append(mv)
     out, i, j = [], n, m
     while i or j:
         k = move[i][j]
-        if k == 2:
-            j -= 1
-            out.append({seq[j]: weight, GAP: total})
-            continue
-        i -= 1
-        if k == 0:
-            j -= 1
-        token = seq[j] if k == 0 else GAP
-        col = dict(profile[i])
-        col[token] = col.get(token, 0) + weight
-        out.append(col)
+        i, j = i - (k != 2), j - (k != 1)
+        out.append((None if k == 2 else i, GAP if k == 1 else seq[j]))
     return out[::-1]
 
 
+def align(values: Sequence[str], weights: Sequence[float]) -> list[dict]:
+    """Columns (token -> weight) of the progressive alignment of the values."""
+    profile: list[dict] = []
+    total = 0.0
+    for value, weight in zip(values, weights):
+        grown = []
+        for at, token in _path(profile, tokens(value), total):
+            col = {GAP: total} if at is None and total else {} if at is None else profile[at]
+            col[token] = col.get(token, 0) + weight
+            grown.append(col)
+        profile, total = grown, total + weight
+    return profile
+
+
+def place(profile: list[dict], value: str) -> list[str]:
+    """The value's token in each finished column; what it has beyond them has no column."""
+    total = sum(profile[0].values()) if profile else 1.0
+    return [token for at, token in _path(profile, tokens(value), total) if at is not None]
+
+
 def _distance(a: list[str], b: list[str]) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -82,14 +91,9 @@ def _distance(a: list[str], b: list[str]) -> int:
 
 def survivor(values: Sequence[str], weights: Sequence[float]) -> int:
     """Index of the value closest to the weighted token consensus; values in order of trust."""
-    seqs = [tokens(v) for v in values]
-    profile: list[dict] = []
-    total = 0.0
-    for s, w in zip(seqs, weights):
-        profile = _align(profile, s, w, total)
-        total += w
-    voted = [max(col, key=col.get) for col in profile]  # of equal weights the earlier value's token
+    voted = [max(col, key=col.get) for col in align(values, weights)]  # of equal weights the earlier value's token
     consensus = [t for t in voted if t != GAP]
+    seqs = [tokens(v) for v in values]
     away = [0 if s == consensus else _distance(s, consensus) for s in seqs]
     return away.index(min(away))
 
@@ -117,33 +121,29 @@ def representatives(
     weights: str = "first",
     most: int = 16,
 ) -> DataFrame:
-    """rows -> (group, field, row_id, value, values): the surviving value of each field.
+    """rows -> (group, field, row_id, value): the surviving value of each field and the row that gives it.
 
     ``order``: bigint columns, the best row has the smallest; ties go to the smaller ``row_id``.
-    A field that no row of the group has filled gives no row.  ``values`` counts the different
-    ones.  Under "vote" the weight of values after the first ``most`` goes to the closest
-    of these (the one they agree with in most leading characters is not searched: to the first).
+    A field that no row of the group has filled gives no row; null keys are no group.
     """
     kinds = dict(rows.dtypes)
     rank = F.struct(*[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).cast("long").alias("id"))
     dup = duplicates(rows.select(*keys, row_id, rank.alias("_rank"), *[f for f in fields if f not in keys]), keys, row_id)
-    long = dup.select(
-        "_group", "_rank", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), filled(F.col(f), kinds[f]).alias("value")) for f in fields])).alias("x")
-    ).select("_group", "_rank", "x.field", "x.value")
-    weigh = F.sum(F.lit(1.0) / (1 + F.greatest(F.lit(0).cast("long"), F.col("_rank.o0"))))
-    distinct = (
-        long.filter(F.col("value").isNotNull())
-        .groupBy("_group", "field", "value")
-        .agg(F.min("_rank").alias("_rank"), weigh.alias("_w"))
-    )
-    per = Window.partitionBy("_group", "field")
-    ranked = distinct.withColumn("_k", F.row_number().over(per.orderBy("_rank")))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), filled(F.col(f), kinds[f]).alias("value")) for f in fields])
+    long = dup.select("_group", "_rank", F.explode(each).alias("x")).select("_group", "_rank", "x.field", "x.value").filter(F.col("value").isNotNull())
+    trust = F.sum(F.lit(1.0) / (1 + F.greatest(F.lit(0).cast("long"), F.col("_rank.o0"))))
+    distinct = long.groupBy("_group", "field", "value").agg(F.min("_rank").alias("_rank"), trust.alias("_w"))
+    group = ["_group", "field"]
+    # tasks keep no more than ``most`` of a group before this shuffle
+    top = distinct.withColumn("_k", F.row_number().over(Window.partitionBy(*group).orderBy("_rank"))).filter(F.col("_k") <= most)
     if weights == "first":
-        top = ranked.filter(F.col("_k") <= most).withColumn("_w", F.pow(F.lit(0.5), F.col("_k")))
-    else:
-        top = ranked.withColumn("_rest", F.sum(F.when(F.col("_k") > most, F.col("_w")).otherwise(0.0)).over(per))
-        top = top.filter(F.col("_k") <= most).withColumn("_w", F.col("_w") + F.when(F.col("_k") == 1, F.col("_rest")).otherwise(0.0))
-    lists = top.groupBy("_group", "field").agg(F.array_sort(F.collect_list(F.struct("_rank", "value", "_w"))).alias("v"))
+        top = top.withColumn("_w", F.pow(F.lit(0.5), F.col("_k")))
+    lists = top.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_rank", "value", "_w"))).alias("v"))
+    if weights == "vote":
+        counts = distinct.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+        large = distinct.join(counts.drop("_n"), group)
+        seeds = lists.join(counts.drop("_n"), group, "left_semi")
+        lists = lists.join(counts.drop("_n"), group, "left_anti")
 
     @F.pandas_udf("int")
     def choose(values: pd.Series, ws: pd.Series) -> pd.Series:
@@ -153,6 +153,33 @@ def representatives(
     agreed = lists.filter(one).withColumn("_at", F.lit(0))
     voted = lists.filter(~one).withColumn("_at", choose(F.col("v.value"), F.col("v._w")))
     x = F.element_at("v", F.col("_at") + 1)
-    return agreed.unionByName(voted).select(
-        F.col("_group").alias("group"), "field", x["_rank"]["id"].alias("row_id"), x["value"].alias("value"), F.size("v").alias("values")
-    )
+    out = agreed.unionByName(voted).select(*group, x["_rank"]["id"].alias("row_id"), x["value"].alias("value"))
+    if weights == "vote":
+        out = out.unionByName(_star(large, seeds, group))
+    return out.withColumnRenamed("_group", "group")
+
+
+def _star(values: DataFrame, seeds: DataFrame, group: list[str]) -> DataFrame:
+    """Groups of many values: columns from the seeds, votes and distances of all values in parallel."""
+
+    @F.pandas_udf("array<map<string,double>>")
+    def columns(vs: pd.Series, ws: pd.Series) -> pd.Series:
+        return pd.Series([align(list(v), list(w)) for v, w in zip(vs, ws)])
+
+    @F.pandas_udf("array<string>")
+    def placed(profiles: pd.Series, vs: pd.Series) -> pd.Series:
+        return pd.Series([place([dict(c) for c in p], v) for p, v in zip(profiles, vs)])
+
+    @F.pandas_udf("int")
+    def away(vs: pd.Series, consensus: pd.Series) -> pd.Series:
+        return pd.Series([_distance(tokens(v), [t for t in c if t != GAP]) for v, c in zip(vs, consensus)], dtype="int32")
+
+    profiles = seeds.select(*group, columns(F.col("v.value"), F.col("v._w")).alias("_p"), F.element_at("v", -1)["_rank"].alias("_last"))
+    joined = values.join(profiles, group)
+    mine = profiles.select(*group, F.posexplode("_p").alias("_c", "_m")).select(*group, "_c", F.explode("_m").alias("_t", "_w"))
+    more = joined.filter(F.col("_rank") > F.col("_last")).select(*group, "_w", F.posexplode(placed("_p", "value")).alias("_c", "_t"))
+    votes = mine.unionByName(more.select(*mine.columns)).groupBy(*group, "_c", "_t").agg(F.sum("_w").alias("_w"))
+    best = votes.groupBy(*group, "_c").agg(F.min(F.struct((-F.col("_w")).alias("w"), F.col("_t").alias("t"))).alias("b"))
+    consensus = best.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_c", F.col("b.t").alias("t")))).alias("s")).select(*group, F.col("s.t").alias("_s"))
+    near = values.join(consensus, group).withColumn("_d", away("value", "_s"))
+    return near.groupBy(*group).agg(F.min(F.struct("_d", "_rank", "value")).alias("b")).select(*group, F.col("b._rank.id").alias("row_id"), F.col("b.value").alias("value"))

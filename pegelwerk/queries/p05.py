@@ -38,10 +38,10 @@ def _survivors(spark: SparkSession, sf_dir: str, name: str, weights: str) -> Dat
         .agg(F.min("rang").alias("_rang"))
     )
     df, keys = _keyed(table(spark, sf_dir, name), name)
-    rows = df.withColumn("_by", F.upper(F.trim(F.col(by)))).join(trust, "_by", "left")
+    rows = df.select(*keys, "satz_id", newest, by, *fields).withColumn("_by", F.upper(F.trim(F.col(by)))).join(trust, "_by", "left")
     order = [F.coalesce(F.col("_rang").cast("long"), F.lit(UNLISTED)), -F.coalesce(F.col(newest).cast("long"), F.lit(-(1 << 62)))]
     return representatives(rows, keys, "satz_id", order, fields, weights).select(
-        F.lit(name).alias("tabelle"), F.col("group").alias("gruppe"), F.col("field").alias("feld"), F.col("row_id").alias("satz_id"), "value", "values"
+        F.lit(name).alias("tabelle"), F.col("group").alias("gruppe"), F.col("field").alias("feld"), F.col("row_id").alias("satz_id"), "value"
     )
 
 
@@ -55,7 +55,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The survivors under votes weighted by trust instead of strict precedence."""
-    return _all(spark, sf_dir, "vote").select("tabelle", "gruppe", "feld", "satz_id", "value", "values")
+    return _all(spark, sf_dir, "vote").select("tabelle", "gruppe", "feld", "satz_id", "value")
 
 
 def _sql() -> str:

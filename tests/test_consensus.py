@@ -1,0 +1,65 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pegelwerk.operators.consensus import representatives, survivor, tokens
+
+
+def test_tokens():
+    assert tokens("46.54 dB_x") == ["46", ".", "54", " ", "dB", "_", "x"]
+    assert tokens("") == []
+
+
+def test_first_weights_give_the_first():
+    r = random.Random(0)
+    for _ in range(200):
+        values = list(dict.fromkeys("".join(r.choice("ab1. ") for _ in range(r.randrange(0, 9))) for _ in range(r.randrange(1, 7))))
+        assert survivor(values, [0.5**k for k in range(len(values))]) == 0
+
+
+def test_votes_win_token_by_token():
+    values = ["Halle 12 Nord", "Halle 13 Nord", "Halle 12 Sued", "Hall 12 Nord"]
+    assert survivor(values, [1, 1, 1, 1]) == 0
+    assert survivor(["Tor 1", "Tor 2", "Tor 2 "], [1.0, 0.8, 0.7]) == 1
+
+
+def rows(seed):
+    r = random.Random(seed)
+    pick = lambda *v: r.choice(v)
+    return [(pick("k1", "k1", "k2", "k3", None), i, pick(1, 2, None), pick(1.5, 2.5, float("nan"), None), pick("a b", "a c", "", "  ", None)) for i in range(120)] + [("alone", 999, 1, 1.0, "x")]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_precedence_against_brute_force(spark, seed):
+    data = rows(seed)
+    df = spark.createDataFrame(data, "key string, id bigint, rang int, x double, s string").withColumn("_group", F.lit("clash"))
+    order = [F.coalesce(F.col("rang").cast("long"), F.lit(99))]
+    got = {(g.group, g.field, g.row_id) for g in representatives(df, ["key"], "id", order, ["x", "s"]).collect()}
+    want = set()
+    for k in ("k1", "k2", "k3"):
+        members = [d for d in data if d[0] == k]
+        for name, at in (("x", 3), ("s", 4)):
+            full = [d for d in members if d[at] is not None and d[at] == d[at] and (not isinstance(d[at], str) or d[at].strip())]
+            if full:
+                want.add((min(d[1] for d in members), name, min(full, key=lambda d: (d[2] or 99, d[1]))[1]))
+    assert got == want
+
+
+def test_votes_of_many_values_are_all_counted(spark):
+    """Forty values for one place, most of them beyond the first sixteen, agree on what the first do not have."""
+    data = [("k", i, 0, f"wert {i} nord" if i < 16 else f"wert {i} sued") for i in range(60)] + [("k", 60, 0, "wert 7 sued"), ("k", 61, 0, "wert 7 sued")]
+    df = spark.createDataFrame(data, "key string, id bigint, rang int, s string")
+    order = [F.col("rang").cast("long")]
+    got = representatives(df, ["key"], "id", order, ["s"], "vote").collect()
+    assert [(g.group, g.value, g.row_id) for g in got] == [(0, "wert 7 sued", 60)]
+    assert representatives(df.limit(0), ["key"], "id", order, ["s"], "vote").count() == 0
+    assert representatives(df.limit(0), ["key"], "id", order, ["s"]).count() == 0
+
+
+def test_a_key_with_most_rows(spark):
+    data = [("k", i, i % 3, f"v{i % 500}") for i in range(3000)]
+    df = spark.createDataFrame(data, "key string, id bigint, rang int, s string")
+    for weights in ("first", "vote"):
+        assert representatives(df, ["key"], "id", [F.col("rang").cast("long")], ["s"], weights).count() == 1
+    assert representatives(df, ["key"], "id", [F.col("rang").cast("long")], ["s"]).first().row_id == 0
