@@ -12,7 +12,8 @@ import regex
 L = r"(?:(?:[ÃÂ][\u0080-¿ŒœŠšŸŽžƒˆ˜–-›€™]|\p{L})\p{M}*)"
 UP = r"(?:(?:Ã[\u0080-\u009fŒœŠšŸŽžƒˆ˜–-›€™]|\p{Lu})\p{M}*)"
 S = r"[ \t  ]"
-#: A space inside of a value: also doubled, also one line break.
+#: A space inside of a value, also doubled; in an address also one line break.
+G = rf"(?:{S}+)"
 SP = rf"(?:{S}*\n{S}*|{S}+)"
 
 _AT = rf"{S}?(?:@|[(\[]{S}?(?:at|AT){S}?[)\]]){S}?"
@@ -23,13 +24,13 @@ EMAIL = regex.compile(rf"{_LOCAL}(?:{_AT}{_HOST}(?:{_DOT}{_HOST})+|{S}(?:AT|at){
 #: A text without any of these holds no address of this kind.
 EMAIL_HINT = regex.compile(r"@|[(\[] ?(?:at|AT)|[ \t](?:DOT|dot)[ \t]")
 
-_SEP = rf"(?:{SP}|[./-])?"
+_SEP = rf"(?:{G}|[./-])?"
 PHONE = regex.compile(
     rf"(?<![\p{{L}}\p{{N}}+./:,-])(?:"
     rf"(?:\+|00)[1-9]\d{{0,2}}{_SEP}(?:\(0\){_SEP})?\(?\d{{1,5}}\)?(?:{_SEP}\d{{1,8}}){{1,5}}"  # international
     rf"|\(0\d{{1,4}}\)(?:{_SEP}\d{{1,8}}){{1,5}}"  # (area) number
     rf"|\([2-9]\d\d\){_SEP}\d{{3}}{_SEP}\d{{4}}|[2-9]\d\d(?P<d>[.-])\d{{3}}(?P=d)\d{{4}}"  # ten digits in threes
-    rf"|(?=(?:[ \t\u00a0\u202f\n./-]{{0,3}}\d){{9}})0[1-9]\d{{0,4}}(?:{SP}|[./-])\d{{2,8}}(?:{_SEP}\d{{1,8}}){{0,4}}"  # area, number
+    rf"|(?=(?:[ \t\u00a0\u202f./-]{{0,3}}\d){{9}})0[1-9]\d{{0,4}}(?:{G}|[./-])\d{{2,8}}(?:{_SEP}\d{{1,8}}){{0,4}}"  # area, number
     rf"|0[1-9]\d{{8}}"
     rf")(?![\p{{L}}\p{{N}}]|[./:,-]\d)"
 )
@@ -38,17 +39,17 @@ PHONE = regex.compile(
 
 def _groups(*sizes: int) -> str:
     """Digits in groups: all of them apart, or none."""
-    return "(?:" + SP.join(rf"\d{{{n}}}" for n in sizes) + rf"|\d{{{sum(sizes)}}})"
+    return "(?:" + G.join(rf"\d{{{n}}}" for n in sizes) + rf"|\d{{{sum(sizes)}}})"
 
 
 ID = regex.compile(
     rf"(?<![\p{{L}}\p{{N}}.,:/@_-])(?:"
-    rf"[A-Za-z]{{2}}\d{{2}}(?:{SP}?[A-Za-z0-9]{{4}}){{3,7}}(?:{SP}?[A-Za-z0-9]{{1,3}})?(?<=\d)"  # bank account
-    rf"|\d{{2}}{SP}?\d{{6}}{SP}?[A-Za-z]{SP}?\d{{3}}"  # pension insurance
+    rf"[A-Za-z]{{2}}\d{{2}}(?:{G}?[A-Za-z0-9]{{4}}){{3,7}}(?:{G}?[A-Za-z0-9]{{1,3}})?(?<=\d)"  # bank account
+    rf"|\d{{2}}{G}?\d{{6}}{G}?[A-Za-z]{G}?\d{{3}}"  # pension insurance
     rf"|{_groups(1, 2, 2, 2, 3, 3, 2)}|{_groups(1, 2, 2, 2, 3, 3)}"  # social security, 15 or 13
     rf"|{_groups(2, 3, 3, 3)}"  # tax number of 11 digits
     rf"|\d{{3}}-\d{{2}}-\d{{4}}"  # social security, 9
-    rf"|[A-Za-z]{{2}}{SP}?{_groups(2, 2, 2)}{SP}?[A-Da-d]"  # national insurance
+    rf"|[A-Za-z]{{2}}{G}?{_groups(2, 2, 2)}{G}?[A-Da-d]"  # national insurance
     rf"|[A-Za-z]{{2}}\d{{2}}[A-Za-z]\d{{3}}[A-Za-z]|\d{{2}}[A-Za-z]{{2}}\d{{5}}"  # identity card
     rf")(?![\p{{L}}\p{{N}}]|[./:,-]\d)"
 )
@@ -89,8 +90,8 @@ _LAST = rf"{_W}(?:-{_W})*"
 _INI = rf"{UP}\."
 #: Given [initial] family | initial family | family, given [initial].
 NAME = regex.compile(
-    rf"(?<![\p{{L}}\p{{N}}@._-])(?:(?P<last>{_LAST}),{SP}(?P<first>{_W}|{_INI})(?:{SP}{_INI})?"
-    rf"|(?P<first>{_W})(?:{SP}{_INI})?{SP}(?P<last>{_LAST})|(?P<first>{_INI}){SP}(?P<last>{_LAST}))(?![\p{{L}}\p{{N}}@]|-\p{{L}})"
+    rf"(?<![\p{{L}}\p{{N}}@._-])(?:(?P<last>{_LAST}),{G}(?P<first>{_W}|{_INI})(?:{G}{_INI})?"
+    rf"|(?P<first>{_W})(?:{G}{_INI})?{G}(?P<last>{_LAST})|(?P<first>{_INI}){G}(?P<last>{_LAST}))(?![\p{{L}}\p{{N}}@]|-\p{{L}})"
 )
 CUE = regex.compile(rf"(?:(?<![\p{{L}}]){TITLE}\.?|{LABEL}){SP}?$")
 
