@@ -59,7 +59,8 @@ def hashes(text: Column) -> Column:
 
 def file_day(name: Column) -> Column:
     """Day in a file's name: yyyy-MM-dd or dd.MM.yyyy; null without one."""
-    iso, dot = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), F.regexp_extract_all(name, F.lit(r"(\d{2})\.(\d{2})\.(\d{4})"), F.lit(0))[0]
+    iso, dots = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), F.regexp_extract_all(name, F.lit(r"(\d{2})\.(\d{2})\.(\d{4})"), F.lit(0))
+    dot = F.get(dots, 0)
     return F.coalesce(iso.try_cast("date"), F.concat_ws("-", F.substring(dot, 7, 4), F.substring(dot, 4, 2), F.substring(dot, 1, 2)).try_cast("date"))
 
 

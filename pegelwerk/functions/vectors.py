@@ -30,7 +30,7 @@ def unit(a: Column) -> Column:
 
 def mean_vector(v: Column, size: int) -> Column:
     """Element-wise mean (aggregate) with partial sums: ``size`` doubles per group and task."""
-    return F.array(*[F.avg(v[k]) for k in range(size)])
+    return F.array(*[F.avg(F.get(v, k)) for k in range(size)])
 
 
 def top(v: Column, k: int) -> Column:
@@ -42,12 +42,13 @@ def top(v: Column, k: int) -> Column:
 def weighted_top3(v: Column) -> Column:
     """First + 0.25 second + 0.10 third largest."""
     s = F.sort_array(v, asc=False)
-    return s[0] + 0.25 * s[1] + 0.10 * s[2]
+    at = lambda k: F.coalesce(F.get(s, k), F.lit(0.0))
+    return F.get(s, 0) + 0.25 * at(1) + 0.10 * at(2)
 
 
 def category_sums(v: Column, groups: dict[str, list[int]]) -> Column:
     """struct of sums of a vector's elements by category."""
-    return F.struct(*[sum((v[i] for i in idx[1:]), v[idx[0]]).alias(k) for k, idx in groups.items()])
+    return F.struct(*[sum((F.get(v, i) for i in idx[1:]), F.get(v, idx[0])).alias(k) for k, idx in groups.items()])
 
 
 def softmax(v: Column, scale: float) -> Column:

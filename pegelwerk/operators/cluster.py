@@ -16,7 +16,7 @@ def random_projection(rows: DataFrame, vector: str, size: int, dims: int = 16, s
     v = X.doubles(F.col(vector))
     scaled = F.transform(v, lambda x: F.signum(x) * F.log1p(F.abs(x)))
     s = rows.withColumn("_s", scaled)
-    stats = s.agg(*[F.avg(F.col("_s")[k]).alias(f"m{k}") for k in range(size)], *[F.stddev_pop(F.col("_s")[k]).alias(f"d{k}") for k in range(size)]).first()
+    stats = s.agg(*[F.avg(F.get("_s", k)).alias(f"m{k}") for k in range(size)], *[F.stddev_pop(F.get("_s", k)).alias(f"d{k}") for k in range(size)]).first()
     mean = F.array(*[F.lit(float(stats[f"m{k}"] or 0)) for k in range(size)])
     dev = F.array(*[F.lit(float(stats[f"d{k}"] or 1)) for k in range(size)])
     z = F.zip_with(F.zip_with(F.col("_s"), mean, lambda x, m: x - m), dev, lambda x, d: F.when(d > 1e-12, x / d).otherwise(0.0))

@@ -23,7 +23,7 @@ def description(spark: SparkSession, path: str) -> DataFrame:
     """Table of parameters: lines that begin with a number; footers are dropped."""
     c = F.split("value", ";")
     t = spark.read.text(path)
-    return t.filter(F.trim(c[0]).rlike(r"^\d+$")).select(F.trim(c[0]).alias("station"), F.trim(c[1]).alias("parameter"), F.trim(c[2]).alias("beschreibung"), F.trim(c[3]).alias("einheit"))
+    return t.filter(F.trim(c[0]).rlike(r"^\d+$")).select(F.trim(c[0]).alias("station"), *[F.trim(F.get(c, k)).alias(n) for k, n in enumerate(("parameter", "beschreibung", "einheit"), 1)])
 
 
 def column_of(rows: list, role: str) -> str:
@@ -71,5 +71,5 @@ def stations(spark: SparkSession, path: str, lat: float, lon: float) -> DataFram
     """Station list of fixed columns -> (station, von, bis, lat, lon, name, km), the nearest first."""
     s = F.split(F.trim("value"), r"\s+")
     t = spark.read.text(path).filter(F.trim("value").rlike(r"^\d{1,5}\s+\d{8}\s+\d{8}\s"))
-    d = t.select(F.lpad(s[0], 5, "0").alias("station"), s[1].alias("von"), s[2].alias("bis"), s[4].cast("double").alias("lat"), s[5].cast("double").alias("lon"), s[6].alias("name"))
+    d = t.select(F.lpad(s[0], 5, "0").alias("station"), s[1].alias("von"), s[2].alias("bis"), F.get(s, 4).try_cast("double").alias("lat"), F.get(s, 5).try_cast("double").alias("lon"), F.get(s, 6).alias("name"))
     return d.withColumn("km", haversine_km(F.lit(lat), F.lit(lon), F.col("lat"), F.col("lon"))).orderBy("km", "station")
