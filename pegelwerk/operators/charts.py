@@ -155,7 +155,7 @@ def implausible(
     equal readings on, and if chance gives it at most this probability.
     Rows with a null source, time or id are not judged; ids must be unique.
     """
-    p = {"weight": 0.5, "limit": 9.0, "width": 6.0, "hold": 12, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
+    p = {"weight": 0.5, "limit": 8.5, "width": 4.0, "hold": 12, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
     shard = lambda t: _whole(t, shard_s)
     t = F.col(t_s).cast("long")
     slim = rows.dropna(subset=[source, t_s, row_id]).select(
