@@ -84,3 +84,8 @@ def borderline(level: Column, limits=(55.0, 60.0), reach: float = 2.5) -> Column
 def beside(x: Column, y: Column, tolerance: float) -> Column:
     """Near each other; null is not."""
     return F.coalesce(F.abs(x - y) <= tolerance, F.lit(False))
+
+
+def regime(day: Column, changes: list[tuple[str, str]], before: str) -> Column:
+    """Name of the setup in force on a day: ``changes`` are (first day, name), in order; before the first one ``before``."""
+    return reduce(lambda c, x: F.when(day >= F.lit(x[0]).cast("date"), x[1]).otherwise(c), changes, F.lit(before))

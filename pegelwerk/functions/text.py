@@ -141,3 +141,20 @@ def wav_levels(data: bytes) -> tuple[int, "list[float]"]:
     x = np.frombuffer(raw, kinds[width]).astype(float)
     x = (x - 128) / 128 if width == 1 else x / float(1 << (8 * width - 1))
     return rate, x.reshape(-1, channels).mean(axis=1).tolist()
+
+
+def room(place: Column, rooms: dict[str, str], otherwise: str = "sonst") -> Column:
+    """Category of a place by the first word that it contains."""
+    out = F.lit(otherwise)
+    for word, name in reversed(rooms.items()):
+        out = F.when(F.lower(place).contains(word.lower()), name).otherwise(out)
+    return out
+
+
+def unmangled_tree(x):
+    """``unmangled`` on every text of a nested configuration."""
+    if isinstance(x, dict):
+        return {unmangled_tree(k): unmangled_tree(v) for k, v in x.items()}
+    if isinstance(x, list):
+        return [unmangled_tree(v) for v in x]
+    return unmangled(x) if isinstance(x, str) else x

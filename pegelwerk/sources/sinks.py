@@ -50,3 +50,15 @@ def pruned(cache: DataFrame, keep: DataFrame, key: str) -> DataFrame:
 def output_manifest(df_files: DataFrame) -> DataFrame:
     """(pfad, groesse, sha256) of written files, for a later check of completeness."""
     return df_files.select("pfad", "groesse", "sha256")
+
+
+def blanked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same columns and types with no value in the given ones."""
+    return df.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in columns if c in df.columns})
+
+
+def report(title: str, counters: DataFrame) -> str:
+    """Markdown table of a few counters (an aggregate, not data)."""
+    rows = counters.collect()
+    lines = [f"# {title}", "", "| " + " | ".join(counters.columns) + " |", "|" + "---|" * len(counters.columns)]
+    return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]) + "\n"

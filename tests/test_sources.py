@@ -128,3 +128,16 @@ def test_texts(spark):
     assert f(T.shortened, "Kurz. " + "lang " * 60)[0].y == "Kurz."
     assert T.unmangled("GerÃ¤t") == "Gerät" and T.unmangled("Gerät") == "Gerät" and T.unmangled(None) is None
     assert f(T.number_range, "60,5 bis 70", "ohne")[0].y.mitte == 65.25
+
+
+def test_small_ones(spark):
+    from pegelwerk.functions import levels as L
+    from pegelwerk.sources import workbooks
+
+    df = spark.createDataFrame([("2024-01-01", "Schlafzimmer Nord"), ("2024-06-01", "Balkon")], "tag string, ort string")
+    r = df.select(L.regime(F.col("tag").cast("date"), [("2024-02-01", "neu"), ("2025-01-01", "neuer")], "alt").alias("a"), T.room(F.col("ort"), {"schlaf": "innen", "balkon": "aussen"}).alias("b")).collect()
+    assert [tuple(x) for x in r] == [("alt", "innen"), ("neu", "aussen")]
+    assert T.unmangled_tree({"GerÃ¤t": ["Ã¼", 3]}) == {"Gerät": ["ü", 3]}
+    assert sinks.blanked(df, ["ort", "fehlt"]).filter("ort IS NULL").count() == 2
+    assert "| 2024-01-01 | Schlafzimmer Nord |" in sinks.report("x", df)
+    assert workbooks.newest_version(["a_V2.xlsx", "a_V10.xlsx", "b.xlsx"]) == "a_V10.xlsx"
