@@ -43,51 +43,82 @@ def words(text: str) -> list[str]:
     return _WORD.findall(_MARKS.sub("", unicodedata.normalize("NFD", unicodedata.normalize("NFD", text).casefold())))
 
 
-def template(ws: list[str], common: frozenset) -> list[str]:
-    return [NUMBER if w.isdigit() else UNIT if w in UNITS else w if w in common else NAME for w in ws]
+class Canon(dict):
+    """word -> 64-bit code of its template token: itself if common, else its placeholder.
 
+    Codes of words met before are kept, at most ``most`` of them; equal words always get equal codes.
+    """
+
+    def __init__(self, common: frozenset, most: int = 500_000):
+        super().__init__()
+        self.common, self.most = common, most
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
 
-def _hash(tokens: list[str], size: int) -> np.ndarray:
-    """64-bit hash of each window of ``size`` tokens; equal windows hash alike in every process."""
-    import xxhash
+        token = NUMBER if word.isdigit() else UNIT if word in UNITS else word if word in self.common else NAME
+        code = xxhash.xxh3_64_intdigest(token)
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = code
+        return code
 
-    seen: dict[str, int] = {}
-    h = np.array([seen[t] if t in seen else seen.setdefault(t, xxhash.xxh3_64_intdigest(t)) for t in tokens], np.uint64)
-    n = len(h) - size + 1
+
+def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of each window of ``size`` codes; equal windows hash alike in every process."""
+    n = len(codes) - size + 1
     if n < 1:
         return np.zeros(0, np.int64)
     acc = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(size):
-            acc = (acc * np.uint64(0x9E3779B97F4A7C15)) ^ h[k : k + n]
+            acc = (acc * np.uint64(0x9E3779B97F4A7C15)) ^ codes[k : k + n]
             acc ^= acc >> np.uint64(29)
             acc *= np.uint64(0xBF58476D1CE4E5B9)
     return acc.view(np.int64)
 
 
 def _scanner(size: int, common: frozenset, wanted: np.ndarray | None, key: str):
+    """A mapInArrow function: (key, text) -> (key, pos, h, w) of windows, of the wanted ones only if given (sorted)."""
     schema = pa.schema([(key, pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("w", pa.string())])
 
+    def chunk(ids, lists, canon):
+        """The texts' words in one row; windows over the end of a text are left out."""
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = [w for ws in lists for w in ws]
+        h = window_hashes(np.array(list(map(canon.__getitem__, flat)), np.uint64), size)
+        if not len(h):
+            return None
+        ends = np.cumsum(lengths)
+        doc = np.repeat(np.arange(len(lists)), lengths)[: len(h)]
+        inside = np.arange(len(h)) + size <= ends[doc]
+        if wanted is not None:
+            if not len(wanted):
+                return None
+            at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+            inside &= wanted[at] == h
+        at = np.flatnonzero(inside)
+        if not len(at):
+            return None
+        d = doc[at]
+        pos = at - (ends[d] - lengths[d])
+        cols = [np.asarray(ids, np.int64)[d], pos.astype(np.int32), h[at], [" ".join(flat[k : k + size]) for k in at]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
+
     def run(batches):
+        canon = Canon(common)
         for batch in batches:
-            ids, poss, hs, texts = [], [], [], []
+            ids, lists, n = [], [], 0
             for i, text in zip(batch.column(key).to_pylist(), batch.column("text").to_pylist()):
-                ws = words(text)
-                h = _hash(template(ws, common), size)
-                if wanted is None:
-                    at = range(len(h))
-                else:
-                    at = np.flatnonzero(np.isin(h, wanted, assume_unique=False)) if len(h) else ()
-                for k in at:
-                    ids.append(i)
-                    poss.append(k)
-                    hs.append(h[k])
-                    texts.append(" ".join(ws[k : k + size]))
-                if len(ids) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((ids, poss, hs, texts), schema.types)], schema=schema)
-                    ids, poss, hs, texts = [], [], [], []
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((ids, poss, hs, texts), schema.types)], schema=schema)
+                ids.append(i)
+                lists.append(words(text))
+                n += len(lists[-1])
+                if n >= 200_000:
+                    if (out := chunk(ids, lists, canon)) is not None:
+                        yield out
+                    ids, lists, n = [], [], 0
+            if ids and (out := chunk(ids, lists, canon)) is not None:
+                yield out
 
     return run, f"{key} long, pos int, h long, w string"
 
