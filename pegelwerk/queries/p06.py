@@ -67,13 +67,11 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _histories(rows: DataFrame) -> DataFrame:
-    bare = rows.select(
-        "quelle", "seq", "angabe",
-        F.when(F.col("wert.offset_ms").isNull(), F.col("wert.wall_ms")).alias("wall_ms"),
-        # an event's clock is cut to the second or minute: compare by the quarter hour
-        "ref_ms",
-    )
-    return I.offset_history(bare, "quelle", "seq", "wall_ms", "angabe", ref_ms="ref_ms", slack_ms=900_000)
+    # exploding keeps the rows with a bare wall clock; a filter would be pushed down and parse every text again
+    bare = F.filter(F.array("wert"), lambda w: w["wall_ms"].isNotNull() & w["offset_ms"].isNull())
+    walls = rows.select("quelle", "seq", "angabe", "ref_ms", F.explode(bare).alias("w")).select("quelle", "seq", "angabe", "ref_ms", "w.wall_ms")
+    # an event's clock is cut to the second or minute: compare by the quarter hour
+    return I.offset_history(walls, "quelle", "seq", "wall_ms", "angabe", ref_ms="ref_ms", slack_ms=900_000)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +81,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.filter("zu_melden")
         .join(zones, "quelle", "left")
         .select("tabelle", "schluessel", I.to_utc(F.col("wert"), F.coalesce("zone", "angabe")).alias("utc_ms"))
+        # one instant per key; a filter on the instant itself would be pushed down and parse every text again
+        .groupBy("tabelle", "schluessel")
+        .agg(F.min("utc_ms").alias("utc_ms"))
         .filter(F.col("utc_ms").isNotNull())
-        .distinct()
     )
 
 
