@@ -41,15 +41,15 @@ def loudest_hour(seconds: DataFrame, keys: list[str], least: int = 1800, strict_
     w = Window.partitionBy(*keys)
     first, last = F.min("second").over(w), F.max("second").over(w)
     known = seconds.filter(F.col("leq").isNotNull()).select(*keys, "second", L.energy(F.col("leq")).alias("e"), first.alias("_first"), last.alias("_last"))
-    # where the content of a window changes: a second enters, or has just left
-    ends = F.explode(F.array("second", F.col("second") + span, F.col("_first") + (span - 1)))
-    points = known.select(*keys, "_first", "_last", ends.alias("t")).distinct()
+    # the window's content as a running sum: a second enters at its time and leaves a span later
+    step = lambda t, sign: F.struct(t.alias("t"), (sign * F.col("e")).alias("e"), F.lit(sign).alias("n"))
+    start = F.when(F.col("second") == F.col("_first"), F.struct((F.col("_first") + (span - 1)).alias("t"), F.lit(0.0).alias("e"), F.lit(0).alias("n")))
+    steps = F.explode(F.array_compact(F.array(step(F.col("second"), 1), step(F.col("second") + span, -1), start)))
+    moves = known.select(*keys, "_first", "_last", steps.alias("x")).select(*keys, "_first", "_last", "x.*")
+    frame = Window.partitionBy(*keys).orderBy("t").rangeBetween(Window.unboundedPreceding, 0)
+    ends = moves.select(*keys, "_first", "_last", "t", F.sum("e").over(frame).alias("e"), F.sum("n").over(frame).alias("n"))
     earliest = F.col("_first") + (span - 1 if strict_start else 0)
-    points = points.filter((F.col("t") >= earliest) & (F.col("t") <= F.greatest(F.col("_last"), F.col("_first") + (span - 1))))
-    none = F.lit(None).cast("double")
-    both = known.select(*keys, F.col("second").alias("t"), "e", F.lit(False).alias("_end")).unionByName(points.select(*keys, "t", none.alias("e"), F.lit(True).alias("_end")))
-    frame = Window.partitionBy(*keys).orderBy("t").rangeBetween(-(span - 1), 0)
-    both = both.withColumns({"n": F.count("e").over(frame), "mean": F.avg("e").over(frame)}).filter(F.col("_end") & (F.col("n") >= least))
+    ends = ends.filter((F.col("t") >= earliest) & (F.col("t") <= F.greatest(F.col("_last"), F.col("_first") + (span - 1))) & (F.col("n") >= least))
     # rounded, so that the same content summed in another order is the same window
-    best = both.groupBy(*keys).agg(F.max(F.struct(F.round(L.level_of(F.col("mean")), 9).alias("laeq"), (-F.col("t")).alias("t"), "n")).alias("b"))
+    best = ends.groupBy(*keys).agg(F.max(F.struct(F.round(L.level_of(F.col("e") / F.col("n")), 9).alias("laeq"), (-F.col("t")).alias("t"), "n")).alias("b"))
     return best.select(*keys, (-F.col("b.t")).alias("ende"), F.col("b.n").alias("sekunden"), F.col("b.laeq").alias("laeq"))
