@@ -75,7 +75,7 @@ def merge_priority_conflict(spark, sf_dir):
     rank = F.coalesce(F.try_element_at(names, F.upper(F.trim("methode"))), F.lit(9))
     m = C.merge_by_priority(r.select("messstelle", "sekunde", "laeq", "tabelle", "sha256", "satz_id", rank.alias("_r")), ["messstelle", "sekunde"], "laeq", ["_r", "tabelle", "sha256", "satz_id"], "tabelle")
     label = F.when(F.col("konflikt"), "KONFLIKT_QUELLEN").when(F.col("querpruefung"), "QUERPRUEFUNG_2_TABELLEN").otherwise("UNGEPRUEFT")
-    return m.filter(F.col("konflikt") | (F.col("rang") == 1)).select("messstelle", "sekunde", "satz_id", "laeq", "rang", F.when(F.col("konflikt"), 0).otherwise(F.col("gleiche")).cast("long").alias("weitere"), label.alias("validierung"))
+    return m.filter(F.col("konflikt") | (F.col("rang") == 1)).select("messstelle", "sekunde", "satz_id", "laeq", F.col("rang").cast("long").alias("rang"), F.when(F.col("konflikt"), 0).otherwise(F.col("gleiche")).cast("long").alias("weitere"), label.alias("validierung"))
 
 
 def _events(spark, sf_dir):
@@ -135,7 +135,7 @@ def episodes(spark, sf_dir):
 
 def top6_per_day(spark, sf_dir):
     order = [F.desc(F.coalesce("dBA", F.lit(0.0))), F.asc("Timestamp_ms"), F.asc("WAV")]
-    return V.top_per_group(_events(spark, sf_dir).filter(F.col("Timestamp_ms").isNotNull()), ["messstelle", "Datum"], order, 6).select("messstelle", "Datum", "rang", "WAV", "dBA")
+    return V.top_per_group(_events(spark, sf_dir).filter(F.col("Timestamp_ms").isNotNull()), ["messstelle", "Datum"], order, 6).select("messstelle", "Datum", F.col("rang").cast("long").alias("rang"), "WAV", "dBA")
 
 
 def label_import(spark, sf_dir):
@@ -154,7 +154,7 @@ def label_update(spark, sf_dir):
 
 
 _EP = f"""{_E}, l AS (SELECT *, coalesce(Timestamp_ms - lag(Timestamp_ms) OVER (PARTITION BY messstelle, Datum ORDER BY Timestamp_ms, WAV) > 120000, true) AS neu FROM e WHERE Timestamp_ms IS NOT NULL),
-    p AS (SELECT *, sum(neu::INT) OVER (PARTITION BY messstelle, Datum ORDER BY Timestamp_ms, WAV) AS episode FROM l)"""
+    p AS (SELECT *, CAST(sum(neu::INT) OVER (PARTITION BY messstelle, Datum ORDER BY Timestamp_ms, WAV) AS BIGINT) AS episode FROM l)"""
 
 
 def _vote(frm: str, keys: str, missing: float) -> str:

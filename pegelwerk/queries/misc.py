@@ -106,7 +106,7 @@ def cosine_similarity(spark, sf_dir):
 def representatives(spark, sf_dir):
     """Rows at given places of the similarity ranking: W-16."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.round(X.doubles(F.col("embedding"))[0], 6).alias("s"))
-    return K.representatives(e, "label", "s", "vec_id").select("label", "vec_id", "platz")
+    return K.representatives(e, "label", "s", "vec_id").select("label", "vec_id", F.col("platz").cast("long").alias("platz"))
 
 
 def cluster_vote(spark, sf_dir):

@@ -51,7 +51,7 @@ def weather_event_summary(spark, sf_dir):
     d = r.groupBy("station", "lauf").agg(
         (F.min("ende") - HOUR).alias("begin"), F.sum("regen").alias("regen"), F.max("regen").alias("spitze"), F.avg("wind").alias("wind"), F.max("wind").alias("wind_max"), F.max("boe").alias("boe")
     )
-    return d.select("station", "begin", r6("regen"), r6("spitze"), r6("wind"), "boe", L.rain_class(F.col("spitze"), 25.0, 60.0).alias("klasse"), L.beaufort(F.col("wind_max") / 10).cast("long").alias("bft"))
+    return d.select("station", "begin", r6("regen"), r6("spitze"), r6("wind"), "boe", L.rain_class(F.col("spitze"), 25.0, 60.0).alias("klasse"), L.beaufort(F.col("wind_max") / 10).alias("bft"))
 
 
 def circular_direction(spark, sf_dir):
