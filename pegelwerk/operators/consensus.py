@@ -106,8 +106,8 @@ def filled(c: Column, kind: str) -> Column:
 
 
 def duplicates(rows: DataFrame, keys: list[str], row_id: str) -> DataFrame:
-    """rows whose key occurs twice or more, with the group's smallest row id as ``_group``. Null keys are no group."""
-    rows = rows.dropna(subset=keys)
+    """rows whose key occurs twice or more, with the group's smallest row id as ``_group``. Null keys are no group, rows without id in none."""
+    rows = rows.dropna(subset=[*keys, row_id])
     twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_group")).filter("_n > 1").drop("_n")
     return rows.join(twice, keys)
 

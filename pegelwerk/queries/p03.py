@@ -24,7 +24,7 @@ def _minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = measured.select(F.lit("measurements").alias("tabelle"), "messstelle", "utc_ms", "levelDb")
     energy = F.pow(F.lit(10.0), F.col("levelDb") / 10)
     filled = grid.steps(
-        levels.unionByName(measured),
+        levels.unionByName(measured).filter(F.col("messstelle").isNotNull()),
         ["tabelle", "messstelle"],
         "utc_ms",
         60,

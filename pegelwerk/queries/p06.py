@@ -26,7 +26,7 @@ def measurement_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the three tables that need work, in one shape, with the parsed value."""
     s = table(spark, sf_dir, "sessions").select(F.col("id").alias("sessionId"), "zeitangabe")
-    m = table(spark, sf_dir, "measurements").select("id", "sessionId", "timestamp").join(s, "sessionId", "left")
+    m = table(spark, sf_dir, "measurements").filter(F.col("id").isNotNull()).select("id", "sessionId", "timestamp").join(s, "sessionId", "left")
     ms, local = I.parse_epoch(F.col("timestamp")), F.coalesce(F.col("zeitangabe") == "ortszeit", F.lit(False))
     none = F.lit(None).cast("long")
     m = m.select(
