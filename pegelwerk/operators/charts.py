@@ -6,6 +6,8 @@ source with a third of all rows is many shards, each judged by itself:
 * physical limits: a level outside of (0, 160], or fields that contradict each other;
 * control chart: mean and scale follow the readings with exponential weights; a reading
   outside of the control limits is suspected and clipped before it updates them.  The
+  limits are multiples of the source's own scale, with a floor of a few steps of its
+  resolution, and wider where the level moves steadily (the median of five steps).  The
   chart runs forwards and backwards, and a reading is flagged only if both suspect it:
   a jump up and back is an error, while noise that swells and fades, or a level that
   changes for good, is near its neighbours on at least one side.  More than ``hold``
@@ -42,13 +44,12 @@ def _any(cs: list[Column]) -> Column:
     return out
 
 
-def chart(x, starts, weight: float, limit: float, width: float, hold: int, scale: float):
-    """Flags of a forward chart over a list of readings; ``starts`` are positions after a gap."""
+def chart(x, starts, least, weight: float, width: float, hold: int, scale: float):
+    """Flags of a forward chart over a list of readings; ``starts`` are positions after a gap, ``least`` is each reading's least limit."""
     flags = bytearray(len(x))
     mean, held, slow, floor = x[0], 0, 0.02, 0.05
     nexts = iter([*sorted(starts), len(x) + 1])
     start = next(nexts)
-    bound = max(limit, width * scale)
     for i, v in enumerate(x):
         if i == start:  # nothing is known about what was between: the median of the next readings
             start = next(nexts)
@@ -56,14 +57,14 @@ def chart(x, starts, weight: float, limit: float, width: float, hold: int, scale
             mean, held = ahead[len(ahead) // 2], 0
         e = v - mean
         a = e if e >= 0 else -e
+        bound = width * scale
+        if bound < least[i]:
+            bound = least[i]
         if a <= bound:
             mean += weight * e
             scale += slow * ((a if a < 3 * scale else 3 * scale) - scale)
             if scale < floor:
                 scale = floor
-            bound = width * scale
-            if bound < limit:
-                bound = limit
             held = 0
         else:
             flags[i] = 1
@@ -84,6 +85,22 @@ def _judge(fields: list[str], p: dict):
     import numpy as np
     import pyarrow as pa
 
+    def least_limits(t, x, scale):
+        """Each reading's least limit: steps of the resolution, and how fast the level moves steadily around it."""
+        values = np.unique(x.round(6))
+        floor = max(p["limit"], p["steps"] * float(np.median(np.diff(values))) if len(values) > 1 else 0.0)
+        first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])  # one reading a second
+        if len(first) < 6:
+            return np.full(len(x), floor)
+        # lmin and lmax have long tails: how far single readings stand out on both sides
+        step = np.diff(x[first])
+        alone = np.where(step[1:] * step[:-1] < 0, np.minimum(np.abs(step[1:]), np.abs(step[:-1])), 0.0)
+        floor = max(floor, min(p["tail"] * float(np.subtract(*np.quantile(alone, (0.99, 0.9)))), 2 * p["width"] * scale))
+        # two edges of an error don't move the median of five steps; a swelling noise does
+        slope = np.abs(np.median(np.lib.stride_tricks.sliding_window_view(step, 5), axis=1))
+        near = np.lib.stride_tricks.sliding_window_view(np.pad(slope, (6, 6)), 8).max(axis=1)[: len(first)]
+        return np.maximum(floor, p["moving"] / p["weight"] * near)[np.cumsum(np.r_[True, t[1:] != t[:-1]]) - 1]
+
     def spikes(t, x):
         """Both charts, only where a jump could take a reading out of the limits."""
         jump = np.abs(np.diff(x))
@@ -93,11 +110,12 @@ def _judge(fields: list[str], p: dict):
             return out
         scale = max(float(np.median(jump)), 0.1)
         gaps = np.flatnonzero(np.diff(t) > p["gap_s"]) + 1
-        args = (p["weight"], p["limit"], p["width"], p["hold"], scale)
-        ahead = np.frombuffer(chart(x.tolist(), [0, *gaps.tolist()], *args), np.uint8)
+        least = least_limits(t, x, scale)
+        args = (p["weight"], p["width"], p["hold"], scale)
+        ahead = np.frombuffer(chart(x.tolist(), [0, *gaps.tolist()], least.tolist(), *args), np.uint8)
         if not ahead.any():
             return out
-        back = np.frombuffer(chart(x[::-1].tolist(), [0, *(len(x) - gaps).tolist()], *args), np.uint8)[::-1]
+        back = np.frombuffer(chart(x[::-1].tolist(), [0, *(len(x) - gaps).tolist()], least[::-1].tolist(), *args), np.uint8)[::-1]
         return (ahead & back).astype(bool)
 
     def stuck(t, x):
@@ -148,14 +166,15 @@ def implausible(
 ) -> DataFrame:
     """rows -> (row_id, spike, stuck) of rows that the charts or the run counters flag.
 
-    Times are in whole seconds.  ``weight``: of a new reading in the mean; ``limit`` and
-    ``width``: control limits, at least ``limit`` dB and ``width`` times the scale;
+    Times are in whole seconds.  ``weight``: of a new reading in the mean; ``width``: control
+    limits as a multiple of the scale, at least ``limit`` dB, ``steps`` steps of the
+    resolution, ``tail`` times the last tenth's reach of how far readings stand out, and ``moving`` times what a steady movement takes the chart off;
     ``hold``: suspected readings in a row that make a new level; ``gap_s``: a longer pause
     starts the chart anew; ``run_least``, ``run_chance``: a stretch is stuck from so many
     equal readings on, and if chance gives it at most this probability.
     Rows with a null source, time or id are not judged; ids must be unique.
     """
-    p = {"weight": 0.5, "limit": 8.5, "width": 4.0, "hold": 12, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
+    p = {"weight": 0.5, "limit": 0.5, "width": 6.5, "steps": 4.0, "tail": 5.5, "moving": 2.0, "hold": 12, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
     shard = lambda t: _whole(t, shard_s)
     t = F.col(t_s).cast("long")
     slim = rows.dropna(subset=[source, t_s, row_id]).select(

@@ -68,3 +68,23 @@ def test_odd_tables(spark):
     assert implausible(df.limit(0), "s", "t", "id", FIELDS).count() == 0
     clash = df.withColumnRenamed("extra", "shard").withColumn("own", F.lit(1))
     assert implausible(clash, "s", "t", "id", FIELDS).count() == 0
+
+
+def narrow(seed, spread, n=4000):
+    r = random.Random(seed)
+    return [[k, "a", 1_000_000 + k, b, b - 0.5 - abs(r.gauss(0, spread)), b + 0.5 + abs(r.gauss(0, spread)), "x"] for k in range(n) for b in [50 + r.gauss(0, spread)]]
+
+
+def test_limits_follow_the_source(spark):
+    rows, want = [], set()
+    for s, spread in enumerate((0.2, 0.35, 0.5)):
+        data = narrow(s, spread)
+        for k, scales in ((300, 9.5), (900, -10), (1500, 12), (2100, -15), (2101, -14), (3900, 15)):
+            shift(data[k], scales * spread)
+            want.add((str(s), k))
+        for k in range(2500, 2520):  # a noise with steep edges, 5 dB a second
+            shift(data[k], min(5 * (k - 2499), 25, 5 * (2520 - k)))
+        rows += [(k + s * 10_000, str(s), *x) for k, _, *x in data]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(str(x.row_id // 10_000), x.row_id % 10_000) for x in implausible(df, "s", "t", "id", FIELDS).filter("spike").collect()}
+    assert got == want
