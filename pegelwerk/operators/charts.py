@@ -10,8 +10,8 @@ source with a third of all rows is many shards, each judged by itself:
   resolution, and wider where the level moves steadily (the median of five steps).  The
   chart runs forwards and backwards, and a reading is flagged only if both suspect it:
   a jump up and back is an error, while noise that swells and fades, or a level that
-  changes for good, is near its neighbours on at least one side.  More than ``hold``
-  suspected readings in a row are a new level;
+  changes for good, is near its neighbours on at least one side.  Suspected
+  readings are a new level only if it stays for more than ``stay_s``;
 * run lengths: a counter of equal readings; a stretch is stuck if it is longer than
   equal readings of that source could run by chance.
 """
@@ -44,38 +44,53 @@ def _any(cs: list[Column]) -> Column:
     return out
 
 
-def chart(x, starts, least, weight: float, width: float, hold: int, scale: float):
-    """Flags of a forward chart over a list of readings; ``starts`` are positions after a gap, ``least`` is each reading's least limit."""
-    flags = bytearray(len(x))
-    mean, held, slow, floor = x[0], 0, 0.02, 0.05
+def chart(x, t, starts, least, weight: float, width: float, hold: int, stay_s: int, scale: float):
+    """Flags of a forward chart over a list of readings; ``starts`` are positions after a gap, ``least`` is each reading's least limit.
+
+    Suspected readings are followed by a second chart.  It takes over, with its flags, once they are more than ``hold`` seconds
+    over more than ``stay_s``; if the level comes back before, they stay flagged.
+    """
+    flags, inner = bytearray(len(x)), bytearray(len(x))
+    mean, slow, floor = x[0], 0.02, 0.05
+    begin, held, last, new, far = -1, 0, None, 0.0, 0
     nexts = iter([*sorted(starts), len(x) + 1])
     start = next(nexts)
+    middle = lambda ahead: sorted(ahead)[len(ahead) // 2]
     for i, v in enumerate(x):
         if i == start:  # nothing is known about what was between: the median of the next readings
             start = next(nexts)
-            ahead = sorted(x[i : min(i + 9, start)])
-            mean, held = ahead[len(ahead) // 2], 0
+            mean, begin = middle(x[i : min(i + 9, start)]), -1
         e = v - mean
         a = e if e >= 0 else -e
         bound = width * scale
         if bound < least[i]:
             bound = least[i]
-        if a <= bound:
+        # after a long stretch one reading near the old level is no return
+        if a <= bound and (begin < 0 or held <= hold or abs(middle(x[i : i + 9]) - mean) <= bound):
             mean += weight * e
             scale += slow * ((a if a < 3 * scale else 3 * scale) - scale)
             if scale < floor:
                 scale = floor
-            held = 0
-        else:
-            flags[i] = 1
-            held += 1
-            if held > hold:  # a new level; what is far from it too stays suspected
-                for j in range(i - held + 1, i + 1):
-                    if -bound <= x[j] - v <= bound:
-                        flags[j] = 0
-                mean, held = v, 0
-            else:
+            begin = -1
+            continue
+        flags[i] = 1
+        if begin < 0:
+            begin, held, last, new, far = i, 0, None, middle(x[i : i + 9]), 0
+        if t[i] != last:  # copies of a second are one
+            held, last = held + 1, t[i]
+            far += 1
+            if held <= hold:
                 mean += weight * (scale if e > 0 else -scale)
+        if -bound <= v - new <= bound:
+            inner[i], far = 0, 0
+            new += weight * (v - new)
+        else:
+            inner[i] = 1
+            if far > hold:
+                new, far = v, 0
+        if held > hold and abs(t[i] - t[begin]) > stay_s:
+            flags[begin : i + 1] = inner[begin : i + 1]
+            mean, begin = new, -1
     return flags
 
 
@@ -111,11 +126,11 @@ def _judge(fields: list[str], p: dict):
         scale = max(float(np.median(jump)), 0.1)
         gaps = np.flatnonzero(np.diff(t) > p["gap_s"]) + 1
         least = least_limits(t, x, scale)
-        args = (p["weight"], p["width"], p["hold"], scale)
-        ahead = np.frombuffer(chart(x.tolist(), [0, *gaps.tolist()], least.tolist(), *args), np.uint8)
+        args = (p["weight"], p["width"], p["hold"], p["stay_s"], scale)
+        ahead = np.frombuffer(chart(x.tolist(), t.tolist(), [0, *gaps.tolist()], least.tolist(), *args), np.uint8)
         if not ahead.any():
             return out
-        back = np.frombuffer(chart(x[::-1].tolist(), [0, *(len(x) - gaps).tolist()], least[::-1].tolist(), *args), np.uint8)[::-1]
+        back = np.frombuffer(chart(x[::-1].tolist(), t[::-1].tolist(), [0, *(len(x) - gaps).tolist()], least[::-1].tolist(), *args), np.uint8)[::-1]
         return (ahead & back).astype(bool)
 
     def stuck(t, x):
@@ -169,12 +184,13 @@ def implausible(
     Times are in whole seconds.  ``weight``: of a new reading in the mean; ``width``: control
     limits as a multiple of the scale, at least ``limit`` dB, ``steps`` steps of the
     resolution, ``tail`` times the last tenth's reach of how far readings stand out, and ``moving`` times what a steady movement takes the chart off;
-    ``hold``: suspected readings in a row that make a new level; ``gap_s``: a longer pause
+    ``hold`` and ``stay_s``: more suspected
+    seconds than ``hold`` over more than ``stay_s``, without return, are a new level; ``gap_s``: a longer pause
     starts the chart anew; ``run_least``, ``run_chance``: a stretch is stuck from so many
     equal readings on, and if chance gives it at most this probability.
     Rows with a null source, time or id are not judged; ids must be unique.
     """
-    p = {"weight": 0.5, "limit": 0.5, "width": 6.5, "steps": 4.0, "tail": 5.5, "moving": 2.0, "hold": 12, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
+    p = {"weight": 0.5, "limit": 0.5, "width": 6.5, "steps": 4.0, "tail": 5.5, "moving": 2.0, "hold": 12, "stay_s": 120, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
     shard = lambda t: _whole(t, shard_s)
     t = F.col(t_s).cast("long")
     slim = rows.dropna(subset=[source, t_s, row_id]).select(

@@ -88,3 +88,29 @@ def test_limits_follow_the_source(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = {(str(x.row_id // 10_000), x.row_id % 10_000) for x in implausible(df, "s", "t", "id", FIELDS).filter("spike").collect()}
     assert got == want
+
+
+def test_bursts_that_return_and_copies_of_a_second(spark):
+    data, want = narrow(5, 0.4), set()
+    for a, n in ((500, 13), (1500, 40)):  # slightly varying, back at the old level
+        for k in range(a, a + n):
+            shift(data[k], 20)
+            want.add(k)
+    for k in range(2500, 2505):  # recovered three times
+        shift(data[k], 20)
+        want.add(k)
+        for c in (1, 2):
+            data.append([10_000 * c + k, *data[k][1:3], *[y + 0.1 * c for y in data[k][3:6]], "x"])
+            want.add(10_000 * c + k)
+    shift(data[2800], -15)  # a group of many copies
+    want.add(2800)
+    for c in range(20):
+        data.append([100_000 + c, *data[2800][1:]])
+        want.add(100_000 + c)
+    for k in range(3200, 4000):  # another level for good, with an error near the old one
+        shift(data[k], 12)
+    shift(data[3230], -12)
+    want.add(3230)
+    df = spark.createDataFrame([tuple(x) for x in data], SCHEMA)
+    got = {x.row_id for x in implausible(df, "s", "t", "id", FIELDS).filter("spike").collect()}
+    assert got == want
