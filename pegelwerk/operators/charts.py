@@ -44,22 +44,32 @@ def _any(cs: list[Column]) -> Column:
     return out
 
 
-def chart(x, t, starts, least, weight: float, width: float, hold: int, stay_s: int, scale: float):
+def chart(x, t, starts, least, wide: float, weight: float, width: float, hold: int, stay_s: int, scale: float):
     """Flags of a forward chart over a list of readings; ``starts`` are positions after a gap, ``least`` is each reading's least limit.
 
     Suspected readings are followed by a second chart.  It takes over, with its flags, once they are more than ``hold`` seconds
     over more than ``stay_s``; if the level comes back before, they stay flagged.
+
+    After a gap the level is the median of the next readings that are within ``wide`` of the level before; of what comes
+    next by itself only if that is enough and most of it is elsewhere.
     """
     flags, inner = bytearray(len(x)), bytearray(len(x))
-    mean, slow, floor = x[0], 0.02, 0.05
+    slow, floor, wider = 0.02, 0.05, False
     begin, held, last, new, far = -1, 0, None, 0.0, 0
     nexts = iter([*sorted(starts), len(x) + 1])
     start = next(nexts)
     middle = lambda ahead: sorted(ahead)[len(ahead) // 2]
+    mean = middle(x)
     for i, v in enumerate(x):
-        if i == start:  # nothing is known about what was between: the median of the next readings
+        wider = i == start
+        if wider:
             start = next(nexts)
-            mean, begin = middle(x[i : min(i + 9, start)]), -1
+            ahead = x[i : min(i + 25, start)]
+            near = [y for y in ahead if -wide <= y - mean <= wide]
+            if 4 * len(near) < len(ahead) and len({*t[i : min(i + 25, start)]}) >= 9:
+                mean, begin = middle(ahead), -1
+            elif near:
+                mean, begin = middle(near[:9]), -1
         e = v - mean
         a = e if e >= 0 else -e
         bound = width * scale
@@ -81,7 +91,8 @@ def chart(x, t, starts, least, weight: float, width: float, hold: int, stay_s: i
             far += 1
             if held <= hold:
                 mean += weight * (scale if e > 0 else -scale)
-        if -bound <= v - new <= bound:
+        reach = wide if wider and wide > bound else bound
+        if -reach <= v - new <= reach:
             inner[i], far = 0, 0
             new += weight * (v - new)
         else:
@@ -112,7 +123,10 @@ def _judge(fields: list[str], p: dict):
         alone = np.where(step[1:] * step[:-1] < 0, np.minimum(np.abs(step[1:]), np.abs(step[:-1])), 0.0)
         floor = max(floor, min(p["tail"] * float(np.subtract(*np.quantile(alone, (0.99, 0.9)))), 2 * p["width"] * scale))
         # two edges of an error don't move the median of five steps; a swelling noise does
-        slope = np.abs(np.median(np.lib.stride_tricks.sliding_window_view(step, 5), axis=1))
+        fives = lambda d: np.abs(np.median(np.lib.stride_tricks.sliding_window_view(d, 5), axis=1))
+        slope = fives(step)
+        # nor do errors in every other second move that of steps over two seconds
+        slope = np.minimum(slope, np.pad(fives((step[1:] + step[:-1]) / 2), (0, 1), "edge") if len(step) > 5 else slope)
         near = np.lib.stride_tricks.sliding_window_view(np.pad(slope, (6, 6)), 8).max(axis=1)[: len(first)]
         return np.maximum(floor, p["moving"] / p["weight"] * near)[np.cumsum(np.r_[True, t[1:] != t[:-1]]) - 1]
 
@@ -126,11 +140,14 @@ def _judge(fields: list[str], p: dict):
         scale = max(float(np.median(jump)), 0.1)
         gaps = np.flatnonzero(np.diff(t) > p["gap_s"]) + 1
         least = least_limits(t, x, scale)
+        # over a gap the level wanders: as steps over gaps show, or the spread of the readings
+        wide = 3 * 1.4826 * float(np.median(np.abs(x - np.median(x)))) if len(gaps) < 20 else p["width"] * float(np.median(jump[gaps - 1]))
+        wide += max(p["width"] * scale, float(least.min()))
         args = (p["weight"], p["width"], p["hold"], p["stay_s"], scale)
-        ahead = np.frombuffer(chart(x.tolist(), t.tolist(), [0, *gaps.tolist()], least.tolist(), *args), np.uint8)
+        ahead = np.frombuffer(chart(x.tolist(), t.tolist(), [0, *gaps.tolist()], least.tolist(), wide, *args), np.uint8)
         if not ahead.any():
             return out
-        back = np.frombuffer(chart(x[::-1].tolist(), t[::-1].tolist(), [0, *(len(x) - gaps).tolist()], least[::-1].tolist(), *args), np.uint8)[::-1]
+        back = np.frombuffer(chart(x[::-1].tolist(), t[::-1].tolist(), [0, *(len(x) - gaps).tolist()], least[::-1].tolist(), wide, *args), np.uint8)[::-1]
         return (ahead & back).astype(bool)
 
     def stuck(t, x):
@@ -185,12 +202,12 @@ def implausible(
     limits as a multiple of the scale, at least ``limit`` dB, ``steps`` steps of the
     resolution, ``tail`` times the last tenth's reach of how far readings stand out, and ``moving`` times what a steady movement takes the chart off;
     ``hold`` and ``stay_s``: more suspected
-    seconds than ``hold`` over more than ``stay_s``, without return, are a new level; ``gap_s``: a longer pause
-    starts the chart anew; ``run_least``, ``run_chance``: a stretch is stuck from so many
+    seconds than ``hold`` over more than ``stay_s``, without return, are a new level; ``gap_s``: after a longer
+    pause the chart looks for its level; ``run_least``, ``run_chance``: a stretch is stuck from so many
     equal readings on, and if chance gives it at most this probability.
     Rows with a null source, time or id are not judged; ids must be unique.
     """
-    p = {"weight": 0.5, "limit": 0.5, "width": 6.5, "steps": 4.0, "tail": 5.5, "moving": 2.0, "hold": 12, "stay_s": 120, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
+    p = {"weight": 0.5, "limit": 0.5, "width": 6.5, "steps": 4.0, "tail": 5.5, "moving": 2.5, "hold": 12, "stay_s": 120, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
     shard = lambda t: _whole(t, shard_s)
     t = F.col(t_s).cast("long")
     slim = rows.dropna(subset=[source, t_s, row_id]).select(

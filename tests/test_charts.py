@@ -114,3 +114,24 @@ def test_bursts_that_return_and_copies_of_a_second(spark):
     df = spark.createDataFrame([tuple(x) for x in data], SCHEMA)
     got = {x.row_id for x in implausible(df, "s", "t", "id", FIELDS).filter("spike").collect()}
     assert got == want
+
+
+def test_short_segments_are_judged_by_what_is_around(spark):
+    data, want = narrow(6, 0.4), set()
+    keep = set(range(1000)) | {1100, 1200, 1201} | set(range(1300, 1308)) | set(range(1400, 1500)) | set(range(1600, 4000))
+    for k in (1100, 1201, 1301, 1303, 1305, 1307, 1400, 1401, 1402, 1403, 1404, 1405, 1499):  # alone; one of two; half of eight; next to outages
+        shift(data[k], 35)
+        want.add(k)
+    for k in range(1600, 4000):  # another level after the outage
+        shift(data[k], 6)
+    wide = narrow(7, 0.4, 1500)  # a reading every 40 s, with another level for good
+    for k, x in enumerate(wide):
+        x[0], x[1], x[2] = 10_000 + k, "b", 1_000_000 + 40 * k
+        if k >= 900:
+            shift(x, 15)
+    for k in (50, 700, 1200, 1201):
+        shift(wide[k], 20)
+        want.add(10_000 + k)
+    df = spark.createDataFrame([tuple(data[k]) for k in sorted(keep)] + [tuple(x) for x in wide], SCHEMA)
+    got = {x.row_id for x in implausible(df, "s", "t", "id", FIELDS).filter("spike").collect()}
+    assert got == want
