@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.operators import instants as I
@@ -39,17 +39,18 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.alias("ref_ms"),
         ((ms != F.col("timestamp")) | local).alias("zu_melden"),
     )
-    # copies of a clip may lack the instant: one row per WAV before anything is decided
-    e = table(spark, sf_dir, "relevante_ereignisse").groupBy("WAV").agg(
-        F.min("Timestamp_ms").alias("ref_ms"), F.min(F.struct(F.col("Datum").isNull(), F.col("Uhrzeit").isNull(), "Datum", "Uhrzeit")).alias("t")
-    )
+    # copies of a clip may lack the instant, or hold an unreadable one: all are read, and one per WAV is chosen before anything is decided
+    e = table(spark, sf_dir, "relevante_ereignisse").groupBy("WAV", "Datum", "Uhrzeit").agg(F.min("Timestamp_ms").alias("ref_ms"))
+    day = F.coalesce("Datum", F.min("Datum").over(Window.partitionBy("WAV")))
+    choice = lambda w: F.struct(F.coalesce(w["wall_ms"], w["epoch_ms"]).isNull().alias("u"), F.col("Datum").isNull().alias("d"), "Datum", "Uhrzeit", w.alias("wert"))
+    e = e.withColumn("tag", day).groupBy("WAV").agg(F.min("ref_ms").alias("ref_ms"), F.min(I._let(I.parse_text(F.col("Uhrzeit"), F.col("tag")), choice)).alias("t"))
     e = e.filter(F.col("WAV").isNotNull()).select(
         F.lit("relevante_ereignisse").alias("tabelle"),
         F.col("WAV").alias("schluessel"),
         F.lit("relevante_ereignisse").alias("quelle"),
         F.pmod(F.xxhash64("WAV"), F.lit(1 << 40)).alias("seq"),
         F.lit(BERLIN).alias("angabe"),
-        I.parse_text(F.col("t.Uhrzeit"), F.col("t.Datum")).alias("wert"),
+        F.col("t.wert").alias("wert"),
         "ref_ms",
         F.col("ref_ms").isNull().alias("zu_melden"),
     )
