@@ -15,8 +15,7 @@ def _matched(spark: SparkSession, sf_dir: str, tolerance_ms: int = 5000) -> Data
         table(spark, sf_dir, "relevante_ereignisse")
         .filter(F.col("WAV").isNotNull() & F.col("Timestamp_ms").isNotNull())
         .groupBy(F.col("WAV").alias("key"))
-        .agg(F.min(F.struct(F.col("Timestamp_ms").alias("t"), F.col("messstelle").alias("entity"))).alias("x"))
-        .select("key", "x.t", "x.entity")
+        .agg(F.min("Timestamp_ms").alias("t"), F.min("messstelle").alias("entity"))
     )
     levels = table(spark, sf_dir, "level_samples").select(F.col("messstelle").alias("entity"), F.col("at").alias("t"), "id")
     measured = measurement_instants(spark, sf_dir).select(F.col("messstelle").alias("entity"), F.col("utc_ms").alias("t"), "id")

@@ -14,8 +14,7 @@ def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "relevante_ereignisse")
         .filter(F.col("WAV").isNotNull() & F.col("Timestamp_ms").isNotNull())
         .groupBy("WAV")
-        .agg(F.min(F.struct("Timestamp_ms", "messstelle", "Datum")).alias("x"), F.max(finite(F.col("dBA"))).alias("dBA"))
-        .select("WAV", "x.*", "dBA")
+        .agg(*[F.min(c).alias(c) for c in ("Timestamp_ms", "messstelle", "Datum")], F.max(finite(F.col("dBA"))).alias("dBA"))
     )
     return session_tree(clips, ["messstelle"], "Timestamp_ms", "WAV", "dBA", limit="Datum")
 
