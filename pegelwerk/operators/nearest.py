@@ -71,7 +71,7 @@ def _merge(tolerance: int, names: list[str]):
         if not len(t):
             return tail, []
         left = np.flatnonzero(side < 0)
-        open_ = (ent[left] == ent[-1]) & (t[left] > t[-1] - tolerance) if not last else np.zeros(len(left), bool)
+        open_ = (ent[left] == ent[-1]) & (t[left] >= t[-1] - tolerance) if not last else np.zeros(len(left), bool)
         out = []
         for k, l, r, d in match(ent, t, side, rid, left, ~open_):
             if len(l):
@@ -79,7 +79,7 @@ def _merge(tolerance: int, names: list[str]):
                     [pa.array(key[l], pa.string()), pa.array([names[k]] * len(l), pa.string()), pa.array(rid[r]), pa.array(d)],
                     names=["key", "side", "partner_id", "distance"],
                 ))
-        keep = (ent == ent[-1]) & (t >= t[-1] - 2 * tolerance) & ((side >= 0) | (t > t[-1] - tolerance))
+        keep = (ent == ent[-1]) & (t >= t[-1] - 2 * tolerance) & ((side >= 0) | (t >= t[-1] - tolerance))
         return (ent[keep], t[keep], side[keep], rid[keep], key[keep]), out
 
     return run

@@ -50,3 +50,15 @@ def test_empty_and_inclusive(spark):
     right = spark.createDataFrame([("a", 5_000, 7), ("a", 15_000, 3), ("a", 15_001, 1)], "entity string, t bigint, id bigint")
     assert [tuple(x) for x in nearest(left, {"x": right}, 5_000, 2).collect()] == [("k", "x", 3, 5000)]
     assert nearest(left.limit(0), {"x": right}, 500, 2).count() == 0
+
+
+def test_partner_at_the_tolerance_in_the_next_batch():
+    import pyarrow as pa
+
+    from pegelwerk.operators.nearest import _merge
+
+    rows = [("a", 0, -1, -1, "e"), ("a", 5000, 0, 3, None), ("a", 5000, 1, 4, None)]
+    kinds = {"entity": pa.string(), "t": pa.int64(), "side": pa.int32(), "id": pa.int64(), "key": pa.string()}
+    batches = [pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(r, kinds.values())], names=list(kinds)) for r in rows]
+    found = {tuple(r.values()) for b in _merge(5000, ["x", "y"])(iter(batches)) for r in b.to_pylist()}
+    assert found == {("e", "x", 3, 5000), ("e", "y", 4, 5000)}
