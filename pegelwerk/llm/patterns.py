@@ -85,13 +85,23 @@ LABEL = (
     rf"(?:(?:Gez|gez)\.|(?:Signed|Signé|SignÃ©|Signé|bearbeiter|agent|clerk|Name|Nom|Contact|Kontakt){S}?[:=]"
     rf"|Grüßen|GrÃ¼ÃŸen|regards,|salutations,?|Ansprechpartner(?:in)?{S}+ist|contact{S}+(?:is|est)|Auskunft{S}+von|According{S}+to|Selon)"
 )
-_W = rf"{UP}{L}+"
+_W = rf"(?:{UP}['’])?{UP}{L}+"
 _LAST = rf"{_W}(?:-{_W})*"
 _INI = rf"{UP}\."
 #: Given [initial] family | initial family | family, given [initial].
 NAME = regex.compile(
-    rf"(?<![\p{{L}}\p{{N}}@._-])(?:(?P<last>{_LAST}),{G}(?P<first>{_W}|{_INI})(?:{G}{_INI})?"
-    rf"|(?P<first>{_W})(?:{G}{_INI})?{G}(?P<last>{_LAST})|(?P<first>{_INI}){G}(?P<last>{_LAST}))(?![\p{{L}}\p{{N}}@]|-\p{{L}})"
+    rf"(?<![\p{{L}}\p{{N}}@._'’-])(?:(?P<last>{_LAST}),{G}(?P<first>{_LAST}|{_INI})(?:{G}{_INI})?"
+    rf"|(?P<first>{_LAST})(?:{G}{_INI})?{G}(?P<last>{_LAST})|(?P<first>{_INI}){G}(?P<last>{_LAST}))(?![\p{{L}}\p{{N}}@]|-\p{{L}})"
+)
+_PARTICLE = (
+    rf"(?:(?:(?:von|van|vom|zu|zur|de|di|da|del|della|dos|ten|ter|VON|VAN|VOM|ZU|ZUR|DE|DI|DA|DEL|DELLA|DOS|TEN|TER)"
+    rf"(?:{SP}(?:der|den|dem|la|las|le|los|zu|DER|DEN|DEM|LA|LAS|LE|LOS|ZU))?|du|le|la|DU|LE|LA){SP}|[dD]['’])"
+)
+PARTICLE = regex.compile(_PARTICLE)
+#: Several given or family words, particles, and one line break; "," after the first as above.
+LONG = regex.compile(
+    rf"(?<![\p{{L}}\p{{N}}@._'’-])(?:(?P<first>{_LAST}|(?!M\.){_INI})(?:{SP}{_INI}|{SP}(?P<part>{_PARTICLE})?(?P<word>{_LAST})(?![\p{{L}}\p{{N}}@]|-\p{{L}})){{1,4}}"
+    rf"|(?P<last>(?:{_PARTICLE})?{_LAST}),{SP}(?P<given>{_LAST})(?:{SP}(?P<more>{_LAST}|{_INI}))*(?![\p{{L}}\p{{N}}@]|-\p{{L}}))"
 )
 CUE = regex.compile(rf"(?:(?<![\p{{L}}]){TITLE}\.?|{LABEL}){SP}?$")
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pegelwerk.llm import patterns
 from pegelwerk.plans.lineage import cut
 
-SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, cue boolean"
+SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, cue boolean, more string"
 
 
 def plain(word: str) -> str:
@@ -46,15 +46,42 @@ def candidates(text: str, ending: int):
     """Rows of SCHEMA after doc_id: direct identifiers, and pairs of words that may be names."""
     direct = patterns.spans(text)
     for a, b, kind in direct:
-        yield a, b, kind, text[a:b], None, None, None
+        yield a, b, kind, text[a:b], None, None, None, None
+    yield from _names(text, direct, ending, patterns.NAME, lambda m: [(m.end(), m["first"], m["last"], None)])
+    yield from _names(text, direct, ending, patterns.LONG, _longer)
+
+
+def _longer(m):
+    """(end, given, family, words between) of the names that NAME can't hold, from one start."""
+    if m["last"]:
+        part = patterns.PARTICLE.match(m["last"])
+        if part and patterns.CUE.search(m.string[max(0, m.start() - 30) : m.start() + part.end()]):  # "Auskunft von" is a label
+            return
+        words = [m.span("given"), *[x for x, w in zip(m.spans("more"), m.captures("more")) if not w.endswith(".")]]
+        for k, (_, end) in enumerate(words):
+            whole = m.string[m.start() : end]
+            if (k or "\n" in whole or part) and whole.count("\n") <= (k < 2):
+                yield end, m["given"], m["last"], "|".join(m.string[a:b] for a, b in words[1 : k + 1])
+        return
+    words = m.captures("word")
+    for k, (_, end) in enumerate(m.spans("word")):
+        whole = m.string[m.start() : end]
+        if (k or "\n" in whole or any(b <= end for _, b in m.spans("part"))) and whole.count("\n") <= (k < 2):
+            yield end, m["first"], words[k], "|".join(words[:k])
+
+
+def _names(text: str, direct: list, ending: int, shape, read):
     k = 0
-    for m in patterns.NAME.finditer(text, overlapped=True):
+    for m in shape.finditer(text, overlapped=True):
         while k < len(direct) and direct[k][1] <= m.start():
             k += 1
-        if k < len(direct) and direct[k][0] < m.end():
-            continue
-        cue = patterns.CUE.search(text[max(0, m.start() - 30) : m.start()]) is not None
-        yield m.start(), m.end(), "name", m.group(), plain(m["first"]), plain(m["last"])[-ending:], cue
+        cue = None
+        for end, first, last, more in read(m):
+            if k < len(direct) and direct[k][0] < end:
+                continue
+            if cue is None:
+                cue = patterns.CUE.search(text[max(0, m.start() - 30) : m.start()]) is not None
+            yield m.start(), end, "name", text[m.start() : end], plain(first), plain(last)[-ending:], cue, more and plain(more)
 
 
 def _scan(ending: int):
@@ -69,7 +96,7 @@ def _scan(ending: int):
             ]
             for at in range(0, len(rows), 20_000):
                 cols = list(zip(*rows[at : at + 20_000]))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 4, pa.bool_()]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 4, pa.bool_(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return run
@@ -86,7 +113,7 @@ def disclosure(cands: DataFrame, role: str, smoothing: float = 2.0) -> DataFrame
 
     ``share`` = announced / (n + smoothing); ``bits`` = log2 of the share over the corpus' share.
     """
-    pairs = cands.filter(F.col("typ") == "name")
+    pairs = cands.filter((F.col("typ") == "name") & F.col("more").isNull())
     terms = pairs.groupBy(F.col(role).alias("term")).agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("announced"))
     total = terms.agg((F.sum("announced") / F.sum("n")).alias("base"))
     share = F.col("announced") / (F.col("n") + smoothing)
@@ -94,19 +121,29 @@ def disclosure(cands: DataFrame, role: str, smoothing: float = 2.0) -> DataFrame
     return terms.filter("announced > 0").crossJoin(F.broadcast(total)).select("term", "n", "announced", share.alias("share"), F.log2(share / F.col("base")).alias("bits"))
 
 
-def protected(cands: DataFrame, threshold: float = 0.25) -> DataFrame:
+def protected(cands: DataFrame, threshold: float = 0.25, ending: int = 4, least: int = 3) -> DataFrame:
     """candidates -> (doc_id, start, end, typ, wert) of what must be protected, without overlaps.
 
     A pair is a name if both terms disclose (share >= threshold), or one of them right behind a
     title or label.  An initial discloses by its family name alone.  Of overlapping names the
     earlier, then the longer one counts.
     """
-    strong = lambda role: disclosure(cands, role).filter(F.col("share") >= threshold).select(F.col("term").alias(role), F.lit(True).alias(f"{role}_ok"))
+    strong = lambda role: disclosure(cands, role).filter(F.col("share") >= threshold).select(F.col("term").alias(role), F.lit(True).alias(f"{role}_ok"), (F.col("announced") >= least).alias(f"{role}_sure"))
     pairs = cands.filter(F.col("typ") == "name").join(strong("given"), "given", "left").join(strong("family"), "family", "left")
     given = F.coalesce("given_ok", F.lit(False))
     family = F.coalesce("family_ok", F.lit(False))
     initial = F.length("given") == 2
-    names = pairs.filter((family & (given | (initial & F.col("given").endswith(".")))) | (F.col("cue") & (family | (given & ~initial))))
+    # each word between, on its own
+    word = F.explode(F.split("more", r"\|")).alias("given")
+    inner = pairs.filter((F.length("more") > 0) & family).select("doc_id", "start", "end", word).withColumn("family", F.expr(f"right(given, {ending})"))
+    inner = inner.join(strong("given").drop("given_sure"), "given", "left").join(strong("family").drop("family_sure"), "family", "left")
+    inner = inner.groupBy("doc_id", "start", "end").agg(F.min(F.coalesce("given_ok", "family_ok", F.lit(False))).alias("inner_ok"))
+    pairs = pairs.join(inner, ["doc_id", "start", "end"], "left")
+    both = family & (given | (initial & F.col("given").endswith(".")))
+    # more words, a particle or a line break: the first and the last must disclose, and what is between unless the name is announced;
+    # one chance announcement ("M. Miller Checksum") doesn't make a last word
+    long = both & F.col("family_sure") & (F.col("more").eqNullSafe("") | F.coalesce("inner_ok", F.lit(False)) | (F.col("cue") & ~F.col("wert").contains(",")))
+    names = pairs.filter(F.when(F.col("more").isNotNull(), long).otherwise(both | (F.col("cue") & (family | (given & ~initial)))))
     w = Window.partitionBy("doc_id").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     names = names.withColumn("_reach", F.max("end").over(w)).filter(F.col("_reach").isNull() | (F.col("_reach") <= F.col("start")))
     cols = ["doc_id", "start", "end", "typ", "wert"]

@@ -79,3 +79,20 @@ def test_empty_and_repeated(spark):
     assert privacy.found(df.limit(0)).count() == 0
     one = {tuple(r) for r in privacy.found(df).collect()}
     assert {tuple(r) for r in privacy.found(df.unionByName(df)).collect()} == one
+
+
+@pytest.mark.parametrize("text, wert", [
+    ("Herr Karl-Heinz Holmwick kam.", "Karl-Heinz Holmwick"),
+    ("bearbeiter=Holmwick, Karl-Heinz;stand=offen", "Holmwick, Karl-Heinz"),
+    ("Herr Jonas von Holmwick kam.", "Jonas von Holmwick"),
+    ("Gestern kam Jonas van der Holmwick an.", "Jonas van der Holmwick"),
+    ("Frau Fiona O'Holmwick kam.", "Fiona O'Holmwick"),
+    ("Gestern kam Fiona D’Holmwick an.", "Fiona D’Holmwick"),
+    ("Gestern kam Fiona\nHolmwick an.", "Fiona\nHolmwick"),
+    ("Frau Fiona Maria Holmwick kam.", "Fiona Maria Holmwick"),
+    ("Gestern kam Jonas Holmwick Brackthorpe an.", "Jonas Holmwick Brackthorpe"),
+    ("Holmwick, Fiona Jonas kam.", "Holmwick, Fiona Jonas"),
+    ("Jonas Holmwick\nDie Pumpe läuft.", "Jonas Holmwick"),
+])
+def test_forms_of_names(spark, text, wert):
+    assert {w for i, w in names(spark, [*CORPUS, (50, text)]) if i == 50} == {wert}
