@@ -9,14 +9,14 @@ from pegelwerk.operators.sessions import cut, session_tree
 from pegelwerk.sources.tables import finite, table
 
 
-def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tree(spark: SparkSession, sf_dir: str, settings: list[int]) -> DataFrame:
     clips = (
         table(spark, sf_dir, "relevante_ereignisse")
         .filter(F.col("WAV").isNotNull() & F.col("Timestamp_ms").isNotNull())
         .groupBy("WAV")
         .agg(*[F.min(c).alias(c) for c in ("Timestamp_ms", "messstelle", "Datum")], F.max(finite(F.col("dBA"))).alias("dBA"))
     )
-    return session_tree(clips, ["messstelle"], "Timestamp_ms", "WAV", "dBA", limit="Datum")
+    return session_tree(clips, ["messstelle"], "Timestamp_ms", "WAV", "dBA", limit="Datum", settings=settings)
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def _named(df: DataFrame) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(cut(_tree(spark, sf_dir), 120_000))
+    return _named(cut(_tree(spark, sf_dir, [120_000]), 120_000))
 
 
 def p4_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def p4_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = [10_000, 30_000, 60_000, 120_000, 300_000, 900_000]
     s = F.explode(F.array(*[F.lit(x).cast("long") for x in settings]))
     return (
-        _tree(spark, sf_dir)
+        _tree(spark, sf_dir, settings)
         .select("*", s.alias("pause_ms"))
         .filter((F.col("gap") <= F.col("pause_ms")) & (F.col("upper_gap") > F.col("pause_ms")))
         .groupBy("pause_ms")
