@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pegelwerk.operators.nearest import nearest
-from pegelwerk.queries.p06 import measurement_instants
+from pegelwerk.queries.p06 import MEASURED, measurement_instants
 from pegelwerk.sources.tables import shuffle_partitions, table
 
 
@@ -35,15 +35,9 @@ def p2_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MEASURED = """
-    SELECT m.id, s.messstelle, CASE WHEN s.zeitangabe = 'ortszeit'
-        THEN epoch_ms(timezone('Europe/Berlin', make_timestamp(ms * 1000))) ELSE ms END AS t
-    FROM (SELECT id, sessionId, CASE WHEN timestamp < 100000000000 THEN timestamp * 1000 WHEN timestamp < 100000000000000 THEN timestamp
-        WHEN timestamp < 100000000000000000 THEN timestamp // 1000 ELSE timestamp // 1000000 END AS ms FROM measurements) m
-    JOIN sessions s ON s.id = m.sessionId"""
 _PAIRS = f"""
     WITH e AS (SELECT WAV AS wav, min(Timestamp_ms) AS t, min(messstelle) AS messstelle FROM relevante_ereignisse WHERE Timestamp_ms IS NOT NULL GROUP BY WAV),
-    m AS ({_MEASURED}),
+    m AS ({MEASURED}),
     r AS (SELECT 'level_samples' AS tabelle, messstelle, "at" AS t, id FROM level_samples UNION ALL SELECT 'measurements', messstelle, t, id FROM m),
     x AS (SELECT e.wav, r.tabelle, r.id AS partner_id, abs(e.t - r.t) AS d FROM e JOIN r ON r.messstelle = e.messstelle AND r.t BETWEEN e.t - 5000 AND e.t + 5000),
     y AS (SELECT *, row_number() OVER (PARTITION BY wav, tabelle ORDER BY d, partner_id) AS k FROM x)"""

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from pegelwerk.operators import grid
 from pegelwerk.operators.instants import local_day
-from pegelwerk.queries.p02 import _MEASURED
-from pegelwerk.queries.p06 import BERLIN, measurement_instants
+from pegelwerk.queries.p06 import BERLIN, MEASURED, measurement_instants
 from pegelwerk.sources.tables import table
 
 KEYS = ["tabelle", "messstelle", "tag"]
@@ -46,7 +45,7 @@ def p3_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FILLED = f"""
-    WITH m AS ({_MEASURED}),
+    WITH m AS ({MEASURED}),
     r AS (SELECT 'level_samples' AS tabelle, messstelle, "at" AS t, levelDb FROM level_samples WHERE source = 'PCE_323'
         UNION ALL SELECT 'measurements', m.messstelle, m.t, x.levelDb FROM m JOIN measurements x USING (id) JOIN sessions s ON s.id = x.sessionId
         WHERE s.deviceName = 'PCE-323' AND x.flags IS NOT NULL AND x.flags & 11 = 0),

@@ -94,5 +94,13 @@ def p6_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _histories(_pieces(spark, sf_dir)).select("quelle", "zone", "violations", F.col("values").alias("werte"))
 
 
+#: measurements with station and instant, for the statements of other queries
+MEASURED = """
+    SELECT m.id, s.messstelle, CASE WHEN s.zeitangabe = 'ortszeit'
+        THEN epoch_ms(timezone('Europe/Berlin', make_timestamp(ms * 1000))) ELSE ms END AS t
+    FROM (SELECT id, sessionId, CASE WHEN timestamp < 100000000000 THEN timestamp * 1000 WHEN timestamp < 100000000000000 THEN timestamp
+        WHEN timestamp < 100000000000000000 THEN timestamp // 1000 ELSE timestamp // 1000000 END AS ms FROM measurements) m
+    JOIN sessions s ON s.id = m.sessionId"""
+
 QUERIES = {"p6_found": p6_found, "p6_zones": p6_zones}
 SQL: dict[str, str] = {}
