@@ -1 +1 @@
-"""Operators on texts for training data. Nothing else in the package imports this one."""
+"""Operators for training data that are tagged llm. Nothing else in the package imports this one."""

@@ -1,10 +1,10 @@
-"""The text queries and their SQL."""
+"""The queries of the operators tagged llm and their SQL."""
 
 from __future__ import annotations
 
-from pegelwerk.llm import p07, p08, p09
+from pegelwerk.llm import p02, p05, p07, p08, p09
 
-MODULES = (p07, p08, p09)
+MODULES = (p02, p05, p07, p08, p09)
 
 
 def queries() -> dict:
