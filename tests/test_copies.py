@@ -51,7 +51,5 @@ def test_p6_reads_every_copy(spark, tables):
 def test_emptied_copies_of_a_clip(spark, tables):
     at = NOON
     events = [HEAD] + [(w, m, d, None, at + 1000 * k, 50.0 + k) for k, w in enumerate("abc") for m, d in (("st", DAY), ("st", None), (None, DAY))]
-    sf = tables(events, level_samples=[("id", "messstelle", "at"), (7, "st", at)])
+    sf = tables(events)
     assert [tuple(r) for r in entry.queries()["p4_found"](spark, sf).collect()] == [("st", at, at + 2000, 3, "c")]
-    got = entry.queries()["p2_found"](spark, sf).filter("tabelle = 'level_samples'").collect()
-    assert sorted((r.wav, r.partner_id) for r in got) == [("a", 7), ("b", 7), ("c", 7)]
