@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pegelwerk.llm import privacy
-from pegelwerk.plans.lineage import cut
 from pegelwerk.sources.tables import table
 
 
@@ -21,9 +20,9 @@ def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Disclosing terms: how many bits each gives about a person being named."""
-    cands = cut(privacy.scan(table(spark, sf_dir, "documents")))
-    rows = [privacy.disclosure(cands, r).withColumn("rolle", F.lit(r)) for r in ("given", "family")]
-    return rows[0].unionByName(rows[1]).select("rolle", "term", "n", "announced", F.round("share", 6).alias("share"), F.round("bits", 6).alias("bits"))
+    terms = privacy.disclosure(privacy.read(table(spark, sf_dir, "documents")))
+    rows = [terms[r].withColumn("rolle", F.lit(r)) for r in ("given", "family")]
+    return rows[0].unionByName(rows[1]).select("rolle", "term", "n", F.round("announced", 6).alias("announced"), F.round("share", 6).alias("share"), F.round("bits", 6).alias("bits"))
 
 
 QUERIES = {"p9_found": p9_found, "p9_sanitised": p9_sanitised, "p9_terms": p9_terms}

@@ -1,36 +1,47 @@
 """Personal data in texts: found, typed, and replaced by placeholders.
 
 Direct identifiers (mail and street addresses, phone and identity numbers) have shapes.
-Names have none: what is a name is learned from the corpus, by how strongly a term
-reveals a protected person.  A term's disclosure is the share of its occurrences, in
-the place of a given or family name, that stand right behind a title or a label that
-announces a person ("Frau", "Signed:", ...); against the corpus' average share that is
-the information, in bits, the term gives about a person being named.  A pair of terms
-above the threshold is a name wherever it stands, announced or not.  Family names are
-many and rare, so their evidence is pooled over endings.
+Names have none: what is a name is learned from the whole corpus, by how strongly a term
+reveals a protected person.
+
+1. *Co-occurrence.*  A pair of capitalised words may be a name.  Terms in the place of the
+   given name whose texts hold direct identifiers far more often than the corpus does
+   (binomial information, in bits) and that go with several other terms, and terms that
+   words of address stand before, are seeds.
+2. *Contexts.*  The one or two tokens before a pair are a cue if most pairs behind them
+   begin with a seed and the pairs differ.  Words of address are cues beforehand; labels,
+   closings and roles ("Signed:", "agent=", "Kontakt ist", ...) are learned.
+3. *Disclosure.*  The share of a term's occurrences, in its place, that a cue announces;
+   for family terms also those behind a disclosing given term.  What a term leaves open
+   about a person being named is -log2(share) bits.  Two terms are a name, announced or
+   not, if one leaves at most half of ``BITS`` bits open and both together ``BITS``; right
+   behind a cue one is enough.  Counts are of whole terms, smoothed towards the corpus' share, so a
+   term seen once neither discloses nor forbids much.
 
 In sanitised text a found value becomes a placeholder of its type; a single term that
 is left but exceeds the threshold by itself is generalised to the placeholder as well.
 
-Scale: the scan writes one small row per candidate; counts are combined before the
-shuffle (a term with a third of all occurrences is one row per task); terms and
-candidates meet in equi-joins whose term side holds disclosing terms only.  No term
-table or text is collected.
+Scale: each text is read once by the scan, which writes one small row per candidate;
+counts are combined before the shuffle (a term or context with a third of all
+occurrences is one row per task); only disclosing terms and cues are joined back.  No
+term table or text is collected.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import pandas as pd
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.llm import patterns
 from pegelwerk.plans.lineage import cut
 
-SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, cue boolean, more string"
+SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, more string, before string, before2 string, particle string, title boolean, near boolean"
+#: What two terms of a name may leave open together.
+BITS = 4.0
 
 
 def plain(word: str) -> str:
@@ -42,107 +53,222 @@ def plain(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.casefold()) if not unicodedata.combining(c))
 
 
-def candidates(text: str, ending: int):
-    """Rows of SCHEMA after doc_id: direct identifiers, and pairs of words that may be names."""
-    direct = patterns.spans(text)
-    for a, b, kind in direct:
-        yield a, b, kind, text[a:b], None, None, None, None
-    yield from _names(text, direct, ending, patterns.NAME, lambda m: [(m.end(), m["first"], m["last"], None)])
-    yield from _names(text, direct, ending, patterns.LONG, _longer)
-
-
 def _longer(m):
-    """(end, given, family, words between) of the names that NAME can't hold, from one start."""
+    """(end, given, family, words between, particle in front) of the names that NAME can't hold, from one start."""
     if m["last"]:
         part = patterns.PARTICLE.match(m["last"])
-        if part and patterns.CUE.search(m.string[max(0, m.start() - 30) : m.start() + part.end()]):  # "Auskunft von" is a label
-            return
         words = [m.span("given"), *[x for x, w in zip(m.spans("more"), m.captures("more")) if not w.endswith(".")]]
         for k, (_, end) in enumerate(words):
             whole = m.string[m.start() : end]
             if (k or "\n" in whole or part) and whole.count("\n") <= (k < 2):
-                yield end, m["given"], m["last"], "|".join(m.string[a:b] for a, b in words[1 : k + 1])
+                yield end, m["given"], m["last"], "|".join(m.string[a:b] for a, b in words[1 : k + 1]), part and part.group()
         return
     words = m.captures("word")
     for k, (_, end) in enumerate(m.spans("word")):
         whole = m.string[m.start() : end]
         if (k or "\n" in whole or any(b <= end for _, b in m.spans("part"))) and whole.count("\n") <= (k < 2):
-            yield end, m["first"], words[k], "|".join(words[:k])
+            yield end, m["first"], words[k], "|".join(words[:k]), None
 
 
-def _names(text: str, direct: list, ending: int, shape, read):
+def _token(text: str, at: int) -> tuple[int, int]:
+    """The run without spaces that ends at ``at``, or before it and spaces with at most one line break; empty if there is none."""
+    end = patterns.back(text, at)
+    if end < 0:
+        end = at
+    a = end
+    while a and not text[a - 1].isspace():
+        a -= 1
+    return a, end
+
+
+@cache
+def _title(token: str) -> bool:
     k = 0
-    for m in shape.finditer(text, overlapped=True):
-        while k < len(direct) and direct[k][1] <= m.start():
-            k += 1
-        cue = None
-        for end, first, last, more in read(m):
-            if k < len(direct) and direct[k][0] < end:
-                continue
-            if cue is None:
-                cue = patterns.CUE.search(text[max(0, m.start() - 30) : m.start()]) is not None
-            yield m.start(), end, "name", text[m.start() : end], plain(first), plain(last)[-ending:], cue, more and plain(more)
+    while k < len(token) and not token[k].isalpha():
+        k += 1
+    return token[k:].removesuffix(".") in patterns.TITLES
 
 
-def _scan(ending: int):
+def candidates(text: str, norm=plain):
+    """Rows of SCHEMA after doc_id: direct identifiers, and runs of words that may be names."""
+    direct = patterns.spans(text)
+    for a, b, kind in direct:
+        yield a, b, kind, text[a:b], *[None] * 8
+    near, k = bool(direct), 0
+    for start in patterns.PAIR.finditer(text):
+        at = start.start()
+        while k < len(direct) and direct[k][1] <= at:
+            k += 1
+        free = direct[k][0] if k < len(direct) else len(text)
+        if at >= free:
+            continue
+        found = []
+        if m := patterns.NAME.match(text, at):
+            found.append((m.end(), m["first"], m["last"], None, None))
+        if m := patterns.LONG.match(text, at):
+            found += _longer(m)
+        if not found or min(x[0] for x in found) > free:
+            continue
+        a, b = _token(text, at)
+        one = text[a:b]
+        c, d = _token(text, a) if a else (0, 0)
+        before, title = norm(one), _title(one)
+        before2 = f"{norm(text[c:d])} {before}" if c < d <= a and before else ""
+        for end, first, last, more, part in found:
+            if end <= free:
+                # "Auskunft von": the particle may belong to what stands before
+                particle = f"{before} {norm(part.strip())}" if part else None
+                yield at, end, "name", text[at:end], norm(first), norm(last[last.rfind("-") + 1 :]), more and plain(more), before, before2, particle, title, near
+
+
+def _scan():
     import pyarrow as pa
 
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 8, pa.bool_(), pa.bool_()]
+    fields = [x.split()[0] for x in SCHEMA.split(", ")]
+
     def run(batches):
+        norm = cache(plain)
         for batch in batches:
-            rows = [
-                (i, *c)
-                for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-                for c in candidates(t, ending)
-            ]
-            for at in range(0, len(rows), 20_000):
-                cols = list(zip(*rows[at : at + 20_000]))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 4, pa.bool_(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
+            rows = []
+            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                rows += [(i, *c) for c in candidates(t, norm)]
+                if len(rows) >= 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=fields)
+                    rows = []
+            if norm.cache_info().currsize > 500_000:
+                norm.cache_clear()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=fields)
 
     return run
 
 
-def scan(docs: DataFrame, ending: int = 4) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> candidates. Null ids and texts give none; whole texts are read."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.dropna().mapInArrow(_scan(ending), SCHEMA)
+    return slim.dropna().mapInArrow(_scan(), SCHEMA)
 
 
-def disclosure(cands: DataFrame, role: str, smoothing: float = 2.0) -> DataFrame:
-    """(term, n, announced, share, bits) of the terms in one role, over the whole corpus.
+def _pairs(cands: DataFrame) -> DataFrame:
+    return cands.filter((F.col("typ") == "name") & F.col("more").isNull())
 
-    ``share`` = announced / (n + smoothing); ``bits`` = log2 of the share over the corpus' share.
+
+def seeds(cands: DataFrame, bits: float = 5.0, least: int = 2) -> DataFrame:
+    """(given): terms whose texts hold direct identifiers beyond chance, or that words of address stand before.
+
+    No initials; and no terms that mostly stand before another seed: these announce.
     """
-    pairs = cands.filter((F.col("typ") == "name") & F.col("more").isNull())
-    terms = pairs.groupBy(F.col(role).alias("term")).agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("announced"))
-    total = terms.agg((F.sum("announced") / F.sum("n")).alias("base"))
-    share = F.col("announced") / (F.col("n") + smoothing)
-    # one row, whatever the corpus
-    return terms.filter("announced > 0").crossJoin(F.broadcast(total)).select("term", "n", "announced", share.alias("share"), F.log2(share / F.col("base")).alias("bits"))
+    both = _pairs(cands).groupBy("given", "family").agg(F.count(F.lit(1)).alias("n"), F.count_if("near").alias("k"), F.count_if("title").alias("t"))
+    terms = both.groupBy("given").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("others"))
+    base = terms.agg((F.sum("k") / F.sum("n")).alias("b"))  # one row, whatever the corpus
+    share, b = F.col("k") / F.col("n"), F.col("b")
+    gain = lambda p, q: F.when(p > 0, p * F.log2(p / q)).otherwise(0.0)
+    info = F.col("n") * (gain(share, b) + gain(1 - share, 1 - b))
+    varied = F.col("others") >= F.greatest(F.lit(least), F.col("n") / 4)
+    hit = ((share > 2 * b) & (info >= bits) & varied) | (F.col("t") / (F.col("n") + 2) >= 0.125)
+    known = cut(terms.join(F.broadcast(base)).filter(hit & ~F.col("given").endswith(".") & ~F.col("given").isin(*sorted({plain(t) for t in patterns.TITLES}))).select("given", "n"))
+    before = both.join(known.select(F.col("given").alias("family")), "family", "left_semi").groupBy("given").agg(F.sum("n").alias("before"))
+    return known.join(before, "given", "left").filter(F.coalesce("before", F.lit(0)) * 2 <= F.col("n")).select("given")
+
+
+def settled(cands: DataFrame, known: DataFrame) -> DataFrame:
+    """candidates with ``lead`` (the given term is a seed), ``comma`` (family term first) and ``inside``: it begins within a pair that is led by a seed or an initial.
+
+    With the family term first ("Regards, Ida Holm") it must also stand behind a seed elsewhere.
+    """
+    no = F.lit(False)
+    comma = F.coalesce(F.col("wert").contains(",") & (F.col("typ") == "name"), no)
+    rows = cands.withColumn("comma", comma).join(known.withColumn("lead", F.lit(True)), "given", "left").withColumn("lead", F.coalesce("lead", no))
+    behind = _pairs(cands).filter(~F.col("wert").contains(",")).join(known, "given", "left_semi").select("family").distinct().withColumn("_behind", F.lit(True))
+    rows = rows.join(behind, "family", "left")
+    covers = F.col("more").isNull() & (F.col("given").endswith(".") | (F.col("lead") & (~F.col("comma") | F.coalesce("_behind", no))))
+    of = Window.partitionBy("doc_id").orderBy("start").rangeBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(covers, F.col("end"))).over(of)
+    return rows.withColumn("inside", F.coalesce(reach > F.col("start"), no)).drop("_behind")
+
 
+def cues(rows: DataFrame, place: str) -> DataFrame:
+    """(place, n, k, others): how many pairs stand behind a context, how many of them a seed leads, and how many different ones of these."""
+    of = _pairs(rows).filter((F.col(place) != "") & ~F.col("inside")).groupBy(place, "given", "family").agg(F.count(F.lit(1)).alias("n"), F.max("lead").alias("lead"))
+    return of.groupBy(place).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("lead"), F.col("n")).otherwise(0)).alias("k"), F.count_if("lead").alias("others"))
 
-def protected(cands: DataFrame, threshold: float = 0.25, ending: int = 4, least: int = 3) -> DataFrame:
-    """candidates -> (doc_id, start, end, typ, wert) of what must be protected, without overlaps.
 
-    A pair is a name if both terms disclose (share >= threshold), or one of them right behind a
-    title or label.  An initial discloses by its family name alone.  Of overlapping names the
-    earlier, then the longer one counts.
+def learned(rows: DataFrame, share: float = 0.5, smoothing: float = 2.0) -> tuple[DataFrame, DataFrame]:
+    """(before, one) and (before2, two): the contexts that are cues, by their share of pairs that a seed leads.
+
+    The longer context's share is smoothed towards the shorter one's; as false it is kept where it contradicts it.
     """
-    strong = lambda role: disclosure(cands, role).filter(F.col("share") >= threshold).select(F.col("term").alias(role), F.lit(True).alias(f"{role}_ok"), (F.col("announced") >= least).alias(f"{role}_sure"))
-    pairs = cands.filter(F.col("typ") == "name").join(strong("given"), "given", "left").join(strong("family"), "family", "left")
-    given = F.coalesce("given_ok", F.lit(False))
-    family = F.coalesce("family_ok", F.lit(False))
+    part = F.col("k") / (F.col("n") + smoothing)
+    one = cues(rows, "before").filter((F.col("others") > 1) & (part >= share)).select("before", part.alias("one"))
+    two = cues(rows, "before2").withColumn("before", F.substring_index("before2", " ", -1)).join(one, "before", "left")
+    hit = (F.col("k") + smoothing * F.coalesce("one", F.lit(0.0))) / (F.col("n") + smoothing) >= share
+    two = two.withColumn("two", hit & ((F.col("others") > 1) | F.col("one").isNotNull())).filter(F.col("two") | F.col("one").isNotNull())
+    return one.withColumn("one", F.lit(True)), two.select("before2", "two")
+
+
+def announced(cands: DataFrame) -> DataFrame:
+    """candidates with ``cue``: a word of address or a learned context stands right before. The longer context decides, if it is known."""
+    rows = cut(settled(cands, cut(seeds(cands))))
+    one, two = learned(rows)
+    part = two.filter("two").select(F.col("before2").alias("particle"), F.lit(True).alias("_in"))
+    out = rows.join(one, "before", "left").join(two, "before2", "left").join(part, "particle", "left").filter(F.col("_in").isNull())
+    cue = F.coalesce(F.col("title"), F.lit(False)) | F.coalesce("two", "one", F.lit(False))
+    return out.select("doc_id", "start", "end", "typ", "wert", "given", "family", "more", "inside", "comma", cue.alias("cue"))
+
+
+def disclosure(cands: DataFrame, smoothing: float = 2.0, firm: float = 0.25) -> dict[str, DataFrame]:
+    """"given" and "family" -> (term, n, announced, share, bits) over the whole corpus.
+
+    Of pairs with the family term first only announced ones count for it: "Regards, Ida" says nothing about the first word.
+
+    ``announced`` counts occurrences behind a cue, of family terms at least the share of those behind a
+    given term with a share of ``firm`` or more; ``share`` = (announced + smoothing * base) / (n + smoothing),
+    where base is the corpus' share; ``bits`` is what the term tells: log2(share / base).
+    """
+    both = _pairs(cands).filter(~F.col("inside")).groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k"))
+    base = F.broadcast(both.agg((F.sum("k") / F.sum("n")).alias("base")))  # one row, whatever the corpus
+    share = (F.col("announced") + smoothing * F.col("base")) / (F.col("n") + smoothing)
+
+    def terms(rows: DataFrame, role: str, count) -> DataFrame:
+        t = rows.groupBy(F.col(role).alias("term")).agg(F.sum("n").alias("n"), F.sum(count).alias("announced"))
+        t = t.join(base).withColumn("share", share)
+        return t.select("term", "n", "announced", "share", F.log2(F.col("share") / F.col("base")).alias("bits"))
+
+    given = terms(both, "given", F.col("k"))
+    sure = given.filter(F.col("share") >= firm).select(F.col("term").alias("given"), F.col("share").alias("_s"))
+    behind = F.when(F.col("comma"), F.col("k")).otherwise(F.greatest(F.col("k").cast("double"), F.col("n") * F.coalesce("_s", F.lit(0.0))))
+    last = both.withColumn("n", F.when(F.col("comma"), F.col("k")).otherwise(F.col("n"))).filter("n > 0")
+    return {"given": given, "family": terms(last.join(sure, "given", "left"), "family", behind)}
+
+
+def protected(cands: DataFrame, bits: float = BITS, least: int = 2) -> DataFrame:
+    """announced candidates -> (doc_id, start, end, typ, wert) of what must be protected, without overlaps.
+
+    A term discloses if it was announced at all and leaves at most half of ``bits`` open.  A pair is a
+    name if one of its terms discloses and both together leave at most ``bits`` open, or right behind a
+    cue if one discloses.  An initial adds nothing to its family name.  Of overlapping
+    names the earlier, then the longer one counts.
+    """
+    terms = disclosure(cands)
+    left = lambda role: terms[role].filter(F.col("share") >= 2.0**-bits).select(
+        F.col("term").alias(role), (-F.log2("share")).alias(f"{role}_open"), (F.col("announced") > 0).alias(f"{role}_seen"), (F.col("announced") >= least).alias(f"{role}_sure")
+    )
+    pairs = cands.filter(F.col("typ") == "name").join(left("given"), "given", "left").join(left("family"), "family", "left")
+    half = bits / 2
+    given, family = (F.coalesce(F.col(f"{r}_seen") & (F.col(f"{r}_open") <= half), F.lit(False)) for r in ("given", "family"))
     initial = F.length("given") == 2
     # each word between, on its own
-    word = F.explode(F.split("more", r"\|")).alias("given")
-    inner = pairs.filter((F.length("more") > 0) & family).select("doc_id", "start", "end", word).withColumn("family", F.expr(f"right(given, {ending})"))
-    inner = inner.join(strong("given").drop("given_sure"), "given", "left").join(strong("family").drop("family_sure"), "family", "left")
-    inner = inner.groupBy("doc_id", "start", "end").agg(F.min(F.coalesce("given_ok", "family_ok", F.lit(False))).alias("inner_ok"))
+    inner = pairs.filter((F.length("more") > 0) & family).select("doc_id", "start", "end", F.explode(F.split("more", r"\|")).alias("given")).withColumn("family", F.col("given"))
+    inner = inner.join(left("given").drop("given_sure", "given_seen"), "given", "left").join(left("family").drop("family_sure", "family_seen"), "family", "left")
+    fits = F.coalesce(F.least("given_open", "family_open") <= half, F.lit(False))
+    inner = inner.groupBy("doc_id", "start", "end").agg(F.min(fits).alias("inner_ok"))
     pairs = pairs.join(inner, ["doc_id", "start", "end"], "left")
-    both = family & (given | (initial & F.col("given").endswith(".")))
+    letter = initial & F.col("given").endswith(".")
     # more words, a particle or a line break: the first and the last must disclose, and what is between unless the name is announced;
     # one chance announcement ("M. Miller Checksum") doesn't make a last word
-    long = both & F.col("family_sure") & (F.col("more").eqNullSafe("") | F.coalesce("inner_ok", F.lit(False)) | (F.col("cue") & ~F.col("wert").contains(",")))
+    long = family & (given | letter) & F.col("family_sure") & (F.col("more").eqNullSafe("") | F.coalesce("inner_ok", F.lit(False)) | (F.col("cue") & ~F.col("wert").contains(",")))
+    both = F.when(letter, family).otherwise((given | family) & F.coalesce(F.col("given_open") + F.col("family_open") <= bits, F.lit(False)))
     names = pairs.filter(F.when(F.col("more").isNotNull(), long).otherwise(both | (F.col("cue") & (family | (given & ~initial)))))
     w = Window.partitionBy("doc_id").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     names = names.withColumn("_reach", F.max("end").over(w)).filter(F.col("_reach").isNull() | (F.col("_reach") <= F.col("start")))
@@ -150,20 +276,25 @@ def protected(cands: DataFrame, threshold: float = 0.25, ending: int = 4, least:
     return cands.filter(F.col("typ") != "name").select(*cols).unionByName(names.select(*cols))
 
 
+def read(docs: DataFrame) -> DataFrame:
+    """docs -> announced candidates; the scan is written once, since counts and decisions read it several times."""
+    return cut(announced(cut(scan(docs))))
+
+
 def found(docs: DataFrame) -> DataFrame:
     """docs -> distinct (doc_id, typ, wert)."""
-    return protected(cut(scan(docs))).select("doc_id", "typ", "wert").distinct()
+    return protected(read(docs)).select("doc_id", "typ", "wert").distinct()
 
 
-def sanitised(docs: DataFrame, threshold: float = 0.25) -> DataFrame:
+def sanitised(docs: DataFrame, bits: float = BITS) -> DataFrame:
     """docs -> (doc_id, text, ersetzt): texts with placeholders, and how many values were replaced.
 
     Texts without finding stay as they are; a null text stays null.  Single terms that disclose by
-    themselves with twice the threshold are generalised too.
+    themselves (at most a quarter of ``bits`` open) are generalised too.
     """
-    cands = cut(scan(docs))
-    spans = protected(cands, threshold).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "typ"))).alias("spans"))
-    strong = disclosure(cands, "given").filter((F.col("share") >= 2 * threshold) & (F.length("term") > 2)).select(F.col("term").alias("given"))
+    cands = read(docs)
+    spans = protected(cands, bits).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "typ"))).alias("spans"))
+    strong = disclosure(cands)["given"].filter((F.col("share") >= 2.0 ** (-bits / 4)) & (F.length("term") > 2)).select(F.col("term").alias("given"))
     alone = (
         cands.filter(F.col("typ") == "name").join(strong, "given", "left_semi").groupBy("doc_id").agg(F.collect_set("given").alias("terms"))
     )

@@ -96,3 +96,30 @@ def test_empty_and_repeated(spark):
 ])
 def test_forms_of_names(spark, text, wert):
     assert {w for i, w in names(spark, [*CORPUS, (50, text)]) if i == 50} == {wert}
+
+
+def test_other_names_titles_and_labels(spark):
+    """Names, words of address and labels that no list here holds: learned from what stands near mails and numbers."""
+    import random
+
+    r = random.Random(3)
+    given = "Ainhoa Bertil Csilla Dragan Eirik Fatoumata Gorka Hjalmar Ioana Jaromir Katalin Leocadia Mireia Njord Oihana Predrag Quirina Ragnhild Szabolcs Tuva".split()
+    family = [a + b for a in "Lind Arza Kova Petro Sund Iriar".split() for b in "gren vic nyi qvist te berg".split()]
+    places = [a + b for a in "Torr Vila Kall Nors Pied".split() for b in "nova ered lunda zuela".split()]
+    noise = ["La Bomba Central funciona en {p}.", "El Puerto {p} cierra pronto.", "El Taller {p} mide ruido.", "Hoy abre la Calle Mayor de {p}.", "Vista desde Monte {p}. El Tren llega."]
+    frames = ["Firmado: {n}", "La Sra. {n} llama.", "El Ing. {n} responde.", "Saludos, {n}", "encargado={n};x=1", "Habla con {n} hoy.", "{n} vive cerca."]
+    docs, truth = [], set()
+    for i in range(1500):
+        parts = [r.choice(noise).format(p=r.choice(places)) for _ in range(r.randrange(1, 4))]
+        if i % 4 == 0:
+            n = f"{r.choice(given)} {r.choice(family)}"
+            parts.insert(r.randrange(len(parts) + 1), r.choice(frames).format(n=n))
+            truth.add((i, n))
+            if r.random() < 0.6:
+                parts.append(r.choice(["Correo: x{}@obra.example", "Tel. +34 91 555 01{:02}"]).format(r.randrange(10, 99)))
+        elif r.random() < 0.08:
+            parts.append(f"Correo: info{i}@obra.example")
+        docs.append((i, " ".join(parts)))
+    got = names(spark, docs)
+    both = len(got & truth)
+    assert both / len(truth) >= 0.95 and both / len(got) >= 0.95, (both, len(truth), len(got), sorted(got - truth)[:9], sorted(truth - got)[:9])
