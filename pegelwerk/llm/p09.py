@@ -20,7 +20,7 @@ def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Disclosing terms: how many bits each gives about a person being named."""
-    terms = privacy.disclosure(privacy.read(table(spark, sf_dir, "documents")))
+    terms = privacy.Knowledge(privacy.read(table(spark, sf_dir, "documents"))).terms
     rows = [terms[r].withColumn("rolle", F.lit(r)) for r in ("given", "family")]
     return rows[0].unionByName(rows[1]).select("rolle", "term", "n", F.round("announced", 6).alias("announced"), F.round("share", 6).alias("share"), F.round("bits", 6).alias("bits"))
 

@@ -104,7 +104,7 @@ LONG = regex.compile(
     rf"|(?P<last>(?:{_PARTICLE})?{_LAST}),{SP}(?P<given>{_LAST})(?:{SP}(?P<more>{_LAST}|{_INI}))*(?![\p{{L}}\p{{N}}@]|-\p{{L}}))"
 )
 #: Where a pair of capitalised words may begin: every start of NAME and LONG is one.
-_RUN = r"(?:[ÃÂ][\u0080-¿]|\S)*"
+_RUN = r"\S*+(?:(?<=[ÃÂ])[\u0085\u00a0]\S*+)*+"
 _SMALL = r"(?:(?:von|van|vom|zur?|d[eiu]|da|della?|dos|ten|ter|l[ea])\s+(?:(?:der|den|dem|l[ae]s?|los|zu)\s+)?|d['’])?"
 PAIR = regex.compile(rf"(?<![\p{{L}}\p{{N}}@._'’-])(?={_SMALL}\p{{Lu}}{_RUN}\s+{_SMALL}\p{{Lu}})")
 

@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.llm import patterns
-from pegelwerk.plans.lineage import cut
+from pegelwerk.plans.lineage import bounded, cut, written
 
-SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, more string, before string, before2 string, particle string, title boolean, near boolean"
+SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, more string, before string, before2 string, particle string, over array<string>, title boolean, near boolean"
 #: What two terms of a name may leave open together.
 BITS = 4.0
 
@@ -93,8 +93,8 @@ def candidates(text: str, norm=plain):
     """Rows of SCHEMA after doc_id: direct identifiers, and runs of words that may be names."""
     direct = patterns.spans(text)
     for a, b, kind in direct:
-        yield a, b, kind, text[a:b], *[None] * 8
-    near, k = bool(direct), 0
+        yield a, b, kind, text[a:b], *[None] * 9
+    near, k, pairs = bool(direct), 0, []
     for start in patterns.PAIR.finditer(text):
         at = start.start()
         while k < len(direct) and direct[k][1] <= at:
@@ -114,17 +114,22 @@ def candidates(text: str, norm=plain):
         c, d = _token(text, a) if a else (0, 0)
         before, title = norm(one), _title(one)
         before2 = f"{norm(text[c:d])} {before}" if c < d <= a and before else ""
+        pairs = [x for x in pairs if x[0] > at]
+        over = [x for _, x in pairs] or None
         for end, first, last, more, part in found:
             if end <= free:
+                given, family = norm(first), norm(last[last.rfind("-") + 1 :])
                 # "Auskunft von": the particle may belong to what stands before
                 particle = f"{before} {norm(part.strip())}" if part else None
-                yield at, end, "name", text[at:end], norm(first), norm(last[last.rfind("-") + 1 :]), more and plain(more), before, before2, particle, title, near
+                yield at, end, "name", text[at:end], given, family, more and plain(more), before, before2, particle, over, title, near
+                if more is None:
+                    pairs.append((end, f"{given}\t{family}" if "," in text[at:end] else given))
 
 
 def _scan():
     import pyarrow as pa
 
-    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 8, pa.bool_(), pa.bool_()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 8, pa.list_(pa.string()), pa.bool_(), pa.bool_()]
     fields = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches):
@@ -167,58 +172,65 @@ def seeds(cands: DataFrame, bits: float = 5.0, least: int = 2) -> DataFrame:
     info = F.col("n") * (gain(share, b) + gain(1 - share, 1 - b))
     varied = F.col("others") >= F.greatest(F.lit(least), F.col("n") / 4)
     hit = ((share > 2 * b) & (info >= bits) & varied) | (F.col("t") / (F.col("n") + 2) >= 0.125)
-    known = cut(terms.join(F.broadcast(base)).filter(hit & ~F.col("given").endswith(".") & ~F.col("given").isin(*sorted({plain(t) for t in patterns.TITLES}))).select("given", "n"))
+    known = terms.join(F.broadcast(base)).filter(hit & ~F.col("given").endswith(".") & ~F.col("given").isin(*sorted({plain(t) for t in patterns.TITLES})))
+    known = bounded(known.select("given", "n"))
     before = both.join(known.select(F.col("given").alias("family")), "family", "left_semi").groupBy("given").agg(F.sum("n").alias("before"))
     return known.join(before, "given", "left").filter(F.coalesce("before", F.lit(0)) * 2 <= F.col("n")).select("given")
 
 
-def settled(cands: DataFrame, known: DataFrame) -> DataFrame:
-    """candidates with ``lead`` (the given term is a seed), ``comma`` (family term first) and ``inside``: it begins within a pair that is led by a seed or an initial.
+def counted(cands: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs that count: those that don't begin within a pair that a seed or an initial leads.
 
     With the family term first ("Regards, Ida Holm") it must also stand behind a seed elsewhere.
     """
-    no = F.lit(False)
-    comma = F.coalesce(F.col("wert").contains(",") & (F.col("typ") == "name"), no)
-    rows = cands.withColumn("comma", comma).join(known.withColumn("lead", F.lit(True)), "given", "left").withColumn("lead", F.coalesce("lead", no))
-    behind = _pairs(cands).filter(~F.col("wert").contains(",")).join(known, "given", "left_semi").select("family").distinct().withColumn("_behind", F.lit(True))
-    rows = rows.join(behind, "family", "left")
-    covers = F.col("more").isNull() & (F.col("given").endswith(".") | (F.col("lead") & (~F.col("comma") | F.coalesce("_behind", no))))
-    of = Window.partitionBy("doc_id").orderBy("start").rangeBetween(Window.unboundedPreceding, -1)
-    reach = F.max(F.when(covers, F.col("end"))).over(of)
-    return rows.withColumn("inside", F.coalesce(reach > F.col("start"), no)).drop("_behind")
-
-
-def cues(rows: DataFrame, place: str) -> DataFrame:
+    pairs = _pairs(cands).withColumn("comma", F.col("wert").contains(","))
+    behind = bounded(pairs.filter(~F.col("comma")).join(known, "given", "left_semi").select("family").distinct())
+    over = pairs.filter(F.col("over").isNotNull()).select("doc_id", "start", F.explode("over").alias("x")).withColumn("x", F.split("x", "\t"))
+    over = over.select("doc_id", "start", F.col("x")[0].alias("given"), F.try_element_at("x", F.lit(2)).alias("family"))
+    plainly = over.filter(F.col("family").isNull())
+    led = plainly.join(known, "given", "left_semi").unionByName(plainly.filter(F.col("given").endswith(".")))
+    led = led.unionByName(over.filter(F.col("family").isNotNull()).join(known, "given", "left_semi").join(behind, "family", "left_semi").select(*over.columns))
+    return pairs.join(bounded(led.select("doc_id", "start").distinct()), ["doc_id", "start"], "left_anti")
+
+
+def cues(pairs: DataFrame, known: DataFrame, place: str) -> DataFrame:
     """(place, n, k, others): how many pairs stand behind a context, how many of them a seed leads, and how many different ones of these."""
-    of = _pairs(rows).filter((F.col(place) != "") & ~F.col("inside")).groupBy(place, "given", "family").agg(F.count(F.lit(1)).alias("n"), F.max("lead").alias("lead"))
-    return of.groupBy(place).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("lead"), F.col("n")).otherwise(0)).alias("k"), F.count_if("lead").alias("others"))
+    of = pairs.filter(F.col(place) != "").groupBy(place, "given", "family").agg(F.count(F.lit(1)).alias("n"))
+    lead = F.col("lead").isNotNull()
+    of = of.join(known.withColumn("lead", F.lit(True)), "given", "left")
+    return of.groupBy(place).agg(F.sum("n").alias("n"), F.sum(F.when(lead, F.col("n")).otherwise(0)).alias("k"), F.count_if(lead).alias("others"))
 
 
-def learned(rows: DataFrame, share: float = 0.5, smoothing: float = 2.0) -> tuple[DataFrame, DataFrame]:
+def learned(pairs: DataFrame, known: DataFrame, share: float = 0.5, smoothing: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """(before, one) and (before2, two): the contexts that are cues, by their share of pairs that a seed leads.
 
     The longer context's share is smoothed towards the shorter one's; as false it is kept where it contradicts it.
     """
     part = F.col("k") / (F.col("n") + smoothing)
-    one = cues(rows, "before").filter((F.col("others") > 1) & (part >= share)).select("before", part.alias("one"))
-    two = cues(rows, "before2").withColumn("before", F.substring_index("before2", " ", -1)).join(one, "before", "left")
+    one = bounded(cues(pairs, known, "before").filter((F.col("others") > 1) & (part >= share)).select("before", part.alias("one")))
+    two = cues(pairs, known, "before2").withColumn("before", F.substring_index("before2", " ", -1)).join(one, "before", "left")
     hit = (F.col("k") + smoothing * F.coalesce("one", F.lit(0.0))) / (F.col("n") + smoothing) >= share
     two = two.withColumn("two", hit & ((F.col("others") > 1) | F.col("one").isNotNull())).filter(F.col("two") | F.col("one").isNotNull())
-    return one.withColumn("one", F.lit(True)), two.select("before2", "two")
+    return one, bounded(two.select("before2", "two"))
+
 
+class Knowledge:
+    """What a corpus says about its terms: cues, and the disclosure of given and family terms."""
 
-def announced(cands: DataFrame) -> DataFrame:
-    """candidates with ``cue``: a word of address or a learned context stands right before. The longer context decides, if it is known."""
-    rows = cut(settled(cands, cut(seeds(cands))))
-    one, two = learned(rows)
-    part = two.filter("two").select(F.col("before2").alias("particle"), F.lit(True).alias("_in"))
-    out = rows.join(one, "before", "left").join(two, "before2", "left").join(part, "particle", "left").filter(F.col("_in").isNull())
-    cue = F.coalesce(F.col("title"), F.lit(False)) | F.coalesce("two", "one", F.lit(False))
-    return out.select("doc_id", "start", "end", "typ", "wert", "given", "family", "more", "inside", "comma", cue.alias("cue"))
+    def __init__(self, cands: DataFrame):
+        known = bounded(seeds(cands))
+        pairs = counted(cands, known)
+        self.one, self.two = learned(pairs, known)
+        self.terms = {role: bounded(t.filter(F.col("share") >= 2.0 ** -(BITS + 4))) for role, t in disclosure(self.marked(pairs)).items()}
 
+    def marked(self, rows: DataFrame) -> DataFrame:
+        """rows with ``cue``: a word of address or a learned context stands right before. The longer context decides, if it is known."""
+        out = rows.join(self.one.withColumn("one", F.lit(True)), "before", "left").join(self.two, "before2", "left")
+        return out.withColumn("cue", F.coalesce(F.col("title"), F.lit(False)) | F.coalesce("two", "one", F.lit(False)))
 
-def disclosure(cands: DataFrame, smoothing: float = 2.0, firm: float = 0.25) -> dict[str, DataFrame]:
-    """"given" and "family" -> (term, n, announced, share, bits) over the whole corpus.
+
+def disclosure(pairs: DataFrame, smoothing: float = 2.0, firm: float = 0.25) -> dict[str, DataFrame]:
+    """"given" and "family" -> (term, n, announced, share, bits) over the pairs of a whole corpus.
 
     Of pairs with the family term first only announced ones count for it: "Regards, Ida" says nothing about the first word.
 
@@ -226,64 +238,68 @@ def disclosure(cands: DataFrame, smoothing: float = 2.0, firm: float = 0.25) ->
     given term with a share of ``firm`` or more; ``share`` = (announced + smoothing * base) / (n + smoothing),
     where base is the corpus' share; ``bits`` is what the term tells: log2(share / base).
     """
-    both = _pairs(cands).filter(~F.col("inside")).groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k"))
+    both = pairs.groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k"))
     base = F.broadcast(both.agg((F.sum("k") / F.sum("n")).alias("base")))  # one row, whatever the corpus
     share = (F.col("announced") + smoothing * F.col("base")) / (F.col("n") + smoothing)
 
     def terms(rows: DataFrame, role: str, count) -> DataFrame:
-        t = rows.groupBy(F.col(role).alias("term")).agg(F.sum("n").alias("n"), F.sum(count).alias("announced"))
+        t = rows.groupBy(F.col(role).alias("term")).agg(F.sum("n").alias("n"), F.sum(count).cast("double").alias("announced"))
         t = t.join(base).withColumn("share", share)
         return t.select("term", "n", "announced", "share", F.log2(F.col("share") / F.col("base")).alias("bits"))
 
     given = terms(both, "given", F.col("k"))
-    sure = given.filter(F.col("share") >= firm).select(F.col("term").alias("given"), F.col("share").alias("_s"))
+    sure = bounded(given.filter(F.col("share") >= firm).select(F.col("term").alias("given"), F.col("share").alias("_s")))
     behind = F.when(F.col("comma"), F.col("k")).otherwise(F.greatest(F.col("k").cast("double"), F.col("n") * F.coalesce("_s", F.lit(0.0))))
     last = both.withColumn("n", F.when(F.col("comma"), F.col("k")).otherwise(F.col("n"))).filter("n > 0")
     return {"given": given, "family": terms(last.join(sure, "given", "left"), "family", behind)}
 
 
-def protected(cands: DataFrame, bits: float = BITS, least: int = 2) -> DataFrame:
-    """announced candidates -> (doc_id, start, end, typ, wert) of what must be protected, without overlaps.
+def protected(cands: DataFrame, known: Knowledge, bits: float = BITS, least: int = 2) -> DataFrame:
+    """candidates -> (doc_id, start, end, typ, wert) of what must be protected, without overlaps.
 
     A term discloses if it was announced at all and leaves at most half of ``bits`` open.  A pair is a
     name if one of its terms discloses and both together leave at most ``bits`` open, or right behind a
-    cue if one discloses.  An initial adds nothing to its family name.  Of overlapping
-    names the earlier, then the longer one counts.
+    cue if one discloses.  An initial adds nothing to its family name.  Of overlapping names the
+    earlier, then the longer one counts.
     """
-    terms = disclosure(cands)
-    left = lambda role: terms[role].filter(F.col("share") >= 2.0**-bits).select(
+    left = lambda role: known.terms[role].filter(F.col("share") >= 2.0**-bits).select(
         F.col("term").alias(role), (-F.log2("share")).alias(f"{role}_open"), (F.col("announced") > 0).alias(f"{role}_seen"), (F.col("announced") >= least).alias(f"{role}_sure")
     )
-    pairs = cands.filter(F.col("typ") == "name").join(left("given"), "given", "left").join(left("family"), "family", "left")
-    half = bits / 2
-    given, family = (F.coalesce(F.col(f"{r}_seen") & (F.col(f"{r}_open") <= half), F.lit(False)) for r in ("given", "family"))
+    half, no = bits / 2, F.lit(False)
+    pairs = cands.filter(F.col("typ") == "name").drop("near", "over").join(left("given"), "given", "left").join(left("family"), "family", "left")
+    given, family = (F.coalesce(F.col(f"{r}_seen") & (F.col(f"{r}_open") <= half), no) for r in ("given", "family"))
+    pairs = known.marked(pairs.filter(given | family))
+    part = known.two.filter("two").select(F.col("before2").alias("particle"), F.lit(True).alias("_in"))
+    pairs = pairs.join(part, "particle", "left").filter(F.col("_in").isNull())
     initial = F.length("given") == 2
-    # each word between, on its own
-    inner = pairs.filter((F.length("more") > 0) & family).select("doc_id", "start", "end", F.explode(F.split("more", r"\|")).alias("given")).withColumn("family", F.col("given"))
-    inner = inner.join(left("given").drop("given_sure", "given_seen"), "given", "left").join(left("family").drop("family_sure", "family_seen"), "family", "left")
-    fits = F.coalesce(F.least("given_open", "family_open") <= half, F.lit(False))
-    inner = inner.groupBy("doc_id", "start", "end").agg(F.min(fits).alias("inner_ok"))
-    pairs = pairs.join(inner, ["doc_id", "start", "end"], "left")
     letter = initial & F.col("given").endswith(".")
     # more words, a particle or a line break: the first and the last must disclose, and what is between unless the name is announced;
     # one chance announcement ("M. Miller Checksum") doesn't make a last word
-    long = family & (given | letter) & F.col("family_sure") & (F.col("more").eqNullSafe("") | F.coalesce("inner_ok", F.lit(False)) | (F.col("cue") & ~F.col("wert").contains(",")))
-    both = F.when(letter, family).otherwise((given | family) & F.coalesce(F.col("given_open") + F.col("family_open") <= bits, F.lit(False)))
-    names = pairs.filter(F.when(F.col("more").isNotNull(), long).otherwise(both | (F.col("cue") & (family | (given & ~initial)))))
+    both = F.when(letter, family).otherwise(F.coalesce(F.col("given_open") + F.col("family_open") <= bits, no))
+    short = both | (F.col("cue") & (family | (given & ~initial)))
+    long = family & (given | letter) & F.col("family_sure")
+    free = F.col("more").eqNullSafe("") | (F.col("cue") & ~F.col("wert").contains(","))
+    cols = ["doc_id", "start", "end", "typ", "wert"]
+    names = pairs.filter(F.when(F.col("more").isNull(), short).otherwise(long & free)).select(*cols)
+    # words between, each on its own
+    inner = pairs.filter(F.col("more").isNotNull() & long & ~free).select(*cols, F.explode(F.split("more", r"\|")).alias("given")).withColumn("family", F.col("given"))
+    inner = inner.join(left("given").drop("given_sure", "given_seen"), "given", "left").join(left("family").drop("family_sure", "family_seen"), "family", "left")
+    fits = F.coalesce(F.least("given_open", "family_open") <= half, no)
+    names = names.unionByName(inner.groupBy(*cols).agg(F.min(fits).alias("ok")).filter("ok").select(*cols))
     w = Window.partitionBy("doc_id").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     names = names.withColumn("_reach", F.max("end").over(w)).filter(F.col("_reach").isNull() | (F.col("_reach") <= F.col("start")))
-    cols = ["doc_id", "start", "end", "typ", "wert"]
     return cands.filter(F.col("typ") != "name").select(*cols).unionByName(names.select(*cols))
 
 
 def read(docs: DataFrame) -> DataFrame:
-    """docs -> announced candidates; the scan is written once, since counts and decisions read it several times."""
-    return cut(announced(cut(scan(docs))))
+    """docs -> candidates, scanned once and written, since counts and decisions read them several times."""
+    return written(scan(docs))
 
 
 def found(docs: DataFrame) -> DataFrame:
     """docs -> distinct (doc_id, typ, wert)."""
-    return protected(read(docs)).select("doc_id", "typ", "wert").distinct()
+    cands = read(docs)
+    return protected(cands, Knowledge(cands)).select("doc_id", "typ", "wert").distinct()
 
 
 def sanitised(docs: DataFrame, bits: float = BITS) -> DataFrame:
@@ -293,8 +309,9 @@ def sanitised(docs: DataFrame, bits: float = BITS) -> DataFrame:
     themselves (at most a quarter of ``bits`` open) are generalised too.
     """
     cands = read(docs)
-    spans = protected(cands, bits).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "typ"))).alias("spans"))
-    strong = disclosure(cands)["given"].filter((F.col("share") >= 2.0 ** (-bits / 4)) & (F.length("term") > 2)).select(F.col("term").alias("given"))
+    known = Knowledge(cands)
+    spans = protected(cands, known, bits).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "typ"))).alias("spans"))
+    strong = known.terms["given"].filter((F.col("share") >= 2.0 ** (-bits / 4)) & (F.length("term") > 2)).select(F.col("term").alias("given"))
     alone = (
         cands.filter(F.col("typ") == "name").join(strong, "given", "left_semi").groupBy("doc_id").agg(F.collect_set("given").alias("terms"))
     )
