@@ -66,7 +66,46 @@ def test_other_numbers_and_names(spark):
     d, i = frames(spark, [(1, ITEMS[0][1].replace("Larwik", "Skaby").replace("Quarane", "Zimow")), (2, "nichts davon")])
     got = {(x.doc_id, x.item_id): x.geaendert for x in leaks.reparameterised(d, i).collect()}
     assert got[1, 1] > 0 and (2, 1) not in got
-    assert leaks.consistent("a b a", "x b x") and not leaks.consistent("a b a", "x b y")
+
+
+def test_windows_without_common_words_are_no_template(spark):
+    """Ten rare words fit no other ten; the same ten are still found."""
+    rare = [" ".join(f"{c}{k}x" for k in "abcdefghijkl") for c in "pqr"]
+    items = [(i, t) for i, t in enumerate(rare[:2])]
+    d = spark.createDataFrame([(0, rare[0]), (2, rare[2])], "doc_id bigint, text string")
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(x.doc_id, x.item_id) for x in leaks.reparameterised(d, i).collect()} == {(0, 0)}
+    assert {tuple(x) for x in leaks.leaks(d, i).collect()} == {(0, 0)}
+
+
+def test_slots_change_one_to_one_over_the_whole_passage(spark):
+    text = "Wenn {0} und {1} am See neben dem alten Haus stehen, dann ruft {0} laut nach {1} und auch nach dem Hund im Garten"
+    items = [(k, text.format(a, b)) for k, (a, b) in enumerate([("Larwik", "Solik"), ("Ostum", "Tasik"), ("Fenau", "Xelik")])]
+    docs = [(0, text.format("Skaby", "Zimow")), (1, text.replace("ruft {0}", "ruft {1}").format("Skaby", "Zimow")), (2, text.format("Skaby", "Skaby"))]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    assert {x.doc_id for x in leaks.reparameterised(d, i).filter("geaendert > 0").collect()} == {0}
+
+
+def test_precision_and_recall_of_templates(spark):
+    """Planted passages with other names and numbers among texts made of the same words."""
+    r = random.Random(8)
+    frame = ["Das Theater in {} zaehlt {} Sterne statt Schafe und malt den Brunnen aus {} neu", "Die Uhrmacherei {} schnitzt kleine Voegel aus Ahorn hoch ueber dem Tal {} mit {} Hunden",
+             "Am Hafen von {} wartet der alte Fischer {} seit {} Tagen auf ein Schiff aus Holz", "Im Garten von {} liest die Imkerin {} dem Wind {} Briefe und ein Rezept vor"]
+    name = lambda: "".join(r.choice(["lar", "sol", "tas", "fen", "xel"]) for _ in range(4)) + r.choice(["um", "ik", "au"])
+    fill = lambda f: f.format(*[name() if k != 1 or "Sterne" not in f else r.randrange(2, 99) for k in range(3)])
+    items = [(k, fill(frame[k % 4])) for k in range(24)]
+    pool = [w for f in frame for w in f.replace("{}", "").split()]
+    docs, truth = [], set()
+    for d in range(300):
+        words = [r.choice(pool) if r.random() < 0.6 else name() for _ in range(40)]
+        if d % 5 == 0:
+            k = r.randrange(4)
+            words[20:20] = fill(frame[k]).split()
+            truth.add((d, k))
+        docs.append((d, " ".join(words)))
+    got = {(x.doc_id, x.item_id % 4) for x in leaks.reparameterised(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert len(got & truth) / len(truth) >= 0.9 and len(got & truth) / len(got) >= 0.9
 
 
 def test_empty(spark):
