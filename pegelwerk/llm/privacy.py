@@ -46,6 +46,8 @@ BITS = 4.0
 
 def plain(word: str) -> str:
     """Case, accents and one round of wrong decoding removed."""
+    if word.isascii():
+        return word.lower()
     try:
         word = word.encode("cp1252").decode("utf-8")
     except UnicodeError:
