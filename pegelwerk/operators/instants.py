@@ -5,9 +5,11 @@ Three steps, all of them JVM column expressions:
 1. ``parse_text`` / ``parse_epoch`` read digits, order of parts, precision and any
    zone mark: ``(wall_ms, offset_ms, epoch_ms)`` are the wall clock as if it were
    UTC, the offset the text itself names, and the instant if the value is a number.
-2. ``offset_history`` estimates, for sources whose values carry no zone, which zone
-   history (UTC, Europe/Berlin, ...) breaks the order of arrival, or the distance to
-   a reference clock, least often.
+2. ``by_reference``, ``by_order`` and ``between_known`` estimate, for values that carry no
+   zone, which zone (UTC, Europe/Berlin, ...) breaks the distance to a reference clock, or
+   the order of arrival, least often.  They decide for each unit of a source (a day, a
+   session, a stretch of arrivals), so a source may change its zone; ``history`` gives
+   the changes.
 3. ``to_utc`` converts.  A repeated wall-clock hour is the first one, a skipped one
    has the offset before the change (java.time's rules, which Spark uses).
 
@@ -144,51 +146,110 @@ def to_utc(parsed: Column, zone: Column | str) -> Column:
     )
 
 
-def offset_history(
-    df: DataFrame,
-    source: str,
-    seq: str,
-    wall_ms: str,
-    default: str,
-    ref_ms: str | None = None,
-    candidates: tuple[str, ...] = ("UTC", "Europe/Berlin"),
-    slack_ms: int = 1000,
-    block: int = 4096,
-) -> DataFrame:
-    """The zone history of each source -> (source, zone, violations, values).
-
-    Each candidate turns the walls of a source into instants.  A violation is an
-    instant more than ``slack_ms`` away from the reference clock where the row has
-    one (``ref_ms``), or else one that lies before its predecessor in ``seq``.  The
-    candidate with the fewest violations wins.  ``default`` (a column with the zone the
-    source is said to use) wins unless another candidate has less than half its
-    violations: late rows alone must not overturn a statement.
-
-    Predecessors are looked up inside blocks of ``block`` sequence numbers, so a source
-    holding a third of all rows is many small windows; the one pair lost at each block
-    border is only a vote.  Rows without wall, source or sequence have no vote; a source
-    without votes keeps its default.  Partial counts are combined before the shuffle.
+ZONES = ("UTC", "Europe/Berlin")
+
+
+def violations(first_ms: Column, last_ms: Column, lo_ms: Column, hi_ms: Column, zone: str, slack_ms: int) -> Column:
+    """How many ends of the wall-clock interval [first, last], read in ``zone``, lie outside of the instants [lo, hi] by more than the slack; unknown bounds allow anything."""
+    early = F.coalesce(wall_to_utc(first_ms, zone) < lo_ms - slack_ms, F.lit(False))
+    late = F.coalesce(wall_to_utc(last_ms, zone) > hi_ms + slack_ms, F.lit(False))
+    return early.cast("long") + late.cast("long")
+
+
+def _chosen(default: Column, votes: list[Column], zones: tuple[str, ...], least: int) -> Column:
+    """struct(zone, violations): the stated zone, unless it has ``least`` violations or more and another one has less than half of them."""
+    own = reduce(lambda c, vz: F.when(default == vz[1], vz[0]).otherwise(c), zip(votes, zones), F.lit(None).cast("long"))
+    best = F.array_min(F.array(*[F.struct(v.alias("v"), F.lit(k).alias("k"), F.lit(z).alias("z")) for k, (v, z) in enumerate(zip(votes, zones))]))
+    other = default.isNull() | ((own >= least) & (best["v"] * 2 < own))
+    return F.struct(F.when(other, best["z"]).otherwise(default).alias("zone"), F.when(other, best["v"]).otherwise(own).alias("violations"))
+
+
+def by_reference(rows: DataFrame, unit: list[str], wall_ms: str, ref_ms: str, default: str, zones: tuple[str, ...] = ZONES, slack_ms: int = 900_000, least: int = 3) -> DataFrame:
+    """rows with ``zone`` and ``violations`` of their unit, by the rows of it that have a reference clock too.
+
+    ``default`` is a column with the zone the source is said to use.  ``unit`` must bound a group (a
+    station and day): rows are counted and marked in one pass, in one task per unit.  Rows of a unit
+    without votes, or with a null in the unit, keep the default.
     """
-    w = Window.partitionBy(source, F.col("_block")).orderBy(seq, wall_ms)
-    rows = df.select(source, seq, wall_ms, F.col(default).alias("_default"), *([ref_ms] if ref_ms else []))
-    rows = rows.filter(F.col(wall_ms).isNotNull() & F.col(source).isNotNull() & F.col(seq).isNotNull())
-    rows = rows.withColumn("_block", _whole(F.col(seq).cast("long"), block))
-    for k, zone in enumerate(candidates):
-        utc = wall_to_utc(F.col(wall_ms), zone)
-        bad = F.lag(utc).over(w) > utc + slack_ms
-        if ref_ms:
-            bad = F.coalesce(F.abs(utc - F.col(ref_ms)) > slack_ms, bad)
-        rows = rows.withColumn(f"_v{k}", F.coalesce(bad, F.lit(False)).cast("long"))
-    votes = rows.groupBy(source).agg(
-        F.min("_default").alias("_default"),
-        F.count(F.lit(1)).alias("values"),
-        *[F.sum(f"_v{k}").alias(f"_v{k}") for k in range(len(candidates))],
-    )
-    own = reduce(lambda c, kz: F.when(F.col("_default") == kz[1], F.col(f"_v{kz[0]}")).otherwise(c), enumerate(candidates), F.lit(0).cast("long"))
-    best = F.array_min(F.array(*[F.struct(F.col(f"_v{k}").alias("v"), F.lit(k).alias("k"), F.lit(z).alias("z")) for k, z in enumerate(candidates)]))
-    return votes.select(
-        source,
-        F.when(best["v"] * 2 < own, best["z"]).otherwise(F.coalesce(F.col("_default"), best["z"])).alias("zone"),
-        F.when(best["v"] * 2 < own, best["v"]).otherwise(own).alias("violations"),
-        "values",
-    )
+    w = Window.partitionBy(*unit)
+    wall, ref = F.col(wall_ms), F.col(ref_ms)
+    each = [F.when(wall.isNotNull() & ref.isNotNull(), violations(wall, wall, ref, ref, z, slack_ms)) for z in zones]
+    marked = rows.withColumns({f"_v{k}": v for k, v in enumerate(each)})
+    known = reduce(lambda a, b: a & b, [F.col(u).isNotNull() for u in unit])
+    votes = [F.when(known, F.coalesce(F.sum(f"_v{k}").over(w), F.lit(0))).otherwise(F.lit(0)) for k in range(len(zones))]
+    out = marked.withColumns({f"_s{k}": v for k, v in enumerate(votes)}).withColumn("_c", _chosen(F.col(default), [F.col(f"_s{k}") for k in range(len(zones))], zones, least))
+    drop = [f"_{x}{k}" for x in "vs" for k in range(len(zones))]
+    return out.withColumns({"zone": F.col("_c.zone"), "violations": F.col("_c.violations")}).drop("_c", *drop)
+
+
+def _doubtful(wall_ms: Column, zone: Column | str) -> Column:
+    """A wall clock that the zone shows twice or not at all within an hour."""
+    t = wall_to_utc(wall_ms, zone)
+    return (utc_to_wall(t + 3_600_000, zone) == wall_ms) | (utc_to_wall(t, zone) != wall_ms)
+
+
+def by_order(units: DataFrame, source: str, seq: str, first_ms: str, last_ms: str, default: str, zones: tuple[str, ...] = ZONES, slack_ms: int = 60_000, halo_ms: int = 21_600_000) -> DataFrame:
+    """units (a session each: its first and last wall clock) with ``zone`` and ``violations``, by their neighbours in order of arrival.
+
+    A unit lies between the end of the one before and the beginning of the one after, each read in its
+    stated zone.  Another zone wins if the stated one breaks that and the other doesn't; where a neighbour
+    could as well be the wrong one, the statement stands.  Wall clocks that the zone shows twice have no say.
+    Windows hold a source's day and ``halo_ms`` around it, so a source with a third of all units is many tasks.
+    Units with a null in source, order or walls keep the default.
+    """
+    day, stated = 86_400_000, lambda c: F.coalesce(*[F.when(F.col(default) == z, F.when(~_doubtful(c, z), wall_to_utc(c, z))) for z in zones])
+    first, last = F.col(first_ms), F.col(last_ms)
+    home = _whole(first, day)
+    reach = F.array_distinct(F.array(home, _whole(first - halo_ms, day), _whole(last + halo_ms, day)))
+    named = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    known = F.col(source).isNotNull() & F.col(seq).isNotNull() & first.isNotNull() & last.isNotNull()
+    rest = units.filter(~known).withColumns({"zone": F.col(default), "violations": F.lit(0).cast("long")})
+    rows = units.filter(known).withColumn("_day", F.explode(reach)).withColumns({"_own": F.col("_day") == home, "_a": stated(first), "_z": stated(last)})
+    w = Window.partitionBy(named, "_day").orderBy(seq, first_ms)
+    rows = rows.withColumns({"_lo": F.lag("_z").over(w), "_hi": F.lead("_a").over(w)})
+    doubt = lambda c: reduce(lambda a, z: F.when(F.col(default) == z, _doubtful(c, z)).otherwise(a), zones, F.lit(False))
+    a, z = F.when(~doubt(first), first), F.when(~doubt(last), last)
+    rows = rows.withColumns({f"_v{k}": violations(a, z, F.col("_lo"), F.col("_hi"), zone, slack_ms) for k, zone in enumerate(zones)})
+    rows = rows.withColumn("_c", _chosen(F.col(default), [F.col(f"_v{k}") for k in range(len(zones))], zones, 1))
+    rows = rows.withColumn("_other", F.coalesce((F.col("_c.zone") != F.col(default)) & (F.col("_c.violations") == 0), F.lit(False)))
+    alone = F.col("_other") & ~F.coalesce(F.lag("_other").over(w) | F.lead("_other").over(w), F.lag("_other").over(w), F.lead("_other").over(w), F.lit(False))
+    own = reduce(lambda c, kz: F.when(F.col(default) == kz[1], F.col(f"_v{kz[0]}")).otherwise(c), enumerate(zones), F.lit(0).cast("long"))
+    rows = rows.withColumn("_alone", alone).filter("_own")
+    out = rows.withColumns({"zone": F.when(F.col("_alone"), F.col("_c.zone")).otherwise(F.col(default)), "violations": F.when(F.col("_alone"), F.lit(0).cast("long")).otherwise(own)})
+    return out.select(*units.columns, "zone", "violations").unionByName(rest)
+
+
+def between_known(rows: DataFrame, seq: str, wall_ms: str, known_ms: str, default: str, zones: tuple[str, ...] = ZONES, slack_ms: int = 1000, block: int = 4096, halo: int = 64, least: int = 3) -> DataFrame:
+    """rows with ``zone`` and ``violations`` of their stretch of ``block`` arrivals: walls without zone must lie between the known instants around them.
+
+    Rows near the border of a stretch are also seen, but not counted, by the next one.  Rows without ``seq`` keep the default.
+    """
+    s = F.col(seq).cast("long")
+    home = _whole(s, block)
+    rest = rows.filter(s.isNull()).withColumns({"zone": F.col(default), "violations": F.lit(0).cast("long")})
+    near = rows.filter(s.isNotNull()).withColumn("_b", F.explode(F.array_distinct(F.array(home, _whole(s - halo, block), _whole(s + halo, block))))).withColumn("_own", F.col("_b") == home)
+    order = Window.partitionBy("_b").orderBy(seq, known_ms)
+    lo = F.last(known_ms, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    back = Window.partitionBy("_b").orderBy(F.desc(seq), F.desc(known_ms))
+    hi = F.last(known_ms, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    near = near.withColumns({"_lo": lo, "_hi": hi})
+    wall = F.when(F.col("_own") & F.col(known_ms).isNull(), F.col(wall_ms))
+    w = Window.partitionBy("_b")
+    near = near.withColumns({f"_v{k}": violations(wall, wall, F.col("_lo"), F.col("_hi"), z, slack_ms) for k, z in enumerate(zones)})
+    near = near.withColumns({f"_s{k}": F.sum(f"_v{k}").over(w) for k in range(len(zones))})
+    near = near.withColumn("_c", _chosen(F.col(default), [F.col(f"_s{k}") for k in range(len(zones))], zones, least)).filter("_own")
+    return near.withColumns({"zone": F.col("_c.zone"), "violations": F.col("_c.violations")}).select(*rows.columns, "zone", "violations").unionByName(rest)
+
+
+def history(rows: DataFrame, source: str, unit: str) -> DataFrame:
+    """rows (source, unit, zone, violations) -> (source, von, bis, zone, violations, values): neighbouring units of one zone as one stretch.
+
+    A source's units must be few (days); they are combined before the shuffle.
+    """
+    units = rows.filter(F.col(unit).isNotNull()).groupBy(source, unit).agg(F.min("zone").alias("zone"), F.max("violations").alias("violations"), F.count(F.lit(1)).alias("values"))
+    w = Window.partitionBy(source).orderBy(unit)
+    new = F.coalesce(F.lag("zone").over(w) != F.col("zone"), F.lit(True)).cast("int")
+    runs = units.withColumn("_n", new).withColumn("_r", F.sum("_n").over(w))
+    return runs.groupBy(source, "_r").agg(
+        F.min(unit).alias("von"), F.max(unit).alias("bis"), F.min("zone").alias("zone"), F.sum("violations").alias("violations"), F.sum("values").alias("values")
+    ).drop("_r")

@@ -77,18 +77,59 @@ def test_epochs(spark, value, expected):
     assert df.select(I.parse_epoch(F.col("v"))).first()[0] == expected
 
 
-def test_offset_history_by_order_and_reference(spark):
-    start = ms(2024, 10, 26, 22)
+def wall(u):
+    return int(datetime.fromtimestamp(u / 1000, BERLIN).replace(tzinfo=timezone.utc).timestamp() * 1000)
+
+
+def test_zone_by_reference_changes_in_mid_series(spark):
+    """A station's clock is in Berlin for ten days and in UTC from then on; another one has no reference."""
+    rows = []
+    for d in range(20):
+        for k in range(6):
+            u = ms(2024, 6, 1 + d, 8 + k)
+            rows.append(("a", d, wall(u) if d < 10 else u, None if k == 5 else u, "Europe/Berlin", u))
+            rows.append(("b", d, wall(u), None, "Europe/Berlin", u))
+    rows.append((None, 0, wall(u), u, "Europe/Berlin", u))
+    rows.append(("a", 0, None, u, "Europe/Berlin", u))
+    df = spark.createDataFrame(rows, "q string, d int, w bigint, ref bigint, z string, truth bigint")
+    got = I.by_reference(df, ["q", "d"], "w", "ref", "z")
+    assert got.filter(F.col("w").isNotNull() & (I.wall_to_utc(F.col("w"), F.col("zone")) != F.col("truth"))).count() == 0
+    h = {(r.q, r.von, r.bis, r.zone) for r in I.history(got.dropna(subset=["q"]), "q", "d").collect()}
+    assert h == {("a", 0, 9, "Europe/Berlin"), ("a", 10, 19, "UTC"), ("b", 0, 19, "Europe/Berlin")}
+
+
+def test_zone_by_order_of_sessions(spark):
+    """Sessions one after the other; two of them state the wrong zone. Repeated hours and lonely sessions keep the statement."""
+    rows, wrong = [], {7: "Europe/Berlin", 25: "UTC"}
+    for k in range(30):  # through the night and over the end of summer time
+        a, b = ms(2024, 10, 26, 14) + k * 1_800_000, ms(2024, 10, 26, 14) + k * 1_800_000 + 1_700_000
+        zone = "Europe/Berlin" if k % 2 else "UTC"
+        local = zone == "Europe/Berlin"
+        if k in wrong:
+            zone, local = wrong[k], wrong[k] == "UTC"
+        rows.append(("a", k, wall(a) if local else a, wall(b) if local else b, zone))
+    rows += [("far", 100, ms(2024, 1, 1), ms(2024, 1, 2), "UTC"), (None, 101, 0, 0, "UTC"), ("a", 102, None, None, "UTC")]
+    df = spark.createDataFrame(rows, "q string, s bigint, a bigint, b bigint, z string")
+    got = {r.s: (r.z, r.zone) for r in I.by_order(df, "q", "s", "a", "b", "z").collect()}
+    assert len(got) == len(rows)
+    assert {s for s, (z, zone) in got.items() if z != zone} == set(wrong)
+
+
+def test_zone_between_known_instants(spark):
+    """Fetches every few minutes over several stretches; in one of them bare texts are in Berlin."""
     rows = []
-    for k in range(12):  # a station in Berlin over the change to winter time, one in UTC
-        u = start + k * 1_800_000
-        wall = int(datetime.fromtimestamp(u / 1000, BERLIN).replace(tzinfo=timezone.utc).timestamp() * 1000)
-        rows += [("berlin", k, wall, "UTC", u if k % 3 == 0 else None), ("utc", k, u, "UTC", None), ("still", k, None, "UTC", None)]
-    df = spark.createDataFrame(rows, "q string, seq bigint, wall bigint, z string, ref bigint")
-    got = {r.q: (r.zone, r.violations) for r in I.offset_history(df, "q", "seq", "wall", "z", ref_ms="ref").collect()}
-    assert got["berlin"][0] == "Europe/Berlin" and got["utc"] == ("UTC", 0) and "still" not in got
+    for k in range(400):
+        u = ms(2024, 6, 1) + k * 300_000
+        bare = k % 3 == 0
+        rows.append((k, (wall(u) if 100 <= k < 200 else u) if bare else None, None if bare else u, "UTC"))
+    rows.append((None, ms(2024, 6, 1), None, "UTC"))
+    df = spark.createDataFrame(rows, "s bigint, w bigint, known bigint, z string")
+    got = {r.s: r.zone for r in I.between_known(df, "s", "w", "known", "z", block=100, halo=10).collect()}
+    assert len(got) == 401 and {s for s, z in got.items() if z != "UTC"} == set(range(100, 200))
 
 
 def test_empty(spark):
-    df = spark.createDataFrame([], "q string, seq bigint, wall bigint, z string")
-    assert I.offset_history(df, "q", "seq", "wall", "z").count() == 0
+    df = spark.createDataFrame([], "q string, s bigint, a bigint, b bigint, z string")
+    assert I.by_order(df, "q", "s", "a", "b", "z").count() == 0
+    assert I.by_reference(df, ["q"], "a", "b", "z").count() == 0
+    assert I.between_known(df, "s", "a", "b", "z").count() == 0
