@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 DAY_SECONDS = 46_800  # 07:00 to 20:00
 EXCLUDING_FLAGS = 1 | 2 | 8  # held maximum, held minimum, gap
+#: Lower limits of wind forces 1 to 12 in m/s; fixed values.
 BEAUFORT = [0.3, 1.6, 3.4, 5.5, 8.0, 10.8, 13.9, 17.2, 20.8, 24.5, 28.5, 32.7]
 
 
@@ -50,7 +51,7 @@ def tier_of_count(n: Column) -> Column:
 
 
 def rain_class(intensity: Column, light: float = 2.5, heavy: float = 10.0) -> Column:
-    return F.when(intensity.isNull() | F.isnan(intensity), "unbekannt").when(intensity < light, "leicht").when(intensity <= heavy, "maessig").otherwise("stark")
+    return F.when(intensity.isNull() | F.isnan(intensity), "unbekannt").when(intensity < light, "leicht").when(intensity <= heavy, "mäßig").otherwise("stark")
 
 
 def beaufort(ms: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.functions import levels as L
-from pegelwerk.operators.instants import _whole
+from pegelwerk.operators.instants import _whole, local_day, wall_to_utc
 
 
 def islands(points: DataFrame, keys: list[str], at: str, gap: int, least: int = 0, aggs: dict[str, Column] | None = None) -> DataFrame:
@@ -46,6 +46,19 @@ def gaps(intervals: DataFrame, keys: list[str], least: int = 0) -> DataFrame:
     return intervals.select(*keys, F.col("end").alias("begin"), after.alias("_e")).filter(F.col("_e") - F.col("begin") > least).withColumnRenamed("_e", "end")
 
 
+def by_day(intervals: DataFrame, zone: str) -> DataFrame:
+    """Intervals cut at local midnight, with ``tag``, the local day of each piece; empty and null ones go.
+
+    So what follows is grouped by source and day, and no window holds a source's whole time.
+    """
+    day = lambda c: local_day(F.col(c) * 1000, zone)
+    midnight = lambda d: F.call_function("div", wall_to_utc(d.cast("long") * 86_400_000, zone), F.lit(1000).cast("long"))
+    days = intervals.filter(F.col("end") > F.col("begin")).withColumn("_e", F.col("end") - 1)
+    days = days.withColumn("_d", F.explode(F.sequence(day("begin"), day("_e"))))
+    out = days.withColumns({"begin": F.greatest("begin", midnight(F.col("_d"))), "end": F.least("end", midnight(F.col("_d") + 1))})
+    return out.withColumn("tag", F.date_from_unix_date("_d")).drop("_d", "_e")
+
+
 def _buckets(begin: Column, end: Column, width: int) -> Column:
     """Every bucket that [begin, end) touches; none for empty or null intervals."""
     some = F.coalesce(end > begin, F.lit(False))
@@ -65,6 +78,21 @@ def points_in(points: DataFrame, intervals: DataFrame, keys: list[str], at: str,
     return p.join(i, on, how).drop("_b", "_ib", *[f"_i_{k}" for k in keys])
 
 
+def covered(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, name: str, width: int = 3600) -> DataFrame:
+    """points with ``name``: some interval of the same keys contains them. Each point stays one row, repeated ones too.
+
+    Intervals are clipped to the time buckets they touch; those of one bucket become one list, looked up by its key.
+    """
+    i = intervals.select(*keys, F.col("begin").cast("long").alias("_a"), F.col("end").cast("long").alias("_z"))
+    i = i.withColumn("_b", F.explode(_buckets(F.col("_a"), F.col("_z"), width)))
+    # a bucket holds no more different pieces than it has units
+    i = i.select(*keys, "_b", F.greatest("_a", F.col("_b") * width).alias("a"), F.least("_z", (F.col("_b") + 1) * width).alias("z"))
+    lists = i.groupBy(*keys, "_b").agg(F.collect_set(F.struct("a", "z")).alias("_l"))
+    p = points.withColumn("_b", _whole(F.col(at).cast("long"), width)).join(lists, [*keys, "_b"], "left")
+    inside = F.exists("_l", lambda x: (F.col(at) >= x["a"]) & (F.col(at) < x["z"]))
+    return p.withColumn(name, F.coalesce(inside, F.lit(False))).drop("_b", "_l")
+
+
 def overlaps(a: DataFrame, b: DataFrame, keys: list[str], width: int = 3600) -> DataFrame:
     """Pairs of intervals of the same keys that overlap, with their common seconds; b's bounds become b_begin, b_end.
 
@@ -78,7 +106,7 @@ def overlaps(a: DataFrame, b: DataFrame, keys: list[str], width: int = 3600) ->
     return both.filter(F.col("_b") == _whole(common.cast("long"), width)).withColumn("gemeinsam", F.least("end", "b_end") - common).drop("_b")
 
 
-def spans(seconds: DataFrame, keys: list[str], above: float = 70.0, spread: float = 3.0, gap: int = 15, least: int = 60) -> DataFrame:
+def spans(seconds: DataFrame, keys: list[str], above: float = 70.0, spread: float = 4.0, gap: int = 15, least: int = 60) -> DataFrame:
     """Runs of even, loud noise: rolling mean above, rolling deviation below, gaps bridged.
 
     The rolling values are taken at measured seconds; bounds are measured seconds too.

@@ -64,12 +64,23 @@ def inherit(windows: DataFrame, keys: list[str], status: Column, window_s: int,
     return s.groupBy(*keys, "second").agg(F.max_by("status", order).alias("status"))
 
 
-def modal_gap(rows: DataFrame, keys: list[str], t_ms: str) -> DataFrame:
-    """Most common positive gap between neighbours, in whole seconds, at least 1; of equally common ones the smaller."""
+def previous(rows: DataFrame, keys: list[str], at: str, shard: int) -> DataFrame:
+    """rows with ``vor``, the value of ``at`` before in the same keys: windows over shards of ``shard`` units, and a prefix scan over the shards' last values."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*keys).orderBy(t_ms)
-    d = rows.select(*keys, (F.col(t_ms) - F.lag(t_ms).over(w)).alias("_d")).filter("_d > 0")
+    cut = rows.withColumn("_s", _whole(F.col(at).cast("long"), shard))
+    ends = cut.groupBy(*keys, "_s").agg(F.max(at).alias("_z"))
+    carry = ends.select(*keys, "_s", F.lag("_z").over(Window.partitionBy(*keys).orderBy("_s")).alias("_c"))
+    w = Window.partitionBy(*keys, "_s").orderBy(at)
+    return cut.join(carry, [*keys, "_s"]).withColumn("vor", F.coalesce(F.lag(at).over(w), "_c")).drop("_s", "_c")
+
+
+def modal_gap(rows: DataFrame, keys: list[str], t_ms: str) -> DataFrame:
+    """Most common positive gap between neighbours, in whole seconds, at least 1; of equally common ones the smaller.
+
+    Neighbours are looked up per day, with the last row of the day before carried over, so a source is many tasks.
+    """
+    d = previous(rows.select(*keys, t_ms).dropna(), keys, t_ms, 86_400_000).select(*keys, (F.col(t_ms) - F.col("vor")).alias("_d")).filter("_d > 0")
     counts = d.groupBy(*keys, "_d").agg(F.count(F.lit(1)).alias("_n"))
     best = counts.groupBy(*keys).agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col("_d").alias("d"))).alias("b"))
     return best.select(*keys, F.greatest(F.lit(1), F.round(F.col("b.d") / 1000).cast("long")).alias("fenster_s"))

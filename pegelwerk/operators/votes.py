@@ -21,14 +21,14 @@ def weighted_vote(rows: DataFrame, keys: list[str], label: str, weight: str, mis
     """Per keys: the label with the largest sum of weights, its share, and the list of all shares.
 
     Rows without label don't vote; a missing weight counts ``missing``; of equal sums the label
-    first in the alphabet wins.  Two partial aggregations: a key with a third of all rows is one row per label.
+    first in the alphabet wins.  Sums and shares are rounded to six digits first, so that neither ties nor half percents hang on the order of summation.  Two partial aggregations: a key with a third of all rows is one row per label.
     """
-    sums = rows.filter(F.col(label).isNotNull()).groupBy(*keys, label).agg(F.sum(F.coalesce(F.col(weight), F.lit(missing))).alias("_s"))
-    total = F.sum("_s")
+    sums = rows.filter(F.col(label).isNotNull()).groupBy(*keys, label).agg(F.round(F.sum(F.coalesce(F.col(weight), F.lit(missing))), 6).alias("_s"))
+    total = F.round(F.sum("_s"), 6)
     best = F.min(F.struct((-F.col("_s")).alias("s"), F.col(label).alias("l")))
     detail = F.array_sort(F.collect_list(F.struct((-F.col("_s")).alias("s"), F.col(label).alias("l"))))
     out = sums.groupBy(*keys).agg(total.alias("_t"), best.alias("b"), detail.alias("d"))
-    share = lambda x: F.concat(x["l"], F.lit(" "), F.floor(-100 * x["s"] / F.col("_t") + 0.5).cast("string"), F.lit("%"))
+    share = lambda x: F.concat(x["l"], F.lit(" "), F.floor(F.round(-100 * x["s"] / F.col("_t"), 6) + 0.5).cast("string"), F.lit("%"))
     return out.select(*keys, F.col("b.l").alias("label"), (-F.col("b.s") / F.col("_t")).alias("anteil"), F.array_join(F.transform("d", share), ", ").alias("anteile"))
 
 

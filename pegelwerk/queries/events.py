@@ -12,10 +12,10 @@ from pegelwerk.queries.levels import r6
 from pegelwerk.sources.tables import finite, table
 
 #: Old names of labels; fixed values.
-ALIAS = {"Motor/Bagger": "Bagger", "Bohren/Impuls": "Schlagen/Bohren"}
-ALIAS_SQL = "CASE {0} WHEN 'Motor/Bagger' THEN 'Bagger' WHEN 'Bohren/Impuls' THEN 'Schlagen/Bohren' ELSE {0} END"
-#: Extraction methods by trust; fixed values.
-METHODS = {"GERAETEEXPORT": 0, "DB_INTAKT": 1, "WAL": 2, "NACHTRAG": 3, "RECOVER": 4, "CARVING": 5}
+ALIAS = {"Tiefbohrer": "Bohrgeraet/schweres Geraet"}
+ALIAS_SQL = "CASE {0} WHEN 'Tiefbohrer' THEN 'Bohrgeraet/schweres Geraet' ELSE {0} END"
+#: Extraction methods by trust; fixed values. Other methods come last.
+METHODS = {"DB_INTAKT": 0, "GERAETEEXPORT": 0, "WAL": 1, "RECOVER": 2, "CARVING": 3}
 
 
 def _by_table(spark, sf_dir, name):
@@ -158,7 +158,7 @@ _EP = f"""{_E}, l AS (SELECT *, coalesce(Timestamp_ms - lag(Timestamp_ms) OVER (
 
 
 def _vote(frm: str, keys: str, missing: float) -> str:
-    return f"""(SELECT {keys}, arg_min(label, row(-s, label)) AS label, max(s) / sum(s) AS anteil FROM (SELECT {keys}, label, sum(coalesce(dBA, {missing})) AS s FROM {frm} WHERE label IS NOT NULL GROUP BY ALL) GROUP BY {keys})"""
+    return f"""(SELECT {keys}, arg_min(label, row(-s, label)) AS label, max(s) / sum(s) AS anteil FROM (SELECT {keys}, label, round(sum(coalesce(dBA, {missing})), 6) AS s FROM {frm} WHERE label IS NOT NULL GROUP BY ALL) GROUP BY {keys})"""
 
 
 QUERIES = {
@@ -168,7 +168,7 @@ QUERIES = {
         bin_dominant, bin_share, episodes, top6_per_day, label_import, label_update,
     )
 }
-_RANK = "CASE upper(trim(methode)) " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in METHODS.items()) + " ELSE 9 END"
+_RANK = "CASE upper(trim(methode)) WHEN 'DB_INTAKT' THEN 0 WHEN 'GERAETEEXPORT' THEN 0 WHEN 'WAL' THEN 1 WHEN 'RECOVER' THEN 2 WHEN 'CARVING' THEN 3 ELSE 9 END"
 SQL = {
     "priority_union": f"""WITH {_T}, u AS (SELECT messstelle, second, leq, tabelle FROM a UNION ALL SELECT messstelle, second, leq, tabelle FROM b ANTI JOIN a USING (messstelle, second))
         SELECT messstelle, tabelle AS herkunft, count(*) AS sekunden, round(10 * log10(avg(pow(10, leq / 10))), 6) AS laeq FROM u GROUP BY ALL""",
@@ -186,8 +186,8 @@ SQL = {
         CASE WHEN konflikt THEN 'KONFLIKT_QUELLEN' WHEN quer THEN 'QUERPRUEFUNG_2_TABELLEN' ELSE 'UNGEPRUEFT' END AS validierung FROM c WHERE konflikt OR rang = 1""",
     "source_precedence": f"WITH {_E} SELECT label, count(*) AS clips, round(10 * log10(avg(pow(10, dBA / 10))), 6) AS laeq, max(dBA) AS lmax FROM e GROUP BY label",
     "weighted_vote": f"WITH {_E} SELECT messstelle, Datum, label, round(anteil, 6) AS anteil FROM {_vote('e', 'messstelle, Datum', 1.0)}",
-    "vote_shares": f"""WITH {_E}, s AS (SELECT messstelle, label, sum(coalesce(dBA, 0)) AS s FROM e WHERE label IS NOT NULL GROUP BY ALL), t AS (SELECT *, sum(s) OVER (PARTITION BY messstelle) AS t FROM s)
-        SELECT messstelle, string_agg(label || ' ' || CAST(floor(100 * s / t + 0.5) AS BIGINT) || '%', ', ' ORDER BY s DESC, label) AS anteile FROM t GROUP BY messstelle""",
+    "vote_shares": f"""WITH {_E}, s AS (SELECT messstelle, label, round(sum(coalesce(dBA, 0)), 6) AS s FROM e WHERE label IS NOT NULL GROUP BY ALL), t AS (SELECT *, round(sum(s) OVER (PARTITION BY messstelle), 6) AS t FROM s)
+        SELECT messstelle, string_agg(label || ' ' || CAST(floor(round(100 * s / t, 6) + 0.5) AS BIGINT) || '%', ', ' ORDER BY s DESC, label) AS anteile FROM t GROUP BY messstelle""",
     "bin_dominant": f"WITH {_E}, b AS (SELECT *, Timestamp_ms // 600000 AS bin FROM e WHERE Timestamp_ms IS NOT NULL) SELECT messstelle, bin, label FROM {_vote('b', 'messstelle, bin', 0.0)}",
     "bin_share": f"""WITH {_E}, b AS (SELECT *, Timestamp_ms // 600000 AS bin FROM e WHERE Timestamp_ms IS NOT NULL), d AS (SELECT messstelle, bin, label FROM {_vote('b', 'messstelle, bin', 0.0)}),
         n AS (SELECT messstelle, label, count(*) AS bins FROM d GROUP BY ALL) SELECT messstelle, label, bins, round(bins / sum(bins) OVER (PARTITION BY messstelle), 6) AS anteil FROM n""",

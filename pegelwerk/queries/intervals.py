@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from pegelwerk.functions import levels as L
 from pegelwerk.operators import intervals as V
-from pegelwerk.queries.levels import KEYS, SECONDS, r6, seconds
+from pegelwerk.queries.levels import BERLIN, KEYS, SECONDS, r6, seconds
 from pegelwerk.sources.tables import table
 
 #: (threshold dB, minutes); fixed values of the four criteria
-CRITERIA = [(60.0, 10), (60.0, 5), (65.0, 5), (70.0, 2)]
-CRIT = "c(schwelle, minuten) AS (VALUES (60.0::DOUBLE, 10), (60.0::DOUBLE, 5), (65.0::DOUBLE, 5), (70.0::DOUBLE, 2))"
+CRITERIA = [(60.0, 5), (60.0, 10), (65.0, 5), (70.0, 3)]
+CRIT = "c(schwelle, minuten) AS (VALUES (60.0::DOUBLE, 5), (60.0::DOUBLE, 10), (65.0::DOUBLE, 5), (70.0::DOUBLE, 3))"
 
 
 def _criteria(spark):
@@ -56,6 +56,12 @@ CLIPS = "k AS (SELECT WAV, min(messstelle) AS messstelle, min(Timestamp_ms // 10
 
 
 def quiet_spans(spark, sf_dir):
+    """Even, loud noise by the rule's own limits: rolling mean over 70 dB, deviation under 4 dB."""
+    return V.spans(seconds(spark, sf_dir), KEYS).select(*KEYS, "begin", "end", "punkte", r6("leq"), "lmax")
+
+
+def quiet_spans_60(spark, sf_dir):
+    """The same with relaxed limits."""
     return V.spans(seconds(spark, sf_dir), KEYS, above=60.0, spread=2.0).select(*KEYS, "begin", "end", "punkte", r6("leq"), "lmax")
 
 
@@ -81,11 +87,10 @@ def interval_gaps(spark, sf_dir):
 
 
 def _exclusions(spark, sf_dir):
-    """A minute around each clip over 80 dB, with 30 s after it, as exclusion."""
+    """A minute around each clip over 80 dB, with 30 s after it, as exclusion; cut at local midnight and merged per day."""
     k = _clips(spark, sf_dir).filter("dba >= 80")
-    days = seconds(spark, sf_dir).select(*KEYS).distinct()
     i = k.select("messstelle", (F.col("second") - 30).alias("begin"), (F.col("second") + 60).alias("end"))
-    return V.merged(i, ["messstelle"]).drop("teile").join(days, "messstelle")
+    return V.merged(V.by_day(i, BERLIN), KEYS).drop("teile")
 
 
 def exclusion_anti(spark, sf_dir):
@@ -119,7 +124,7 @@ def last_match_interval(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        islands_by_criteria, phase_stats, quiet_spans, duration_phases, duration_phases_plain, interval_merge, interval_gaps,
+        islands_by_criteria, phase_stats, quiet_spans, quiet_spans_60, duration_phases, duration_phases_plain, interval_merge, interval_gaps,
         exclusion_anti, point_in_interval, interval_overlap, last_match_interval,
     )
 }
@@ -135,9 +140,11 @@ _SESS = f"""{SECONDS},
 _EXCL = f"""{CLIPS}, x0 AS (SELECT messstelle, second - 30 AS a, second + 60 AS b FROM k WHERE dba >= 80),
     x1 AS (SELECT *, max(b) OVER (PARTITION BY messstelle ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS v FROM x0),
     x2 AS (SELECT *, sum(CASE WHEN v IS NULL OR a > v THEN 1 ELSE 0 END) OVER (PARTITION BY messstelle ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM x1),
-    x AS (SELECT messstelle, min(a) AS a, max(b) AS b FROM x2 GROUP BY messstelle, g)"""
-_SPANS = f"""WITH {SECONDS}, w AS (SELECT *, count(*) OVER v AS cnt, round(avg(leq) OVER v, 9) AS m, round(stddev_samp(leq) OVER v, 9) AS d FROM s WINDOW v AS (PARTITION BY messstelle, tag ORDER BY second RANGE BETWEEN 15 PRECEDING AND 14 FOLLOWING)),
-    q AS (SELECT *, coalesce(second - lag(second) OVER (PARTITION BY messstelle, tag ORDER BY second) > 15, true) AS neu FROM w WHERE cnt >= 15 AND m > 60 AND d < 2),
+    x3 AS (SELECT messstelle, min(a) AS a, max(b) AS b FROM x2 GROUP BY messstelle, g),
+    x4 AS (SELECT *, CAST(unnest(generate_series(date_trunc('day', timezone('Europe/Berlin', to_timestamp(a))), date_trunc('day', timezone('Europe/Berlin', to_timestamp(b - 1))), INTERVAL 1 DAY)) AS DATE) AS tag FROM x3),
+    x AS (SELECT messstelle, tag, greatest(a, CAST(epoch(timezone('Europe/Berlin', CAST(tag AS TIMESTAMP))) AS BIGINT)) AS a, least(b, CAST(epoch(timezone('Europe/Berlin', CAST(tag + 1 AS TIMESTAMP))) AS BIGINT)) AS b FROM x4)"""
+_SPANS = """WITH {s}, w AS (SELECT *, count(*) OVER v AS cnt, round(avg(leq) OVER v, 9) AS m, round(stddev_samp(leq) OVER v, 9) AS d FROM s WINDOW v AS (PARTITION BY messstelle, tag ORDER BY second RANGE BETWEEN 15 PRECEDING AND 14 FOLLOWING)),
+    q AS (SELECT *, coalesce(second - lag(second) OVER (PARTITION BY messstelle, tag ORDER BY second) > 15, true) AS neu FROM w WHERE cnt >= 15 AND m > {above} AND d < {spread}),
     r AS (SELECT *, sum(neu::INT) OVER (PARTITION BY messstelle, tag ORDER BY second) AS lauf FROM q)
     SELECT messstelle, tag, min(second) AS "begin", max(second) + 1 AS "end", count(*) AS punkte, round(10 * log10(avg(pow(10, leq / 10))), 6) AS leq, max(leq) AS lmax
     FROM r GROUP BY messstelle, tag, lauf HAVING max(second) - min(second) >= 59"""
@@ -160,7 +167,8 @@ SQL = {
             FROM p JOIN s ON s.messstelle = p.messstelle AND s.tag = p.tag AND s.second >= p."begin" AND s.second < p."end" GROUP BY ALL)
         SELECT messstelle, tag, schwelle, minuten, "begin", "end", round(leq, 6) AS leq, lmax, lmin, round(anteil, 6) AS anteil,
             (SELECT count(*) FROM k WHERE k.messstelle = a.messstelle AND k.second >= a."begin" AND k.second < a."end") AS clips FROM a""",
-    "quiet_spans": _SPANS,
+    "quiet_spans": _SPANS.format(s=SECONDS, above=70, spread=4),
+    "quiet_spans_60": _SPANS.format(s=SECONDS, above=60, spread=2),
     "duration_phases": _phases_sql(55.0, 5, 200, True),
     "duration_phases_plain": _phases_sql(60.0, 10, 600, False),
     "interval_merge": f"""WITH {_SESS.format(gap=30)},

@@ -19,7 +19,8 @@ RULES = [
     ("Bohren/Impuls", "impuls_crest > 7", 0.8), ("Bohren/Impuls", '"e_hoch_>2k" > 0.45', 1.0), ("Bohren/Impuls", "centroid_Hz > 2200", 0.8),
     ("Fahrzeug", "centroid_Hz > 700 AND centroid_Hz < 2500", 0.6), ("Fahrzeug", '"e_hoch_>2k" > 0.2 AND "e_tief_<250" < 0.35', 0.4), ("Fahrzeug", "silbentakt < 0.4", 0.2),
 ]
-SITE = ["Bagger", "Schlagen/Bohren", "Saege", "Bohrgeraet/schweres Geraet", "Schweres Baugeraet/sonstige Maschine"]
+#: Labels that count as work on the site; fixed values.
+SITE = ["Bagger", "Bohrgeraet/schweres Geraet", "Schweres Baugeraet/sonstige Maschine", "Motor/Diesel", "Schlagen/Bohren", "Saege", "Fahrzeug", "Signal/Warnton"]
 CLASSES = {"a": {0: 1.0, 1: 0.8, 2: 0.5}, "b": {3: 1.0, 4: 1.0}, "c": {5: 0.85}}
 
 
@@ -81,7 +82,7 @@ def checks(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (rule_labels, evidence_matrix, cluster_verdicts, site_days, bin_colours, day_list, checks)}
 _SUMS = {k: " + ".join(f"CASE WHEN {c} THEN {w} ELSE 0 END" for kk, c, w in RULES if kk == k) for k in dict.fromkeys(r[0] for r in RULES)}
-_IN = ", ".join(f"'{x}'" for x in SITE)
+_IN = "'Bagger', 'Bohrgeraet/schweres Geraet', 'Schweres Baugeraet/sonstige Maschine', 'Motor/Diesel', 'Schlagen/Bohren', 'Saege', 'Fahrzeug', 'Signal/Warnton'"
 SQL = {
     "rule_labels": "WITH p AS (SELECT "
     + ", ".join(f"round({v}, 6) AS s{i}" for i, v in enumerate(_SUMS.values()))

@@ -123,17 +123,48 @@ def rolling_mean_std(spark, sf_dir):
 
 
 def loudest_hour(spark, sf_dir):
+    """The loudest hour of each day by the rule: 1,800 measured seconds at least."""
+    return R.loudest_hour(seconds(spark, sf_dir), KEYS).select(*KEYS, "ende", "sekunden", r6("laeq"))
+
+
+def loudest_quarter_hour_of_data(spark, sf_dir):
+    """The same with 900 measured seconds."""
     return R.loudest_hour(seconds(spark, sf_dir), KEYS, least=900).select(*KEYS, "ende", "sekunden", r6("laeq"))
 
 
+def loudest_hour_of_day(spark, sf_dir):
+    """Inside the day window 07 to 20: W-02 with its bounds."""
+    s = seconds(spark, sf_dir)
+    at = lambda sod: (F.col("second") - F.col("sod") + sod).alias
+    s = s.select("*", at(25_200)("_von"), at(72_000)("_bis"))
+    return R.loudest_hour(s, KEYS, bounds=("_von", "_bis")).select(*KEYS, "ende", "sekunden", r6("laeq"))
+
+
+def loudest_hour_complete(spark, sf_dir):
+    """Only hours without any gap: W-04."""
+    return R.loudest_hour(seconds(spark, sf_dir), KEYS, least=3600).select(*KEYS, "ende", "sekunden", r6("laeq"))
+
+
+def loudest_at_noon(spark, sf_dir):
+    """Loudest hours of at least 60 dB whose middle lies between 11 and 15 o'clock: F-23."""
+    from pegelwerk.operators.instants import utc_to_wall
+
+    h = loudest_hour(spark, sf_dir)
+    middle = F.pmod(utc_to_wall((F.col("ende") - 1799) * 1000, BERLIN), F.lit(86_400_000))
+    return h.filter((middle >= 39_600_000) & (middle <= 54_000_000) & (F.col("laeq") >= 60))
+
+
 def loudest_minute(spark, sf_dir):
     return R.loudest_hour(seconds(spark, sf_dir), KEYS, least=30, strict_start=False, span=60).select(*KEYS, "ende", "sekunden", r6("laeq"))
 
 
-def _loudest_sql(span: int, least: int, strict: bool) -> str:
+def _loudest_sql(span: int, least: int, strict: bool, day: bool = False) -> str:
     start = f"a + {span - 1}" if strict else "a"
-    return f"""WITH {SECONDS},
-    b AS (SELECT messstelle, tag, min(second) AS a, greatest(max(second), min(second) + {span - 1}) AS z FROM s GROUP BY ALL),
+    seconds_ = SECONDS + (", s AS (SELECT *, second - sod + 72000 AS bis FROM s0 WHERE sod >= 25200 AND sod < 72000)" if day else "")
+    seconds_ = seconds_.replace("s AS (SELECT messstelle, sekunde", "s0 AS (SELECT messstelle, sekunde", 1) if day else seconds_
+    last = f"least(greatest(max(second), min(second) + {span - 1}), min(bis) - 1)" if day else f"greatest(max(second), min(second) + {span - 1})"
+    return f"""WITH {seconds_},
+    b AS (SELECT messstelle, tag, min(second) AS a, {last} AS z FROM s GROUP BY ALL),
     g AS (SELECT messstelle, tag, a, unnest(range(a, z + 1)) AS t FROM b),
     f AS (SELECT g.messstelle, g.tag, g.a, g.t, pow(10, s.leq / 10) AS e FROM g LEFT JOIN s ON s.messstelle = g.messstelle AND s.tag = g.tag AND s.second = g.t),
     w AS (SELECT *, count(e) OVER v AS n, round(10 * log10(avg(e) OVER v), 9) AS l FROM f WINDOW v AS (PARTITION BY messstelle, tag ORDER BY t ROWS BETWEEN {span - 1} PRECEDING AND CURRENT ROW))
@@ -144,7 +175,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         daily_laeq, second_rollup, merged_seconds, segment_laeq, takt_max_lr, assumed_levels, plausibility_counts, flag_mask, reject_reasons,
-        samples_by_day_source, time_regressions, rolling_leq, rolling_mean_std, loudest_hour, loudest_minute,
+        samples_by_day_source, time_regressions, rolling_leq, rolling_mean_std, loudest_hour, loudest_quarter_hour_of_data, loudest_hour_of_day, loudest_hour_complete, loudest_at_noon, loudest_minute,
     )
 }
 _DAY = "CAST(timezone('Europe/Berlin', to_timestamp({} / 1000)) AS DATE)"
@@ -182,6 +213,11 @@ SQL = {
     "rolling_mean_std": f"""WITH {SECONDS} SELECT messstelle, second, CASE WHEN count(*) OVER w >= 15 THEN round(avg(leq) OVER w, 6) END AS mittel,
         CASE WHEN count(*) OVER w >= 15 THEN round(stddev_samp(leq) OVER w, 6) END AS streuung FROM s
         WINDOW w AS (PARTITION BY messstelle, tag ORDER BY second RANGE BETWEEN 15 PRECEDING AND 14 FOLLOWING)""",
-    "loudest_hour": _loudest_sql(3600, 900, True),
+    "loudest_hour": _loudest_sql(3600, 1800, True),
+    "loudest_quarter_hour_of_data": _loudest_sql(3600, 900, True),
+    "loudest_hour_of_day": _loudest_sql(3600, 1800, True, True),
+    "loudest_hour_complete": _loudest_sql(3600, 3600, True),
+    "loudest_at_noon": f"""SELECT * FROM ({_loudest_sql(3600, 1800, True)}) h WHERE laeq >= 60
+        AND CAST(floor(epoch(timezone('Europe/Berlin', to_timestamp(ende - 1799)))) AS BIGINT) % 86400 BETWEEN 39600 AND 54000""",
     "loudest_minute": _loudest_sql(60, 30, False),
 }

@@ -14,10 +14,10 @@ from pegelwerk.sources.tables import table
 STATUS = {"PCE_323": "PCE", "GEMISCHT": "GEMISCHT", "MIKROFON": "MIKROFON"}
 
 
-def _checked(spark, sf_dir, source, pure):
+def _checked(spark, sf_dir, source, pure, tolerance=0.15):
     s = R.window_samples(table(spark, sf_dir, "level_samples"), ["messstelle"], "at", "levelDb", "source", "PCE_323", "MIKROFON", 10_000)
     w = _windows(spark, sf_dir).filter(F.col("quelle") == source)
-    return R.check_windows(w, s, ["messstelle"], "leq", "Samples", pure, 3.0)
+    return R.check_windows(w, s, ["messstelle"], "leq", "Samples", pure, tolerance)
 
 
 def mixed_window_check(spark, sf_dir):
@@ -28,6 +28,11 @@ def pure_window_check(spark, sf_dir):
     return _checked(spark, sf_dir, "PCE_323", True).groupBy("messstelle", "status").agg(F.count(F.lit(1)).alias("fenster"), F.count_if("gleich").alias("gleich"))
 
 
+def mixed_window_check_3db(spark, sf_dir):
+    """The check with a relaxed tolerance."""
+    return _checked(spark, sf_dir, "GEMISCHT", False, 3.0).groupBy("messstelle", "status").agg(F.count(F.lit(1)).alias("fenster"), F.count_if("gleich").alias("gleich"))
+
+
 def reconstruct_energy(spark, sf_dir):
     w = _checked(spark, sf_dir, "GEMISCHT", False)
     return R.reconstruct(w, "leq", "Samples").select("messstelle", "start_ms", "ergebnis", r6("mitte"), r6("unten"), r6("oben"))
@@ -75,20 +80,22 @@ def stratified_sample(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (mixed_window_check, pure_window_check, reconstruct_energy, modal_gap, target_inherit, window_status_lookup, daily_balance, stratified_sample)
+    for f in (mixed_window_check, mixed_window_check_3db, pure_window_check, reconstruct_energy, modal_gap, target_inherit, window_status_lookup, daily_balance, stratified_sample)
 }
 _P = """p AS (SELECT messstelle, "at" // 10000 * 10000 AS start_ms, count(*) FILTER (source = 'PCE_323') AS np, count(*) FILTER (source = 'MIKROFON') AS nm,
     coalesce(sum(pow(10, levelDb / 10)) FILTER (source = 'PCE_323'), 0) AS ep, coalesce(sum(pow(10, levelDb / 10)) FILTER (source = 'MIKROFON'), 0) AS em
     FROM level_samples WHERE levelDb > 0 AND levelDb <= 160 AND source IN ('PCE_323', 'MIKROFON') GROUP BY ALL)"""
 _CHECK = """x AS (SELECT w.*, p.nm, p.em, {n} AS n, round(CASE WHEN {n} > 0 THEN 10 * log10({e} / {n}) END - leq, 9) AS delta FROM w LEFT JOIN p USING (messstelle, start_ms) WHERE quelle = '{q}'),
-    c AS (SELECT *, CASE WHEN delta IS NULL THEN 'NICHT_PRUEFBAR' WHEN abs(delta) <= 3.0 THEN 'BESTAETIGT' ELSE 'KONFLIKT' END AS status FROM x)"""
-_MIX = _CHECK.format(n="(coalesce(np, 0) + coalesce(nm, 0))", e="(ep + em)", q="GEMISCHT")
-_PURE = _CHECK.format(n="coalesce(np, 0)", e="ep", q="PCE_323")
+    c AS (SELECT *, CASE WHEN delta IS NULL THEN 'NICHT_PRUEFBAR' WHEN abs(delta) <= {tol} THEN 'BESTAETIGT' ELSE 'KONFLIKT' END AS status FROM x)"""
+_MIX = _CHECK.format(n="(coalesce(np, 0) + coalesce(nm, 0))", e="(ep + em)", q="GEMISCHT", tol="0.15")
+_MIX3 = _CHECK.format(n="(coalesce(np, 0) + coalesce(nm, 0))", e="(ep + em)", q="GEMISCHT", tol="3.0")
+_PURE = _CHECK.format(n="coalesce(np, 0)", e="ep", q="PCE_323", tol="0.15")
 _ST = "CASE WHEN Samples > 0 AND quelle IN ('PCE_323', 'GEMISCHT', 'MIKROFON') THEN replace(quelle, 'PCE_323', 'PCE') ELSE 'FEHLT' END"
 _TG = f"""{_W}, q AS (SELECT messstelle, start_ms, {_ST} AS status, unnest(range(CAST(ceil(start_ms / 1000) AS BIGINT), CAST(ceil((start_ms + 10000) / 1000) AS BIGINT))) AS second FROM w),
     z AS (SELECT messstelle, second, arg_max(status, start_ms) AS status FROM q GROUP BY ALL)"""
 SQL = {
     "mixed_window_check": f"WITH {_W}, {_P}, {_MIX} SELECT messstelle, start_ms, status, round(delta, 6) AS delta, CAST(n AS BIGINT) AS n_proben, CASE WHEN delta IS NOT NULL THEN n = Samples END AS gleich FROM c",
+    "mixed_window_check_3db": f"WITH {_W}, {_P}, {_MIX3} SELECT messstelle, status, count(*) AS fenster, count(*) FILTER (delta IS NOT NULL AND n = Samples) AS gleich FROM c GROUP BY ALL",
     "pure_window_check": f"WITH {_W}, {_P}, {_PURE} SELECT messstelle, status, count(*) AS fenster, count(*) FILTER (delta IS NOT NULL AND n = Samples) AS gleich FROM c GROUP BY ALL",
     "reconstruct_energy": f"""WITH {_W}, {_P}, {_MIX}, r AS (SELECT *, leq IS NOT NULL AND nm > 0 AND Samples - nm > 0 AS ok FROM c),
         f AS (SELECT *, Samples * pow(10, leq / 10) - em AS m, Samples * pow(10, (leq - 0.05) / 10) - em AS u, Samples * pow(10, (leq + 0.05) / 10) - em AS o, Samples - nm AS k FROM r)

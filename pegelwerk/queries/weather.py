@@ -83,10 +83,8 @@ def _rain_wind(spark, sf_dir):
     rain = V.merged(rain.filter(F.col("end") - F.col("begin") > 3 * HOUR), ["station"]).select("station", "begin", "end")
     wind = _bins(spark, sf_dir).filter(F.col("wind") >= 60).select("station", (F.col("ende") - HOUR).alias("begin"), F.col("ende").alias("end"))
     s = table(spark, sf_dir, "events").filter((F.col("value") > 0) & (F.col("value") <= 160)).select("event_id", (F.col("user_id") % 4).alias("station"), _second().alias("second"), F.col("value").alias("leq"))
-    mark = lambda i, c: V.points_in(s, i, ["station"], "second", "left_semi", 6 * HOUR).select("event_id", F.lit(True).alias(c))
-    s = s.join(mark(rain, "regen"), "event_id", "left").join(mark(wind, "wind"), "event_id", "left")
-    no = F.lit(False)
-    return s.withColumns({"regen": F.coalesce("regen", no), "wind": F.coalesce("wind", no), "tag": F.floor(F.col("second") / 86_400)})
+    s = V.covered(V.covered(s, rain, ["station"], "second", "regen", 6 * HOUR), wind, ["station"], "second", "wind", 6 * HOUR)
+    return s.withColumn("tag", F.floor(F.col("second") / 86_400))
 
 
 def ab_sensitivity(spark, sf_dir):
@@ -128,7 +126,7 @@ _CH = " OR ".join(f"a_{x} <> {v}_{x}" for x in ("stufe", "ueber55", "ueber60") f
 SQL = {
     "weather_runs_bridge": f"""WITH {_R} SELECT r.*, (SELECT count(*) FROM b WHERE b.station = r.station AND b.ende > r."begin" AND b.ende <= r."end") AS bins FROM r""",
     "weather_event_summary": f"""WITH {_R}, x AS (SELECT r.station, r."begin", sum(regen) AS regen, max(regen) AS spitze, avg(wind) AS wind, max(wind) AS wm, max(boe) AS boe FROM r JOIN b ON b.station = r.station AND b.ende > r."begin" AND b.ende <= r."end" GROUP BY ALL)
-        SELECT station, "begin", round(regen, 6) AS regen, round(spitze, 6) AS spitze, round(wind, 6) AS wind, boe, CASE WHEN spitze IS NULL THEN 'unbekannt' WHEN spitze < 25 THEN 'leicht' WHEN spitze <= 60 THEN 'maessig' ELSE 'stark' END AS klasse,
+        SELECT station, "begin", round(regen, 6) AS regen, round(spitze, 6) AS spitze, round(wind, 6) AS wind, boe, CASE WHEN spitze IS NULL THEN 'unbekannt' WHEN spitze < 25 THEN 'leicht' WHEN spitze <= 60 THEN 'mäßig' ELSE 'stark' END AS klasse,
         CASE WHEN wm IS NOT NULL THEN {' + '.join(f'(wm / 10 >= {t})::INT' for t in L.BEAUFORT)} END AS bft FROM x""",
     "circular_direction": f"""WITH {BINS}, d AS (SELECT station, ende // 86400 AS tag, wind AS w, CASE WHEN wind IS NOT NULL THEN richtung END AS g FROM b),
         s AS (SELECT station, tag, sum(cos(radians(g)) * w) AS x, sum(sin(radians(g)) * w) AS y FROM d GROUP BY ALL)

@@ -63,7 +63,7 @@ def test_unknown_flags_are_excluded(spark):
     assert [r[0] for r in df.select(L.countable_flags(F.col("f"))).collect()] == [False, True, True, False, False]
 
 
-@pytest.mark.parametrize("x, name", [(2.49, "leicht"), (2.5, "maessig"), (10.0, "maessig"), (10.01, "stark"), (float("nan"), "unbekannt"), (None, "unbekannt")])
+@pytest.mark.parametrize("x, name", [(2.49, "leicht"), (2.5, "mäßig"), (10.0, "mäßig"), (10.01, "stark"), (float("nan"), "unbekannt"), (None, "unbekannt")])
 def test_rain_class(spark, x, name):
     assert one(spark, L.rain_class(F.lit(x).cast("double"))) == name
 
