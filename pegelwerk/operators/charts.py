@@ -18,32 +18,12 @@ source with a third of all rows is many shards, each judged by itself:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pegelwerk.operators.instants import _whole
 
 
-def impossible(fields: list[str], low: float = 0.0, high: float = 160.0) -> Column:
-    """A value outside of (low, high]; null and NaN are no case."""
-    bad = [F.coalesce(~F.isnan(F.col(c)) & ~((F.col(c) > low) & (F.col(c) <= high)), F.lit(False)) for c in fields]
-    return _any(bad)
-
-
-def contradicting(low: str, middle: str, high: str) -> Column:
-    """low <= middle <= high is broken by values that are there."""
-    value = lambda c: F.when(~F.isnan(F.col(c)), F.col(c))
-    pairs = ((low, middle), (middle, high), (low, high))
-    return _any([F.coalesce(value(a) > value(b), F.lit(False)) for a, b in pairs])
-
-
-def _any(cs: list[Column]) -> Column:
-    out = cs[0]
-    for c in cs[1:]:
-        out = out | c
-    return out
-
-
 def chart(x, t, starts, least, wide: float, weight: float, width: float, hold: int, stay_s: int, scale: float):
     """Flags of a forward chart over a list of readings; ``starts`` are positions after a gap, ``least`` is each reading's least limit.
 
@@ -105,7 +85,7 @@ def chart(x, t, starts, least, wide: float, weight: float, width: float, hold: i
     return flags
 
 
-def _judge(fields: list[str], p: dict):
+def _judge(fields: list[str], ordered: tuple[str, ...], p: dict):
     import math
 
     import numpy as np
@@ -134,7 +114,8 @@ def _judge(fields: list[str], p: dict):
         """Both charts, only where a jump could take a reading out of the limits."""
         jump = np.abs(np.diff(x))
         out = np.zeros(len(x), bool)
-        # the distance from an exponentially weighted mean stays below the largest jump / weight
+        # in one segment the distance from an exponentially weighted mean stays below the largest jump / weight;
+        # after a gap one chart may be farther off, but not both, and a flag needs both
         if not len(jump) or jump.max() <= p["limit"] * p["weight"] * 0.999:
             return out
         scale = max(float(np.median(jump)), 0.1)
@@ -173,15 +154,20 @@ def _judge(fields: list[str], p: dict):
         order = np.lexsort((rid, t))
         t, rid = t[order], rid[order]
         own = tbl.column("own").to_numpy(zero_copy_only=False)[order]
-        spike, still = np.zeros(len(t), bool), np.zeros(len(t), bool)
-        for f in fields:
-            x = tbl.column(f).to_numpy(zero_copy_only=False).astype(float)[order]
+        spike, still, wrong, broken = (np.zeros(len(t), bool) for _ in range(4))
+        charted = tbl.column("charted")[0].as_py()
+        values = {f: tbl.column(f).to_numpy(zero_copy_only=False).astype(float)[order] for f in fields}
+        for x in values.values():
+            wrong |= ~np.isnan(x) & ~((x > p["low"]) & (x <= p["high"]))
             ok = np.flatnonzero(np.isfinite(x) & (x > p["low"]) & (x <= p["high"]))
-            if len(ok):
+            if len(ok) and charted:
                 spike[ok] |= spikes(t[ok], x[ok])
                 still[ok] |= stuck(t[ok], x[ok])
-        take = own & (spike | still)
-        return pa.table({"row_id": rid[take], "spike": spike[take], "stuck": still[take]})
+        for k, a in enumerate(ordered):
+            for b in ordered[k + 1 :]:
+                broken |= values[a] > values[b]  # never true of missing values
+        take = own & (spike | still | wrong | broken)
+        return pa.table({"row_id": rid[take], "impossible": wrong[take], "contradicting": broken[take], "spike": spike[take], "stuck": still[take]})
 
     return run
 
@@ -192,11 +178,15 @@ def implausible(
     t_s: str,
     row_id: str,
     fields: list[str],
+    ordered: tuple[str, ...] = (),
     shard_s: int = 14_400,
     halo_s: int = 300,
     **settings: float,
 ) -> DataFrame:
-    """rows -> (row_id, spike, stuck) of rows that the charts or the run counters flag.
+    """rows -> (row_id, impossible, contradicting, spike, stuck) of rows with at least one of the four.
+
+    A value outside of the limits is impossible; values of ``ordered`` fields that fall in that order
+    contradict each other.  Null and NaN are no case.  The rows are read once.
 
     Times are in whole seconds.  ``weight``: of a new reading in the mean; ``width``: control
     limits as a multiple of the scale, at least ``limit`` dB, ``steps`` steps of the
@@ -205,16 +195,20 @@ def implausible(
     seconds than ``hold`` over more than ``stay_s``, without return, are a new level; ``gap_s``: after a longer
     pause the chart looks for its level; ``run_least``, ``run_chance``: a stretch is stuck from so many
     equal readings on, and if chance gives it at most this probability.
-    Rows with a null source, time or id are not judged; ids must be unique.
+    Rows with a null source or time are held against the limits only, rows without id not at all; ids must be unique.
     """
     p = {"weight": 0.5, "limit": 0.5, "width": 6.5, "steps": 4.0, "tail": 5.5, "moving": 2.5, "hold": 12, "stay_s": 120, "gap_s": 5, "low": 0.0, "high": 160.0, "run_least": 12, "run_chance": 1e-8} | settings
     shard = lambda t: _whole(t, shard_s)
     t = F.col(t_s).cast("long")
-    slim = rows.dropna(subset=[source, t_s, row_id]).select(
-        F.col(source).alias("source"), t.alias("t"), F.col(row_id).cast("long").alias("row_id"), *[F.col(f).cast("double").alias(f) for f in fields]
+    charted = F.col(source).isNotNull() & t.isNotNull()
+    rid = F.col(row_id).cast("long")
+    # rows that can't be charted go anywhere
+    slim = rows.dropna(subset=[row_id]).select(
+        F.col(source).alias("source"), F.coalesce(t, rid).alias("t"), rid.alias("row_id"), charted.alias("charted"), *[F.col(f).cast("double").alias(f) for f in fields]
     )
     home = shard(F.col("t"))
     # a row near a border is also read, but not judged, by the neighbour
-    reach = F.array_distinct(F.array(home, shard(F.col("t") - halo_s), shard(F.col("t") + halo_s)))
+    reach = F.when(F.col("charted"), F.array_distinct(F.array(home, shard(F.col("t") - halo_s), shard(F.col("t") + halo_s)))).otherwise(F.array(home))
     spread = slim.withColumn("shard", F.explode(reach)).withColumn("own", F.col("shard") == home)
-    return spread.groupBy("source", "shard").applyInArrow(_judge(fields, p), "row_id long, spike boolean, stuck boolean")
+    kinds = "row_id long, impossible boolean, contradicting boolean, spike boolean, stuck boolean"
+    return spread.groupBy("source", "charted", "shard").applyInArrow(_judge(fields, ordered, p), kinds)

@@ -1,10 +1,12 @@
 """Irregular readings onto a regular grid, with missing steps marked.
 
 The series of one source is cut at the caller's segments (such as local days) and
-then into time shards of fixed length.  Each shard gives a summary (first and last
-filled step); a prefix scan over the few summaries of a segment carries the last
-filled step to the next shard that has readings; then every shard fills its own gaps,
-independently of all others.  No task sees more of a source than one shard.
+then into time shards of fixed length.  Each shard gives a summary (its filled steps,
+the first and the last of them); a prefix scan over the few summaries of a segment
+carries the last filled step to the next shard that has readings; then every shard
+fills its own gaps, and the one before its first reading, independently of all others.
+The readings are read and combined once; a shard's summary has at most ``shard_steps``
+steps, so no task sees more of a source than that.
 """
 
 from __future__ import annotations
@@ -33,25 +35,14 @@ def gaps(filled: DataFrame, keys: list[str], step_s: int, shard_steps: int = 240
     """
     shard = _whole(F.col("step_s"), step_s * shard_steps).alias("_shard")
     rows = filled.select(*keys, "step_s", shard)
-    # summaries, and the prefix scan over them: a segment has few shards
-    summary = rows.groupBy(*keys, "_shard").agg(F.max("step_s").alias("_last"))
+    summary = rows.groupBy(*keys, "_shard").agg(F.array_sort(F.collect_set("step_s")).alias("_steps"))
+    summary = summary.withColumns({"_first": F.col("_steps")[0], "_last": F.element_at("_steps", -1)})
     scan = Window.partitionBy(*keys).orderBy("_shard")
-    carry = summary.select(*keys, "_shard", F.lag("_last").over(scan).alias("_carry"))
-    inner = Window.partitionBy(*keys, "_shard").orderBy("step_s")
-    before = rows.withColumn("_before", F.lag("step_s").over(inner))
-    first = F.col("_before").isNull()
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    inside = before.filter(~first & (F.col("step_s") - F.col("_before") > step_s))
-    heads = before.filter(first).alias("r").join(
-        carry.filter(F.col("_carry").isNotNull()).alias("c"),
-        [F.col("r._shard") == F.col("c._shard"), *same],
-    ).select(*[F.col(f"r.{k}") for k in keys], "step_s", F.col("_carry").alias("_before"))
-    return (
-        inside.select(*keys, "step_s", "_before")
-        .unionByName(heads)
-        .filter(F.col("step_s") - F.col("_before") > step_s)
-        .select(*keys, (F.col("_before") + step_s).alias("first_missing_s"), (F.col("step_s") - step_s).alias("last_missing_s"))
-    )
+    carried = summary.withColumn("_carry", F.lag("_last").over(scan))
+    before = F.concat(F.array(F.coalesce("_carry", "_first")), "_steps")
+    between = F.zip_with(before, "_steps", lambda a, b: F.struct((a + step_s).alias("first_missing_s"), (b - step_s).alias("last_missing_s")))
+    wide = F.filter(between, lambda g: F.coalesce(g["first_missing_s"] <= g["last_missing_s"], F.lit(False)))
+    return carried.select(*keys, F.explode(wide).alias("g")).select(*keys, "g.*")
 
 
 def missing(filled: DataFrame, keys: list[str], step_s: int, shard_steps: int = 240) -> DataFrame:

@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pegelwerk.operators.charts import contradicting, implausible, impossible
+from pegelwerk.operators.charts import implausible
 from pegelwerk.sources.tables import table
 
 FIELDS = ["laeq", "lmin", "lmax"]
 
 
 def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "recovery_extract").filter(F.col("satz_id").isNotNull())
-    limits = rows.select(F.col("satz_id").alias("row_id"), impossible(FIELDS).alias("a"), contradicting("lmin", "laeq", "lmax").alias("b"))
-    charts = implausible(rows, "messstelle", "sekunde", "satz_id", FIELDS)
-    reason = lambda *pairs: F.explode(F.filter(F.array(*[F.when(F.col(c), n) for c, n in pairs]), lambda x: x.isNotNull()))
-    return limits.filter("a OR b").select("row_id", reason(("a", "unmoeglich"), ("b", "widerspruch")).alias("grund")).unionByName(
-        charts.select("row_id", reason(("spike", "ausreisser"), ("stuck", "haengt")).alias("grund"))
-    )
+    rows = table(spark, sf_dir, "recovery_extract")
+    return implausible(rows, "messstelle", "sekunde", "satz_id", FIELDS, ("lmin", "laeq", "lmax"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +22,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged rows by reason."""
-    return _flags(spark, sf_dir).groupBy("grund").agg(F.countDistinct("row_id").alias("saetze"))
+    names = {"impossible": "unmoeglich", "contradicting": "widerspruch", "spike": "ausreisser", "stuck": "haengt"}
+    reasons = F.array_compact(F.array(*[F.when(F.col(c), n) for c, n in names.items()]))
+    return _flags(spark, sf_dir).select("row_id", F.explode(reasons).alias("grund")).groupBy("grund").agg(F.countDistinct("row_id").alias("saetze"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_reasons": p1_reasons}

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from pegelwerk.operators.charts import contradicting, implausible, impossible
+from pegelwerk.operators.charts import implausible
 
 FIELDS = ["laeq", "lmin", "lmax"]
 SCHEMA = "id bigint, s string, t bigint, laeq double, lmin double, lmax double, extra string"
@@ -57,8 +57,10 @@ def test_limits_and_nulls(spark):
     nan = float("nan")
     rows = [(1, 50.0, 49.0, 51.0), (2, 0.0, 0.0, 0.0), (3, None, None, None), (4, nan, 49.0, 51.0), (5, 170.0, 1.0, 200.0), (6, 50.0, 51.0, 52.0), (7, None, 52.0, 51.0), (8, 160.0, 160.0, 160.0), (9, -3.0, None, None)]
     df = spark.createDataFrame(rows, "id bigint, laeq double, lmin double, lmax double")
-    assert {r.id for r in df.filter(impossible(FIELDS)).collect()} == {2, 5, 9}
-    assert {r.id for r in df.filter(contradicting("lmin", "laeq", "lmax")).collect()} == {6, 7}
+    for source, at in (("a", 5), (None, 5), ("a", None)):  # limits hold without a station or a time, too
+        got = implausible(df.select("*", F.lit(source).cast("string").alias("s"), F.lit(at).cast("bigint").alias("t")), "s", "t", "id", FIELDS, ("lmin", "laeq", "lmax"))
+        assert {r.row_id for r in got.filter("impossible").collect()} == {2, 5, 9}
+        assert {r.row_id for r in got.filter("contradicting").collect()} == {6, 7}
 
 
 def test_odd_tables(spark):
