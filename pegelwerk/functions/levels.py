@@ -87,6 +87,11 @@ def beside(x: Column, y: Column, tolerance: float) -> Column:
     return F.coalesce(F.abs(x - y) <= tolerance, F.lit(False))
 
 
+def in_force(day: Column, first: str, last: str) -> Column:
+    """A rule's days, both inclusive."""
+    return day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
 def regime(day: Column, changes: list[tuple[str, str]], before: str) -> Column:
     """Name of the setup in force on a day: ``changes`` are (first day, name), in order; before the first one ``before``."""
     return reduce(lambda c, x: F.when(day >= F.lit(x[0]).cast("date"), x[1]).otherwise(c), changes, F.lit(before))

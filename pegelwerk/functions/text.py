@@ -94,20 +94,70 @@ def signature(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
 
 
+def changed_path(message: Column) -> Column:
+    """The path in a message about a changed file; lost ones are marked in front."""
+    return F.regexp_replace(message, r"^ENTFERNT: ", "")
+
+
+def model_result(text: Column, categories: list[str], aliases: dict[str, str], otherwise: str, samples: int) -> Column:
+    """A model's answer made regular: struct(label, confidence, homogeneous, sample_labels, secondary_sources, summary); null without JSON.
+
+    Old names become present ones, unknown labels ``otherwise``; the confidence is held in [0, 1], missing is 0; at most ``samples`` sample
+    labels, six secondary sources of 80 characters and 600 characters of summary stay.
+    """
+    r = model_answer(text, "label string, confidence string, homogeneous boolean, sample_labels array<string>, secondary_sources array<string>, summary string")
+    pairs = [F.lit(x) for kv in aliases.items() for x in kv]
+    named = lambda c: F.coalesce(F.try_element_at(F.create_map(*pairs), F.trim(c)), F.trim(c)) if pairs else F.trim(c)
+    label = named(r["label"])
+    none = F.array().cast("array<string>")
+    return F.when(
+        r.isNotNull(),
+        F.struct(
+            F.when(label.isin(*categories), label).otherwise(otherwise).alias("label"),
+            F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(r["confidence"].try_cast("double"), F.lit(0.0)))).alias("confidence"),
+            F.coalesce(r["homogeneous"], F.lit(False)).alias("homogeneous"),
+            F.transform(F.slice(F.coalesce(r["sample_labels"], none), 1, samples), named).alias("sample_labels"),
+            F.transform(F.slice(F.coalesce(r["secondary_sources"], none), 1, 6), lambda x: F.substring(x, 1, 80)).alias("secondary_sources"),
+            F.substring(F.coalesce(r["summary"], F.lit("")), 1, 600).alias("summary"),
+        ),
+    )
+
+
+def change_of_place(text: Column) -> Column:
+    """Clock time 'HH:mm' of a change of position in free text; null without a valid one."""
+    m = lambda k: F.regexp_extract(text, r"(?:Standortwechsel|Wechsel)\D{0,10}(\d{1,2}):(\d{2})", k)
+    ok = (m(1).try_cast("int") < 24) & (m(2).try_cast("int") < 60)
+    return F.when(ok, F.concat(F.lpad(m(1), 2, "0"), F.lit(":"), m(2)))
+
+
+def size(octets: Column) -> Column:
+    """Bytes in the largest unit of which there is one, with a decimal comma."""
+    units = ["B", "kB", "MB", "GB", "TB"]
+    out = F.concat(octets.cast("string"), F.lit(" B"))
+    for k, u in enumerate(units[1:], 1):
+        out = F.when(octets >= 1000**k, F.concat(decimal_comma(octets / 1000.0**k), F.lit(" " + u))).otherwise(out)
+    return out
+
+
+#: First bytes of file types; fixed values.
+SIGNATURES = [
+    ("SQLITE", "53514C69746520666F726D6174203300"), ("SQLITE_WAL", "377F0682"), ("SQLITE_WAL", "377F0683"), ("SQLITE_JOURNAL", "D9D505F920A163D7"),
+    ("ZIP", "504B0304"), ("ZIP", "504B0506"), ("GZIP", "1F8B"), ("PDF", "25504446"), ("PNG", "89504E47"), ("JPEG", "FFD8FF"),
+]
+
+
 def magic(content: Column) -> Column:
-    """Type of a file by its first bytes."""
+    """Type of a file by its first bytes; text is told apart by its first sign and the separators of its first line."""
     h = F.hex(F.substring(content, 1, 16))
-    return (
-        F.when(h.startswith("53514C69746520666F726D6174203300"), "SQLITE")
-        .when(h.startswith("504B0304") | h.startswith("504B0506"), "ZIP")
-        .when(h.startswith("52494646") & (F.substring(h, 17, 8) == "57415645"), "WAV")
-        .when(h.startswith("25504446"), "PDF")
-        .when(h.startswith("89504E47"), "PNG")
-        .when(h.startswith("FFD8FF"), "JPEG")
-        .when(h.startswith("1F8B"), "GZIP")
-        .when(F.trim(F.substring(content, 1, 64).cast("string")).rlike(r"^[\{\[]"), "JSON")
-        .otherwise("UNBEKANNT")
-    )
+    text = content.cast("string")
+    line = F.split(text, r"\r\n|[\n\r]", 2)[0]
+    many = lambda sep: F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) >= 2
+    plain = F.when(text.rlike(r"^\ufeff?\s*[\{\[]"), F.when(F.try_parse_json(F.regexp_replace(text, "^\ufeff", "")).isNotNull(), "JSON").otherwise("TEXT")).when(many(";") | many(","), "CSV").otherwise("TEXT")
+    out = F.when(F.call_function("is_valid_utf8", content), plain).otherwise("BINAER_UNBEKANNT")
+    out = F.when(h.startswith("52494646") & (F.substring(h, 17, 8) == "57415645"), "AUDIO_WAV").otherwise(out)
+    for name, first in SIGNATURES:
+        out = F.when(h.startswith(first), name).otherwise(out)
+    return F.when(F.octet_length(content) == 0, "LEER").otherwise(out)
 
 
 def unmangled(text: str | None, rounds: int = 3) -> str | None:

@@ -49,6 +49,30 @@ def merge_seconds(rows: DataFrame, keys: list[str], second: str, leq: str, maxim
     )
 
 
+def merge_full(rows: DataFrame, keys: list[str], second: str, leq: str, maximum: str, source: str, others: list[str], order: str) -> DataFrame:
+    """``merge_seconds`` with provenance: the only source or GEMISCHT, and of each other column the first value that is there, by ``order``."""
+    m = F.col(maximum)
+    return (
+        rows.filter(L.valid(F.col(leq)) & F.col(second).isNotNull())
+        .groupBy(*keys, F.col(second).cast("long").alias("second"))
+        .agg(
+            L.laeq(F.col(leq)).alias("leq"), F.max(F.when(L.valid(m), m)).alias("maximum"), F.count(F.lit(1)).alias("n"), uniform(source, "GEMISCHT").alias("quelle"),
+            *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in others],
+        )
+    )
+
+
+def nearest_on_grid(rows: DataFrame, keys: list[str], second: str, step: int) -> DataFrame:
+    """(keys, minute, quelle): each grid point with the nearest measured second, at most ``step`` away; of equally near ones the earlier.
+
+    A second can only be nearest to the grid points around it, so nothing is joined and partial results are combined.
+    """
+    low = _whole(F.col(second), step) * step
+    c = rows.select(*keys, F.col(second).alias("_q"), F.explode(F.array(low, low + step)).alias("minute"))
+    best = F.min(F.struct(F.abs(F.col("_q") - F.col("minute")).alias("d"), "_q"))
+    return c.groupBy(*keys, "minute").agg(best.alias("b")).select(*keys, "minute", F.col("b._q").alias("quelle"))
+
+
 def with_local(df: DataFrame, zone: str, second: str = "second") -> DataFrame:
     """Adds the local day (date) and second of day."""
     wall = utc_to_wall(F.col(second) * 1000, zone)

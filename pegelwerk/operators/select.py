@@ -62,6 +62,25 @@ def merge_by_priority(rows: DataFrame, keys: list[str], level: str, order: list[
     )
 
 
+def validation(conflict: str, crossed: str, table: str, status: str) -> Column:
+    """How a best row is confirmed: conflict of sources, else the check of its window and agreement of another table, joined by '+'.
+
+    A window's check counts for rows of the table it was made for only.
+    """
+    mine = {"level_samples": ("BESTAETIGT_4A", "KONFLIKT_4A"), "measurements": ("BESTAETIGT_PCE_CSV", "KONFLIKT_PCE_CSV")}
+    window = F.lit(None).cast("string")
+    for name, known in mine.items():
+        window = F.when((F.col(table) == name) & F.col(status).isin(*known), F.col(status)).otherwise(window)
+    both = F.concat_ws("+", window, F.when(F.col(crossed), "QUERPRUEFUNG_2_TABELLEN"))
+    return F.when(F.col(conflict), "KONFLIKT_QUELLEN").when(both != "", both).otherwise("UNGEPRUEFT")
+
+
+def keep_first_class(rows: DataFrame, keys: list[str], column: str, classes: list[str], order: list[Column]) -> DataFrame:
+    """Per key the row of the first class in ``classes`` (others last), ties by ``order``."""
+    place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, classes)), F.col(column)), F.lit(0).cast("long")), F.lit(len(classes) + 1).cast("long"))
+    return first_per_key(rows, keys, [place, *order])
+
+
 def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order, which must break ties."""
     return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_k = 1").drop("_k")

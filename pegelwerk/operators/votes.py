@@ -32,6 +32,13 @@ def weighted_vote(rows: DataFrame, keys: list[str], label: str, weight: str, mis
     return out.select(*keys, F.col("b.l").alias("label"), (-F.col("b.s") / F.col("_t")).alias("anteil"), F.array_join(F.transform("d", share), ", ").alias("anteile"))
 
 
+def fallback(rows: DataFrame, current: DataFrame, previous: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """rows with ``label`` from the current table, else from the previous one; ``uebernommen`` marks the latter."""
+    new, old = current.select(*keys, F.col(label).alias("_n")), previous.select(*keys, F.col(label).alias("_o"))
+    j = rows.join(new, keys, "left").join(old, keys, "left")
+    return j.withColumns({label: F.coalesce("_n", "_o"), "uebernommen": F.col("_n").isNull() & F.col("_o").isNotNull()}).drop("_n", "_o")
+
+
 def episodes(events: DataFrame, keys: list[str], at: str, gap: int) -> DataFrame:
     """events with ``episode``: numbered per keys, a pause over ``gap`` starts a new one.
 

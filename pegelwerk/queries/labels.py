@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pegelwerk.functions import audio as A
 from pegelwerk.functions import levels as L
 from pegelwerk.functions import vectors as X
-from pegelwerk.operators import votes as V
 from pegelwerk.queries.events import _E, _events
 from pegelwerk.queries.levels import SECONDS, r6, seconds
 from pegelwerk.sources.tables import table
@@ -56,15 +55,6 @@ def site_days(spark, sf_dir):
     return e.groupBy("Datum").agg(F.count_if(site).alias("bau"), F.count_if(~site).alias("sonst"), F.count_if(site & night).alias("nachts"), F.max(F.when(site, F.col("dBA"))).alias("spitze"))
 
 
-def bin_colours(spark, sf_dir):
-    """What a ten-minute bin shows: dominant site label, other noise, or no data by its level: W-15."""
-    s = seconds(spark, sf_dir).groupBy("messstelle", F.floor(F.col("second") / 600).alias("bin")).agg(L.laeq(F.col("leq")).alias("l"))
-    e = _events(spark, sf_dir).filter(F.col("Timestamp_ms").isNotNull()).withColumn("bin", F.floor(F.col("Timestamp_ms") / 600_000))
-    j = s.join(V.weighted_vote(e, ["messstelle", "bin"], "label", "dBA", 0.0), ["messstelle", "bin"], "left")
-    kind = F.when(F.col("label").isin(SITE), F.col("label")).when(F.col("label").isNotNull() & (F.round("l", 9) <= 60), "anderes").otherwise("unbestimmt")
-    return j.groupBy(kind.alias("farbe")).agg(F.count(F.lit(1)).alias("bins"))
-
-
 def day_list(spark, sf_dir):
     """Measured days and, where there are none, days with evidence only: U-06."""
     m = seconds(spark, sf_dir).select("messstelle", "tag").distinct()
@@ -80,7 +70,7 @@ def checks(spark, sf_dir):
     return d.agg(F.count_if(F.col("n") > 90_000).alias("zu_viele"), F.count_if(day < -1e-9).alias("ueber_max"), F.count_if(F.col("l") < F.col("a") - 1e-9).alias("unter_min"), F.count(F.lit(1)).alias("tage"))
 
 
-QUERIES = {f.__name__: f for f in (rule_labels, evidence_matrix, cluster_verdicts, site_days, bin_colours, day_list, checks)}
+QUERIES = {f.__name__: f for f in (rule_labels, evidence_matrix, cluster_verdicts, site_days, day_list, checks)}
 _SUMS = {k: " + ".join(f"CASE WHEN {c} THEN {w} ELSE 0 END" for kk, c, w in RULES if kk == k) for k in dict.fromkeys(r[0] for r in RULES)}
 _IN = "'Bagger', 'Bohrgeraet/schweres Geraet', 'Schweres Baugeraet/sonstige Maschine', 'Motor/Diesel', 'Schlagen/Bohren', 'Saege', 'Fahrzeug', 'Signal/Warnton'"
 SQL = {

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pegelwerk.queries import events, intervals, labels, levels, misc, p01, p03, p04, p06, recovery, weather
+from pegelwerk.queries import events, intervals, labels, levels, misc, p01, p03, p04, p06, recovery, reports, weather
 
-MODULES = (levels, intervals, events, recovery, weather, labels, misc, p01, p03, p04, p06)
+MODULES = (levels, intervals, events, recovery, weather, labels, misc, reports, p01, p03, p04, p06)
 FLAGSHIP = "daily_laeq"
 
 
