@@ -2,27 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.functions import vectors as X
 
 
-def random_projection(rows: DataFrame, vector: str, size: int, dims: int = 16, seed: int = 42) -> DataFrame:
-    """``projektion``: log-scaled, standardised, projected and normalised. The matrix is size x dims, from one seed."""
-    import numpy as np
+def random_projection(rows: DataFrame, vector: str, size: int, dims: int = 64, seed: int = 42) -> DataFrame:
+    """``projektion``: log-scaled, standardised, projected and normalised; null vectors stay null.
 
-    matrix = np.random.default_rng(seed).standard_normal((dims, size)) / np.sqrt(dims)
-    v = X.doubles(F.col(vector))
-    scaled = F.transform(v, lambda x: F.signum(x) * F.log1p(F.abs(x)))
+    Means and deviations are one aggregate over all rows (2 x ``size`` numbers reach the driver); the matrix of dims x size comes
+    from the seed, in each task, and is applied to whole Arrow batches.
+    """
+    scaled = F.transform(X.doubles(F.col(vector)), lambda x: F.signum(x) * F.log1p(F.abs(x)))
     s = rows.withColumn("_s", scaled)
-    stats = s.agg(*[F.avg(F.get("_s", k)).alias(f"m{k}") for k in range(size)], *[F.stddev_pop(F.get("_s", k)).alias(f"d{k}") for k in range(size)]).first()
-    mean = F.array(*[F.lit(float(stats[f"m{k}"] or 0)) for k in range(size)])
-    dev = F.array(*[F.lit(float(stats[f"d{k}"] or 1)) for k in range(size)])
-    z = F.zip_with(F.zip_with(F.col("_s"), mean, lambda x, m: x - m), dev, lambda x, d: F.when(d > 1e-12, x / d).otherwise(0.0))
-    s = s.withColumn("_z", z)
-    projected = F.array(*[X.dot(F.col("_z"), F.array(*[F.lit(float(w)) for w in row])) for row in matrix])
-    return s.withColumn("projektion", X.unit(projected)).drop("_s", "_z")
+    each = s.select(F.posexplode("_s").alias("k", "x")).groupBy("k").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("d")).filter(F.col("k") < size)
+    stats = {r.k: (r.m or 0.0, r.d or 0.0) for r in each.collect()}
+    mean, dev = ([stats.get(k, (0.0, 0.0))[i] for k in range(size)] for i in (0, 1))
+
+    @F.pandas_udf("array<double>")
+    def project(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import numpy as np
+
+        matrix = np.random.default_rng(seed).standard_normal((dims, size)) / np.sqrt(dims)
+        m, d = np.array(mean), np.array(dev)
+        scale = np.divide(1.0, d, out=np.zeros(size), where=d > 1e-12)
+        for vs in batches:
+            at = np.flatnonzero(vs.notna().to_numpy())
+            out = pd.Series([None] * len(vs), dtype=object)
+            if len(at):
+                p = ((np.vstack([vs.iloc[i] for i in at]) - m) * scale) @ matrix.T
+                n = np.linalg.norm(p, axis=1, keepdims=True)
+                for i, row in zip(at, np.divide(p, n, out=np.zeros_like(p), where=n > 0)):
+                    out.iat[i] = row
+            yield out
+
+    return s.withColumn("projektion", project("_s")).drop("_s")
 
 
 def cosine_kmeans(rows: DataFrame, vector: str, k: int, seed: int = 42, sample: int = 12_000, iterations: int = 25) -> DataFrame:
@@ -44,12 +62,23 @@ def cosine_kmeans(rows: DataFrame, vector: str, k: int, seed: int = 42, sample:
     return out.withColumns({"cluster": (-F.col("_b.i")).cast("int"), "aehnlichkeit": F.col("_b.s")}).drop("_b")
 
 
-def representatives(rows: DataFrame, cluster: str, similarity: str, row_id: str, shares=(0.0, 0.10, 0.25, 0.40, 0.65, 0.85)) -> DataFrame:
-    """Rows at given places of each cluster's similarity ranking, the nearest first; each row once."""
-    w = Window.partitionBy(cluster)
-    r = rows.withColumns({"_n": F.count(F.lit(1)).over(w), "platz": F.row_number().over(w.orderBy(F.desc(similarity), row_id)) - 1})
+def representatives(rows: DataFrame, cluster: str, similarity: str, row_id: str, shares=(0.0, 0.10, 0.25, 0.40, 0.65, 0.85), steps: int = 1000) -> DataFrame:
+    """Rows at given places of each cluster's similarity ranking, the nearest first; each row once.
+
+    Rows are ranked within slices of similarity (``steps`` to the unit); how many lie in the slices before is a running
+    sum over a cluster's few slices.  So a cluster with a third of all rows is ranked in many tasks.
+    """
+    cut = rows.withColumn("_u", F.floor(-F.col(similarity) * steps))
+    sizes = cut.groupBy(cluster, "_u").agg(F.count(F.lit(1)).alias("_m"))
+    over = Window.partitionBy(cluster)
+    before = F.coalesce(F.sum("_m").over(over.orderBy("_u").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(cluster, "_u", before.alias("_before"), F.sum("_m").over(over).alias("_n"))
+    inside = Window.partitionBy(cluster, "_u").orderBy(F.desc(similarity), row_id)
+    same = [F.col(f"r.{cluster}").eqNullSafe(F.col(f"s.{cluster}")), F.col("r._u").eqNullSafe(F.col("s._u"))]
+    r = cut.withColumn("_k", F.row_number().over(inside)).alias("r").join(sizes.alias("s"), same).select("r.*", "s._before", "s._n")
+    r = r.withColumn("platz", (F.col("_before") + F.col("_k") - 1).cast("int"))
     places = F.array(*[F.bround(F.lit(p) * (F.col("_n") - 1)).cast("int") for p in shares])
-    return r.filter(F.array_contains(places, F.col("platz"))).drop("_n")
+    return r.filter(F.array_contains(places, F.col("platz"))).drop("_n", "_u", "_k", "_before")
 
 
 def consensus(rows: DataFrame, cluster: str, label: str) -> DataFrame:

@@ -90,4 +90,4 @@ def stratified_sample(rows: DataFrame, keys: list[str], row_id: str, k: int, see
     """At most ``k`` rows per keys, by a seeded hash of the id; tasks keep k of a group before the shuffle."""
     from pegelwerk.operators.votes import top_per_group
 
-    return top_per_group(rows, keys, [F.xxhash64(F.col(row_id), F.lit(seed)), F.col(row_id)], k).drop("rang")
+    return top_per_group(rows, keys, [F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.lit(str(seed)))), F.col(row_id)], k).drop("rang")

@@ -98,10 +98,12 @@ def day_metrics(seconds: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def takt_maximum(seconds: DataFrame, keys: list[str], block: int = 5) -> DataFrame:
-    """Energetic mean of the maxima of blocks of consecutive measured values; the rest of a day is dropped.
+    """``lr``, the energetic mean of the maxima of blocks of consecutive measured values (the rest of a day is dropped), and ``ki``, what it lies above the LAeq.
 
     ``keys`` must bound the group (such as station and day): its rows are numbered in one task.
     """
     k = F.row_number().over(Window.partitionBy(*keys).orderBy("second")) - 1
     blocks = seconds.withColumn("_b", F.floor(k / block)).groupBy(*keys, "_b").agg(F.max("leq").alias("m"), F.count(F.lit(1)).alias("c"))
-    return blocks.filter(F.col("c") == block).groupBy(*keys).agg(L.laeq(F.col("m")).alias("lr"), F.count(F.lit(1)).alias("takte"))
+    out = blocks.filter(F.col("c") == block).groupBy(*keys).agg(L.laeq(F.col("m")).alias("lr"), F.count(F.lit(1)).alias("takte"))
+    level = seconds.groupBy(*keys).agg(L.laeq(F.col("leq")).alias("_l"))
+    return out.join(level, keys).withColumn("ki", F.col("lr") - F.col("_l")).drop("_l")

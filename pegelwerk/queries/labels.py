@@ -24,9 +24,10 @@ CLASSES = {"a": {0: 1.0, 1: 0.8, 2: 0.5}, "b": {3: 1.0, 4: 1.0}, "c": {5: 0.85}}
 
 
 def rule_labels(spark, sf_dir):
-    """Labels from feature rules: N-05."""
+    """Labels from those rules that an event's own columns allow, with the gate on speech: N-05."""
     e = table(spark, sf_dir, "relevante_ereignisse")
-    r = A.rule_scores([(k, F.expr(c.replace('"', "`")), w) for k, c, w in RULES])
+    gate = ("Sprache", F.expr("silbentakt > 0.45 OR (grundton > 0.30 AND grundton < 0.97)"), 0.35)
+    r = A.rule_scores([(k, F.expr(c.replace('"', "`")), w) for k, c, w in RULES], [gate])
     return e.select(r.alias("r")).groupBy("r.label").agg(F.count(F.lit(1)).alias("zeilen"), F.round(F.sum("r.punkte"), 4).alias("punkte"), F.round(F.sum("r.konfidenz"), 4).alias("konfidenz"))
 
 
@@ -72,6 +73,7 @@ def checks(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (rule_labels, evidence_matrix, cluster_verdicts, site_days, day_list, checks)}
 _SUMS = {k: " + ".join(f"CASE WHEN {c} THEN {w} ELSE 0 END" for kk, c, w in RULES if kk == k) for k in dict.fromkeys(r[0] for r in RULES)}
+_SUMS["Sprache"] = f"({_SUMS['Sprache']}) * CASE WHEN silbentakt > 0.45 OR (grundton > 0.30 AND grundton < 0.97) THEN 1 ELSE 0.35 END"
 _IN = "'Bagger', 'Bohrgeraet/schweres Geraet', 'Schweres Baugeraet/sonstige Maschine', 'Motor/Diesel', 'Schlagen/Bohren', 'Saege', 'Fahrzeug', 'Signal/Warnton'"
 SQL = {
     "rule_labels": "WITH p AS (SELECT "

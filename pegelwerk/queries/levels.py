@@ -53,7 +53,7 @@ def segment_laeq(spark, sf_dir):
 
 
 def takt_max_lr(spark, sf_dir):
-    return S.takt_maximum(seconds(spark, sf_dir), KEYS).select(*KEYS, r6("lr"), "takte")
+    return S.takt_maximum(seconds(spark, sf_dir), KEYS).select(*KEYS, r6("lr"), "takte", r6("ki"))
 
 
 def assumed_levels(spark, sf_dir):
@@ -194,7 +194,9 @@ SQL = {
         SELECT messstelle, tag, abschnitt, sekunden, round(laeq, 6) AS laeq, lmax, laeq > 40 AS ueber40, laeq > 45 AS ueber45, coalesce(lmax > 60, false) AS max60 FROM x""",
     "takt_max_lr": f"""WITH {SECONDS}, k AS (SELECT messstelle, tag, leq, (row_number() OVER (PARTITION BY messstelle, tag ORDER BY second) - 1) // 5 AS b FROM s),
         m AS (SELECT messstelle, tag, b, max(leq) AS m FROM k GROUP BY ALL HAVING count(*) = 5)
-        SELECT messstelle, tag, round(10 * log10(avg(pow(10, m / 10))), 6) AS lr, count(*) AS takte FROM m GROUP BY messstelle, tag""",
+        , t AS (SELECT messstelle, tag, 10 * log10(avg(pow(10, m / 10))) AS lr, count(*) AS takte FROM m GROUP BY messstelle, tag),
+        d AS (SELECT messstelle, tag, 10 * log10(avg(pow(10, leq / 10))) AS l FROM s GROUP BY ALL)
+        SELECT messstelle, tag, round(lr, 6) AS lr, takte, round(lr - l, 6) AS ki FROM t JOIN d USING (messstelle, tag)""",
     "assumed_levels": f"""WITH {SECONDS}, d AS (SELECT messstelle, tag, count(*) AS n, 10 * log10(avg(pow(10, leq / 10))) AS l, max(sod) AS ende FROM s WHERE sod >= 25200 AND sod < 72000 GROUP BY ALL)
         SELECT messstelle, tag, n AS sekunden, round(l, 6) AS laeq, ende, round(l + 10 * log10(n / 46800), 6) AS untergrenze,
         round(10 * log10((n * pow(10, l / 10) + (46800 - n) * pow(10, 5)) / 46800), 6) AS aufgefuellt,

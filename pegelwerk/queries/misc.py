@@ -192,9 +192,10 @@ def asof_offsets(spark, sf_dir):
 
 
 def page_chunks(spark, sf_dir):
-    """Rows in pages of 28: T-08."""
-    n = table(spark, sf_dir, "nation").select("n_name", F.call_function("div", F.row_number().over(Window.orderBy("n_name")) - 1, F.lit(10)).cast("long").alias("seite"))
-    return n
+    """A station's days in pages of 28 rows: T-08."""
+    d = seconds(spark, sf_dir).select("messstelle", "tag").distinct()
+    row = F.row_number().over(Window.partitionBy("messstelle").orderBy("tag")) - 1
+    return d.select("messstelle", "tag", F.call_function("div", row, F.lit(28)).cast("long").alias("seite"))
 
 
 def weekday_compare(spark, sf_dir):
@@ -264,7 +265,7 @@ SQL = {
         SELECT 'vereinigt' AS art, count(*) AS tage FROM (FROM a UNION FROM b) UNION ALL SELECT 'gemeinsam', count(*) FROM (FROM a INTERSECT FROM b) UNION ALL SELECT 'nur_a', count(*) FROM (FROM a EXCEPT FROM b) UNION ALL SELECT 'nur_b', count(*) FROM (FROM b EXCEPT FROM a)""",
     "asof_offsets": f"""WITH {SECONDS}, e AS (SELECT WAV, min(messstelle) AS messstelle, min(Timestamp_ms // 1000) AS t FROM relevante_ereignisse WHERE Timestamp_ms IS NOT NULL GROUP BY WAV), o(rang, d) AS (VALUES (0, 0), (1, 1), (2, -1), (3, 2), (4, -2))
         SELECT WAV, CAST(rang AS INT) AS rang, round(leq, 6) AS leq FROM e, o, s WHERE s.messstelle = e.messstelle AND s.second = e.t + o.d QUALIFY row_number() OVER (PARTITION BY WAV ORDER BY rang) = 1""",
-    "page_chunks": "SELECT n_name, (row_number() OVER (ORDER BY n_name) - 1) // 10 AS seite FROM nation",
+    "page_chunks": f"WITH {SECONDS}, d AS (SELECT DISTINCT messstelle, tag FROM s) SELECT messstelle, tag, (row_number() OVER (PARTITION BY messstelle ORDER BY tag) - 1) // 28 AS seite FROM d",
     "weekday_compare": f"WITH {SECONDS}, {_DL} SELECT dayofweek(tag) IN (0, 6) AS wochenende, count(*) AS tage, round(avg(l), 6) AS mittel, round(min(l), 6) AS kleinstes, round(max(l), 6) AS groesstes FROM d GROUP BY 1",
     "timeofday_profile": f"WITH {SECONDS}, m AS (SELECT messstelle, tag, sod // 60 AS minute, 10 * log10(avg(pow(10, leq / 10))) AS l FROM s GROUP BY ALL) SELECT minute, round(avg(l), 6) AS mittel, count(*) AS kurven FROM m GROUP BY 1",
     "minmax_days": f"WITH {SECONDS}, {_DL} SELECT messstelle, arg_min(tag, row(round(l, 6), tag)) AS leisester, arg_min(tag, row(-round(l, 6), tag)) AS lautester FROM d GROUP BY 1",

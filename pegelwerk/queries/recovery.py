@@ -69,7 +69,7 @@ def daily_balance(spark, sf_dir):
     j = t.join(got, ["messstelle", "second"], "left")
     already, hit = F.col("status") == "PCE", F.coalesce("da", F.lit(False))
     d = j.groupBy("messstelle", "tag").agg(F.count_if(already).alias("bereits"), F.count_if(~already).alias("ziel"), F.count_if(~already & hit).alias("gerettet"))
-    return d.select("*", (F.col("ziel") - F.col("gerettet")).alias("rest"), F.round((F.col("bereits") + F.col("gerettet")) / L.DAY_SECONDS, 4).alias("abdeckung"))
+    return d.select("*", (F.col("ziel") - F.col("gerettet")).alias("rest"), F.bround((F.col("bereits") + F.col("gerettet")) / L.DAY_SECONDS, 4).alias("abdeckung"))
 
 
 def stratified_sample(spark, sf_dir):
@@ -109,5 +109,7 @@ SQL = {
     "daily_balance": f"""WITH {_TG}, g AS (SELECT DISTINCT messstelle, sekunde AS second FROM recovery_extract WHERE laeq > 0 AND laeq <= 160),
         j AS (SELECT z.*, g.second IS NOT NULL AS da, CAST(timezone('Europe/Berlin', to_timestamp(z.second)) AS DATE) AS tag, CAST(epoch(timezone('Europe/Berlin', to_timestamp(z.second))) AS BIGINT) % 86400 AS sod FROM z LEFT JOIN g USING (messstelle, second)),
         d AS (SELECT messstelle, tag, count(*) FILTER (status = 'PCE') AS bereits, count(*) FILTER (status <> 'PCE') AS ziel, count(*) FILTER (status <> 'PCE' AND da) AS gerettet FROM j WHERE sod >= 25200 AND sod < 72000 GROUP BY ALL)
-        SELECT *, ziel - gerettet AS rest, round((bereits + gerettet) / 46800, 4) AS abdeckung FROM d""",
+        SELECT *, ziel - gerettet AS rest, round_even((bereits + gerettet) / 46800, 4) AS abdeckung FROM d""",
+    "stratified_sample": """SELECT messstelle, CAST(timezone('Europe/Berlin', to_timestamp(sekunde)) AS DATE) AS tag, satz_id FROM recovery_extract
+        QUALIFY row_number() OVER (PARTITION BY messstelle, tag ORDER BY md5(satz_id || ':42'), satz_id) <= 20""",
 }

@@ -74,3 +74,36 @@ def test_verdict_gate(spark):
     assert one([[0.7, 0.3], [0.8, 0.2]]) == "automatisch"
     assert one([[0.55, 0.45], [0.6, 0.4]]) == "pruefen"
     assert one([[0.9, 0.1], [0.9, 0.1], [0.2, 0.8]]) == "pruefen"
+
+
+def test_rules_on_features(spark):
+    base = dict.fromkeys(A.NAMES, 0.0) | {"crest": 6.5, "huell_streuung": 1.0, "rolloff85": 2000.0, "centroid": 2100.0, "silbentakt": 0.42}
+    clips = {
+        "sprache": {"silbentakt": 0.6, "grundton": 0.5, "grundton_hz": 120.0, "centroid": 900.0},  # 2.5; 0.6 for a car
+        "gehemmt": {"e_sprache": 0.7, "centroid": 900.0, "grundton": 0.5, "grundton_hz": 80.0},  # 0.9, but no sign of a voice: 0.315
+        "motor": {"e_tief": 0.5, "centroid": 300.0, "crest": 4.0, "huell_streuung": 0.3, "rolloff85": 500.0, "takt_hz": 2.0, "takt_staerke": 7.0},  # 3.9
+        "bohren": {"crest": 9.0, "huell_kurtosis": 8.0, "e_hoch": 0.5, "e_sehr_hoch": 0.1, "centroid": 3000.0, "tonal": 60.0, "dom_hz": 3000.0, "takt_hz": 8.0, "takt_staerke": 8.0},  # 4.3
+        "fahrzeug": {"flachheit": 0.4, "huell_dreieck": 0.6, "huell_spitze": 0.5, "centroid": 1500.0, "e_hoch": 0.3, "silbentakt": 0.1},  # 2.7
+    }
+    rows = [(k, *(base | v).values()) for k, v in clips.items()] + [("leer", *[None] * len(A.NAMES))]
+    df = spark.createDataFrame(rows, "wav string, " + ", ".join(f"{n} double" for n in base))
+    got = {r.wav: (r.label, round(r.punkte, 3)) for r in A.clip_labels(df).collect()}
+    assert got["sprache"] == ("Sprache", 2.5) and got["motor"] == ("Motor/Bagger", 3.9) and got["fahrzeug"] == ("Fahrzeug", 2.7)
+    assert got["bohren"][0] == "Bohren/Impuls" and got["bohren"][1] == pytest.approx(4.3)
+    assert got["gehemmt"][0] == "Sonstiges" and got["leer"] == ("Sonstiges", 0.0)
+
+
+def test_projection_against_numpy(spark):
+    from pegelwerk.operators.cluster import random_projection
+
+    r = np.random.default_rng(1)
+    v = r.standard_normal((40, 6))
+    v[:, 3] = 2.0  # no spread: no part in the projection
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(99, None)], "i int, v array<double>")
+    got = {x.i: x.projektion for x in random_projection(df, "v", 6, 5, 7).collect()}
+    s = np.sign(v) * np.log1p(np.abs(v))
+    d = s.std(axis=0)
+    z = np.where(d > 1e-12, (s - s.mean(axis=0)) / np.where(d > 1e-12, d, 1), 0)
+    p = z @ (np.random.default_rng(7).standard_normal((5, 6)) / np.sqrt(5)).T
+    p /= np.linalg.norm(p, axis=1, keepdims=True)
+    assert got[99] is None and all(np.allclose(got[i], p[i]) for i in range(40))
