@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 #: Repairs of place names; fixed values.
 PLACE_REPAIRS = [
-    (r"\bKInderzimmer\b", "Kinderzimmer"), (r"\bgeschlosse\b", "geschlossen"), (r"\bgeschloss\b", "geschlossen"), (r"Südostbalkon", "SO-Balkon"),
-    (r"Südost[- ]Balkon", "SO-Balkon"), (r"Nordwest[- ]Balkon", "NW-Balkon"), (r"\bNW Balkon\b", "NW-Balkon"), (r"\bSO Balkon\b", "SO-Balkon"),
+    (r"\bKInderzimmer\b", "Kinderzimmer"), (r"\bgeschlosse\b", "geschlossen"), (r"\bgeschloss\b", "geschlossen"), (r"\bSüdostbalkon\b", "SO-Balkon"),
+    (r"\bSüdost[- ]Balkon\b", "SO-Balkon"), (r"\bNordwest[- ]Balkon\b", "NW-Balkon"), (r"\bNW Balkon\b", "NW-Balkon"), (r"\bSO Balkon\b", "SO-Balkon"),
 ]
 VIDEO = r"(?i)^PXL_(\d{4})(\d{2})(\d{2})_(\d{2})_?(\d{2})(?:\d{5})?(.*?)(?:\.mp4)?$"
 LOUDNESS = r"(?i)(\d{1,3})(?:\s*[-_]\s*\.?\s*(\d{1,3}))?\s*dBA(?![A-Za-z0-9])"
@@ -23,7 +23,7 @@ def wav_instant(name: Column) -> Column:
 
 def repaired_place(place: Column) -> Column:
     for pattern, text in PLACE_REPAIRS:
-        place = F.regexp_replace(place, pattern, text)
+        place = F.regexp_replace(place, f"(?U){pattern}", text)
     return place
 
 

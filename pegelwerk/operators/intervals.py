@@ -158,6 +158,14 @@ def duration_phases(
     return out.select(*keys, "begin", "end", "minuten", "gemessen", "ueber", (F.col("end") - F.col("begin") - F.col("gemessen")).alias("luecken"))
 
 
+def valid_phases(intervals: DataFrame, keys: list[str], expected: int = 3) -> DataFrame:
+    """keys, befund: ok, or the first fault: 'anzahl' if there are not exactly ``expected``, else that of ``ordered_fault`` (the last may be open)."""
+    f = ordered_fault(intervals, keys)
+    first = F.min_by("befund", F.when(F.col("befund") != "ok", F.struct("begin")))
+    g = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), first.alias("_f"))
+    return g.select(*keys, F.when(F.col("_n") != expected, "anzahl").otherwise(F.coalesce("_f", F.lit("ok"))).alias("befund"))
+
+
 def ordered_fault(intervals: DataFrame, keys: list[str]) -> DataFrame:
     """Sequential check: 'ende' if an interval ends before it begins, 'folge' if it begins before the one before ended, else 'ok'.
 

@@ -28,7 +28,8 @@ def rule_labels(spark, sf_dir):
     e = table(spark, sf_dir, "relevante_ereignisse")
     gate = ("Sprache", F.expr("silbentakt > 0.45 OR (grundton > 0.30 AND grundton < 0.97)"), 0.35)
     r = A.rule_scores([(k, F.expr(c.replace('"', "`")), w) for k, c, w in RULES], [gate])
-    return e.select(r.alias("r")).groupBy("r.label").agg(F.count(F.lit(1)).alias("zeilen"), F.round(F.sum("r.punkte"), 4).alias("punkte"), F.round(F.sum("r.konfidenz"), 4).alias("konfidenz"))
+    exact = lambda c: F.sum(F.round(c, 6).cast("decimal(18,6)")).cast("double")
+    return e.select(r.alias("r")).groupBy("r.label").agg(F.count(F.lit(1)).alias("zeilen"), exact("r.punkte").alias("punkte"), exact("r.konfidenz").alias("konfidenz"))
 
 
 def evidence_matrix(spark, sf_dir):
@@ -81,7 +82,7 @@ SQL = {
     + " FROM relevante_ereignisse), q AS (SELECT *, list_reverse_sort([s0, s1, s2, s3]) AS o, "
     + "list_min(["
     + ", ".join(f"row(-s{i}, '{k}')" for i, k in enumerate(_SUMS))
-    + "])[2] AS k FROM p), r AS (SELECT *, greatest(0, least(1, 0.2 * o[1] + 0.35 * (o[1] - o[2]))) AS c FROM q) SELECT CASE WHEN o[1] >= 1 THEN k ELSE 'Sonstiges' END AS label, count(*) AS zeilen, round(sum(o[1])::DOUBLE, 4) AS punkte, round(sum(CASE WHEN o[1] >= 1 THEN c ELSE least(c, 0.25) END)::DOUBLE, 4) AS konfidenz FROM r GROUP BY 1",
+    + "])[2] AS k FROM p), r AS (SELECT *, greatest(0, least(1, 0.2 * o[1] + 0.35 * (o[1] - o[2]))) AS c FROM q) SELECT CASE WHEN o[1] >= 1 THEN k ELSE 'Sonstiges' END AS label, count(*) AS zeilen, CAST(sum(CAST(round(o[1], 6) AS DECIMAL(18, 6))) AS DOUBLE) AS punkte, CAST(sum(CAST(round(CASE WHEN o[1] >= 1 THEN c ELSE least(c, 0.25) END, 6) AS DECIMAL(18, 6))) AS DOUBLE) AS konfidenz FROM r GROUP BY 1",
     "evidence_matrix": """WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: abs(x::DOUBLE)) AS p FROM embeddings),
         t AS (SELECT *, list_reverse_sort([p[1], p[2] * 0.8, p[3] * 0.5]) AS a3, list_reverse_sort([p[4], p[5]]) AS b2, greatest(p[7], p[8]) AS f, greatest(p[9], p[10]) AS g FROM p),
         e AS (SELECT vec_id, p, a3[1] + 0.25 * a3[2] + 0.1 * a3[3] AS a, b2[1] + 0.25 * b2[2] AS b, p[6] * 0.85 AS c, CASE WHEN f >= 0.06 AND g >= 0.06 THEN sqrt(f * g) * 1.3 ELSE 0 END AS d FROM t)

@@ -62,3 +62,37 @@ def report(title: str, counters: DataFrame) -> str:
     rows = counters.collect()
     lines = [f"# {title}", "", "| " + " | ".join(counters.columns) + " |", "|" + "---|" * len(counters.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]) + "\n"
+
+
+def write_variants(tables: dict[str, DataFrame], settings: dict, path: str) -> None:
+    """Result tables of a comparison as ';' CSV with a byte order mark, one folder each, and the settings that made them as JSON."""
+    import json
+
+    for name, df in tables.items():
+        write_csv(df, f"{path}/{name}", df.columns, mark=True)
+    spark = next(iter(tables.values())).sparkSession
+    text = json.dumps(settings, ensure_ascii=False, sort_keys=True)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/einstellungen")
+
+
+def carried(pending: DataFrame, new: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Work for the next run: what was pending or is new, once each, less what is done."""
+    return pending.select(key).unionByName(new.select(key)).distinct().join(done.select(key).distinct(), key, "left_anti")
+
+
+def quarantined(known: DataFrame, present: DataFrame, key: str, day: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose file is gone, days that must be made again because of them)."""
+    gone = known.join(present.select(key).distinct(), key, "left_anti")
+    return gone, gone.select(day).filter(F.col(day).isNotNull()).distinct()
+
+
+def cluster_package(assigned: DataFrame, verdicts: DataFrame, cluster: str, item: str, automatic: str = "automatisch") -> dict[str, DataFrame]:
+    """Result tables of a clustering: ``zuordnung`` (item, cluster, label, status), ``uebersicht`` per cluster, ``pruefliste`` of what needs a look, ``lauf`` with counters."""
+    full = assigned.join(verdicts, cluster, "left").withColumn("status", F.when(F.col("urteil") == automatic, automatic).otherwise("pruefen"))
+    overview = full.groupBy(cluster).agg(F.count(F.lit(1)).alias("mitglieder"), F.first("kandidat").alias("kandidat"), F.first("konfidenz").alias("konfidenz"), F.first("status").alias("status"))
+    return {
+        "zuordnung": full.select(item, cluster, F.when(F.col("status") == automatic, F.col("kandidat")).alias("label"), "kandidat", "status"),
+        "uebersicht": overview,
+        "pruefliste": overview.filter(F.col("status") != automatic).orderBy(F.desc("mitglieder"), cluster),
+        "lauf": full.agg(F.countDistinct(cluster).alias("cluster"), F.count(F.lit(1)).alias("elemente"), F.count_if(F.col("status") == automatic).alias("automatisch")),
+    }
