@@ -89,7 +89,7 @@ def nearest(
     left: DataFrame,
     rights: dict[str, DataFrame],
     tolerance_ms: int,
-    partitions: int,
+    partitions: int | None = None,
     shard_ms: int = 600_000,
 ) -> DataFrame:
     """left (entity, t, key string) and rights (entity, t, id bigint) -> (key, side, partner_id, distance).
@@ -97,7 +97,7 @@ def nearest(
     For each left row and each right table the row of the same entity with the least
     distance in time, at most ``tolerance_ms`` (inclusive); of equally near rows the
     smaller id.  Left rows without partner give no row.  Null entities, times and ids
-    match nothing.  Left keys that occur several times give the nearest of all their rows.
+    match nothing.  Without ``partitions`` Spark chooses their number, and adapts it.  Left keys that occur several times give the nearest of all their rows.
     """
     sides = list(rights)
     shard_of = lambda t: _whole(t, shard_ms)
@@ -111,7 +111,7 @@ def nearest(
         right = rights[name].select("entity", F.col("t").cast("long").alias("t"), F.lit(k).alias("side"), F.col("id").cast("long").alias("id"), F.lit(None).cast("string").alias("key"))
         rows = rows.unionByName(right.dropna(subset=["entity", "t", "id"]).withColumn("shard", shard_of(F.col("t"))))
     merged = (
-        rows.repartition(partitions, "entity", "shard")
+        rows.repartition(*([partitions] if partitions else []), "entity", "shard")
         .sortWithinPartitions("entity", "t", "id")
         .drop("shard")
         .mapInArrow(_merge(tolerance_ms, sides), "key string, side string, partner_id long, distance long")

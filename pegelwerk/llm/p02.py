@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pegelwerk.llm.nearest import nearest
 from pegelwerk.queries.p06 import MEASURED, measurement_instants
-from pegelwerk.sources.tables import shuffle_partitions, table
+from pegelwerk.sources.tables import table
 
 
 def _matched(spark: SparkSession, sf_dir: str, tolerance_ms: int = 5000) -> DataFrame:
@@ -19,7 +19,7 @@ def _matched(spark: SparkSession, sf_dir: str, tolerance_ms: int = 5000) -> Data
     )
     levels = table(spark, sf_dir, "level_samples").select(F.col("messstelle").alias("entity"), F.col("at").alias("t"), "id")
     measured = measurement_instants(spark, sf_dir).select(F.col("messstelle").alias("entity"), F.col("utc_ms").alias("t"), "id")
-    return nearest(events, {"level_samples": levels, "measurements": measured}, tolerance_ms, shuffle_partitions(spark))
+    return nearest(events, {"level_samples": levels, "measurements": measured}, tolerance_ms)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
