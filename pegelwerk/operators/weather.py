@@ -9,30 +9,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.functions import levels as L
+from pegelwerk.operators.instants import _whole
 
 
-def runs(bins: DataFrame, keys: list[str], end: str, active: Column, width: int, bridge: int = 0, known: Column | None = None) -> DataFrame:
-    """bins with ``lauf`` for active bins and the known inactive ones they bridge.
+def runs(bins: DataFrame, keys: list[str], end: str, active: Column, width: int, bridge: int = 0, known: Column | None = None, shard_bins: int = 4096) -> DataFrame:
+    """bins with ``lauf`` for active bins and the known inactive ones they bridge: the end of the run's first bin.
 
     At most ``bridge`` inactive bins may lie between active ones, all present, regular and known;
     a missing bin always splits.  Bins outside of runs have a null ``lauf``.
+
+    Whether a bin continues a run shows within ``bridge`` + 1 bins of it.  So a source is cut into
+    shards of time that also see that much of their neighbours; the beginning of a run that came from
+    earlier shards is carried over by a prefix scan over the shards.  No window holds a source's whole time.
     """
-    w = Window.partitionBy(*keys).orderBy(end)
     known = F.lit(True) if known is None else F.coalesce(known, F.lit(False))
-    b = bins.withColumns({"_a": F.coalesce(active, F.lit(False)), "_k": known, "_p": F.row_number().over(w)})
-    # running count of unknown bins: equal counts at two bins mean that all between are known
-    b = b.withColumn("_u", F.sum((~F.col("_k")).cast("int")).over(w))
-    before = Window.partitionBy(*keys).orderBy(end).rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("_a"), F.struct(end, "_p", "_u")), ignorenulls=True).over(before)
-    b = b.withColumn("_l", last)
+    span, halo = shard_bins * width, (bridge + 1) * width
+    home = _whole(F.col(end).cast("long"), span)
+    near = F.sequence(_whole(F.col(end) - halo, span), _whole(F.col(end) + halo, span))
+    b = bins.withColumns({"_a": F.coalesce(active, F.lit(False)), "_k": known, "_home": home}).withColumn("_s", F.explode(near))
+    w = Window.partitionBy(*keys, "_s").orderBy(end)
+    upto, before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    # running counts of bins and of unknown ones: equal counts of the latter mean that all between are known
+    b = b.withColumns({"_p": F.row_number().over(w), "_u": F.sum((~F.col("_k")).cast("int")).over(upto)})
+    b = b.withColumn("_l", F.last(F.when(F.col("_a"), F.struct(end, "_p", "_u")), ignorenulls=True).over(before))
     steps = F.col("_p") - F.col("_l._p")
     unknown = F.col("_u") - F.when(F.col("_k"), 0).otherwise(1) - F.col("_l._u")
     joined = (steps - 1 <= bridge) & (F.col(end) - F.col(f"_l.{end}") == steps * width) & ((steps == 1) | (unknown == 0))
-    b = b.withColumn("_n", (F.col("_a") & ~F.coalesce(joined, F.lit(False))).cast("int")).withColumn("_r", F.sum("_n").over(w))
-    # a bridged bin belongs to the run if the next active one does
-    after = Window.partitionBy(*keys, "_r").orderBy(F.desc(end)).rowsBetween(Window.unboundedPreceding, 0)
-    inside = F.max(F.col("_a").cast("int")).over(after) == 1
-    return b.withColumn("lauf", F.when(inside & (F.col("_r") > 0), F.col("_r"))).drop("_a", "_k", "_p", "_u", "_l", "_n", "_r")
+    b = b.withColumn("_new", F.when(F.col("_a"), ~F.coalesce(joined, F.lit(False))))
+    # a bridged bin belongs to the run if the next active one continues it
+    b = b.withColumn("_in", F.col("_a") | ~F.coalesce(F.first("_new", ignorenulls=True).over(after), F.lit(True)))
+    own = b.filter(F.col("_s") == F.col("_home"))
+    begun = F.when(F.col("_new"), F.col(end))
+    own = own.withColumn("_b", F.last(begun, ignorenulls=True).over(upto))
+    last = own.groupBy(*keys, "_s").agg(F.max(begun).alias("_m"))
+    scan = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*keys, "_s", F.max("_m").over(scan).alias("_c"))
+    same = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in (*keys, "_s")]
+    out = own.alias("x").join(carry.alias("y"), same).select("x.*", "y._c")
+    return out.withColumn("lauf", F.when(F.col("_in"), F.coalesce("_b", "_c"))).select(*bins.columns, "lauf")
 
 
 def complete_sum(value: Column, expected: Column | int) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import uuid
 
 from pyspark.sql import DataFrame
@@ -26,15 +24,23 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def replace(df: DataFrame, path: str, keep_old: bool = False) -> None:
-    """Writes beside the target and then renames, so that readers see the old or the new state; for folders on one file system."""
+    """Writes beside the target and then renames, so that readers see the old or the new state; on whatever file system the path is."""
     staged, old = f"{path}.neu-{uuid.uuid4().hex}", f"{path}.alt"
     df.write.parquet(staged)
-    if os.path.exists(path):
-        shutil.rmtree(old, ignore_errors=True)
-        os.rename(path, old)
-    os.rename(staged, path)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(conf)
+
+    def move(a: str, b: str) -> None:
+        if not files.rename(place(a), place(b)):
+            raise OSError(f"{a} could not be renamed")
+
+    if files.exists(place(path)):
+        files.delete(place(old), True)
+        move(path, old)
+    move(staged, path)
     if not keep_old:
-        shutil.rmtree(old, ignore_errors=True)
+        files.delete(place(old), True)
 
 
 def upsert(current: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,8 +13,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def finite(c):
     """NaN becomes NULL: NULL is the only missing value inside the engine."""
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    """The number of shuffle partitions the session asks for, never less than its cores."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -155,3 +155,27 @@ def test_takt_and_days(spark):
     assert (r.lr, r.takte) == (pytest.approx(54.0), 2)
     d = seconds.with_local(spark.createDataFrame([(1729987200,), (1730077199,)], "second bigint"), "Europe/Berlin").collect()
     assert {x.tag for x in d} >= {date(2024, 10, 27)}
+
+
+def test_rain_runs_over_shards(spark):
+    """Runs that cross the shards' borders, of any length, against a plain loop."""
+    import random
+
+    r = random.Random(2)
+    rain = [(k, r.choice([0.0, 0.0, None, 0.1, 0.2, 0.3])) for k in range(200) if r.random() > 0.03]
+    want, cur, dry = [], [], []
+    for k, x in rain:
+        whole = cur and k - cur[-1] == len(dry) + 1 and all(v is not None for _, v in dry) and len(dry) <= 1
+        if x:
+            if whole:
+                cur.append(k)
+            else:
+                want, cur = [*want, (cur[0], cur[-1])] if cur else want, [k]
+            dry = []
+        else:
+            dry.append((k, x))
+    want.append((cur[0], cur[-1]))
+    df = bins(spark, rain)
+    for shard in (1, 2, 3, 7, 4096):
+        g = W.runs(df, ["st"], "ende", F.col("regen") > 0, 600, 1, F.col("regen").isNotNull(), shard).filter("lauf IS NOT NULL").groupBy("lauf").agg(F.min("ende").alias("a"), F.max("ende").alias("b"))
+        assert sorted((x.a // 600 - 1, x.b // 600 - 1) for x in g.collect()) == want, shard
