@@ -26,7 +26,7 @@ _LOCAL = r"(?<![\p{L}\p{N}._%+@-])[\p{L}\p{N}](?:[\p{L}\p{N}\p{M}_%+-]|\.(?=[\p{
 _HOST = r"[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?"
 EMAIL = regex.compile(rf"{_LOCAL}(?:{_AT}{_HOST}(?:{_DOT}{_HOST})+|{S}(?:AT|at){S}{_HOST}(?:{S}(?:DOT|dot){S}{_HOST})+)")
 #: A text without any of these holds no address of this kind.
-EMAIL_HINT = regex.compile(r"@|[(\[] ?(?:at|AT)|[ \t](?:DOT|dot)[ \t]")
+EMAIL_HINTS = ("@", *(a + s + t for a in "([" for s in ("", *" \t\u00a0\u202f") for t in ("at", "AT")), *(a + t + b for t in ("DOT", "dot") for a in " \t\u00a0\u202f" for b in " \t\u00a0\u202f"))
 
 _SEP = rf"(?:{G}|[./-])?"
 PHONE = regex.compile(
@@ -103,13 +103,46 @@ LONG = regex.compile(
     rf"(?<![\p{{L}}\p{{N}}@._'’-])(?:(?P<first>{_LAST}|(?!M\.){_INI})(?:{SP}{_INI}|{SP}(?P<part>{_PARTICLE})?(?P<word>{_LAST})(?![\p{{L}}\p{{N}}@]|-\p{{L}})){{1,4}}"
     rf"|(?P<last>(?:{_PARTICLE})?{_LAST}),{SP}(?P<given>{_LAST})(?:{SP}(?P<more>{_LAST}|{_INI}))*(?![\p{{L}}\p{{N}}@]|-\p{{L}}))"
 )
-#: Where a pair of capitalised words may begin: every start of NAME and LONG is one.
-_RUN = r"\S*+(?:(?<=[ÃÂ])[\u0085\u00a0]\S*+)*+"
-_SMALL = r"(?:(?:von|van|vom|zur?|d[eiu]|da|della?|dos|ten|ter|l[ea])\s+(?:(?:der|den|dem|l[ae]s?|los|zu)\s+)?|d['’])?"
-PAIR = regex.compile(rf"(?<![\p{{L}}\p{{N}}@._'’-])(?={_SMALL}\p{{Lu}}{_RUN}\s+{_SMALL}\p{{Lu}})")
+_FIRST = ("von", "van", "vom", "zu", "zur", "de", "di", "da", "del", "della", "dos", "ten", "ter", "du", "le", "la")
+_SECOND = ("der", "den", "dem", "la", "las", "le", "los", "zu")
+#: A run that begins with no small ASCII letter, in front of another such run or of a particle and one.
+_BIG = r"[^\Wa-z\d_]"
+_PAIR = re.compile(rf"{_BIG}(?:\S|(?<=[ÃÂ])[\x85\xa0])*\s+(?=(?:(?:{'|'.join(_FIRST)})\s+(?:(?:{'|'.join(_SECOND)})\s+)?|d['’])?{_BIG})")
+_INNER = re.compile(rf"(?<=[^\w@.'’-]){_BIG}")
+
+
+def pair_starts(text: str):
+    """Where a pair of capitalised words may begin, in order: every start of NAME and LONG is one."""
+    for m in _PAIR.finditer(text):
+        i, token = m.start(), m.group()
+        if "," in token:  # the family name first, perhaps with a particle
+            if text[i - 1 : i] in ("'", "’") and i > 1:
+                yield i - 2
+            elif (j := back(text, i)) > 0:
+                w = _word(text, j)
+                if text[w:j] in _SECOND and (k := back(text, w)) > 0 and text[(v := _word(text, k)) : k] in _FIRST:
+                    yield v
+                if text[w:j] in _FIRST:
+                    yield w
+        yield i
+        if not token.rstrip().isalpha():
+            for x in _INNER.finditer(text, i + 1, m.end()):
+                yield x.start()
+
+
+def goes_on(text: str, at: int) -> bool:
+    """Spaces, and then a capital letter or what may begin a particle."""
+    n = len(text)
+    if at >= n or not text[at].isspace():
+        return False
+    while at < n and text[at].isspace():
+        at += 1
+    return at < n and (text[at].isupper() or text[at] in "vzdtl")
+
 
 _NUMBER = re.compile(r"\d+|[+(]")
 _GAPS = " \t\u00a0\u202f"
+_DIGIT_OR_GAP = frozenset("0123456789" + _GAPS)
 _STREETS = tuple(
     x
     for w in "straße straÃŸe straÃ\u009fe strasse str. weg gasse allee platz ring stieg ufer graben damm pfad hof hang rain berg bach park markt tor see wall anger steg garten".split()
@@ -155,7 +188,8 @@ def _starts(text: str):
             if text[i - 2 : i].isalpha():
                 ids.append(i - 2)
             continue
-        if n > 3 or n == 3 and after == "-" or n < 3 and (after in _GAPS or after.isalpha()):
+        # one or two digits go on with digits after a space, two also with letters
+        if n > 3 or n == 3 and after == "-" or n == 2 and after.isalpha() or n < 3 and after and after in _GAPS and text[e + 1 : e + 2] in _DIGIT_OR_GAP:
             ids.append(i)
         if n > 1 and before and before in _GAPS:  # two letters, a space, digits
             j = len(text[:i].rstrip(_GAPS)) if text[i - 2 : i - 1] in _GAPS else i - 1
@@ -194,7 +228,7 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     begins, ends, kinds = [], [], []
     for kind, rx, at in (("email", EMAIL, None), ("id", ID, ids), ("address", ADDRESS, places), ("phone", PHONE, phones)):
         if at is None:
-            hits = [m.span() for m in rx.finditer(text)] if EMAIL_HINT.search(text) else []
+            hits = [m.span() for m in rx.finditer(text)] if any(x in text for x in EMAIL_HINTS) else []
         else:
             hits, free = [], 0
             for i in at:

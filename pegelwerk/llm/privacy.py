@@ -97,8 +97,7 @@ def candidates(text: str, norm=plain):
     for a, b, kind in direct:
         yield a, b, kind, text[a:b], *[None] * 9
     near, k, pairs = bool(direct), 0, []
-    for start in patterns.PAIR.finditer(text):
-        at = start.start()
+    for at in patterns.pair_starts(text):
         while k < len(direct) and direct[k][1] <= at:
             k += 1
         free = direct[k][0] if k < len(direct) else len(text)
@@ -107,7 +106,8 @@ def candidates(text: str, norm=plain):
         found = []
         if m := patterns.NAME.match(text, at):
             found.append((m.end(), m["first"], m["last"], None, None))
-        if m := patterns.LONG.match(text, at):
+        # after a short name a longer one goes on with a capital letter or a particle
+        if (not m or patterns.goes_on(text, m.end())) and (m := patterns.LONG.match(text, at)):
             found += _longer(m)
         if not found or min(x[0] for x in found) > free:
             continue
@@ -166,7 +166,7 @@ def seeds(cands: DataFrame, bits: float = 5.0, least: int = 2) -> DataFrame:
 
     No initials; and no terms that mostly stand before another seed: these announce.
     """
-    both = _pairs(cands).groupBy("given", "family").agg(F.count(F.lit(1)).alias("n"), F.count_if("near").alias("k"), F.count_if("title").alias("t"))
+    both = cut(_pairs(cands).groupBy("given", "family").agg(F.count(F.lit(1)).alias("n"), F.count_if("near").alias("k"), F.count_if("title").alias("t")))
     terms = both.groupBy("given").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("others"))
     base = terms.agg((F.sum("k") / F.sum("n")).alias("b"))  # one row, whatever the corpus
     share, b = F.col("k") / F.col("n"), F.col("b")
@@ -189,9 +189,8 @@ def counted(cands: DataFrame, known: DataFrame) -> DataFrame:
     behind = bounded(pairs.filter(~F.col("comma")).join(known, "given", "left_semi").select("family").distinct())
     over = pairs.filter(F.col("over").isNotNull()).select("doc_id", "start", F.explode("over").alias("x")).withColumn("x", F.split("x", "\t"))
     over = over.select("doc_id", "start", F.col("x")[0].alias("given"), F.try_element_at("x", F.lit(2)).alias("family"))
-    plainly = over.filter(F.col("family").isNull())
-    led = plainly.join(known, "given", "left_semi").unionByName(plainly.filter(F.col("given").endswith(".")))
-    led = led.unionByName(over.filter(F.col("family").isNotNull()).join(known, "given", "left_semi").join(behind, "family", "left_semi").select(*over.columns))
+    over = over.join(known.withColumn("_seed", F.lit(True)), "given", "left").join(behind.withColumn("_behind", F.lit(True)), "family", "left")
+    led = over.filter((F.col("family").isNull() & (F.col("given").endswith(".") | F.col("_seed"))) | (F.col("_seed") & F.col("_behind")))
     return pairs.join(bounded(led.select("doc_id", "start").distinct()), ["doc_id", "start"], "left_anti")
 
 
@@ -240,7 +239,7 @@ def disclosure(pairs: DataFrame, smoothing: float = 2.0, firm: float = 0.25) ->
     given term with a share of ``firm`` or more; ``share`` = (announced + smoothing * base) / (n + smoothing),
     where base is the corpus' share; ``bits`` is what the term tells: log2(share / base).
     """
-    both = pairs.groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k"))
+    both = cut(pairs.groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k")))
     base = F.broadcast(both.agg((F.sum("k") / F.sum("n")).alias("base")))  # one row, whatever the corpus
     share = (F.col("announced") + smoothing * F.col("base")) / (F.col("n") + smoothing)
 
