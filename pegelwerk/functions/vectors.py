@@ -56,3 +56,9 @@ def softmax(v: Column, scale: float) -> Column:
     e = F.transform(v, lambda x: F.exp((x - m) * scale))
     total = F.aggregate(e, F.lit(0.0), lambda s, x: s + x)
     return F.transform(e, lambda x: x / total)
+
+
+def category_label(scores: dict[str, Column], least: float, otherwise: str) -> Column:
+    """The category with the highest score, of equal ones the first given; ``otherwise`` if none reaches ``least``."""
+    best = F.array_min(F.array(*[F.struct((-v).alias("n"), F.lit(i).alias("i"), F.lit(k).alias("k")) for i, (k, v) in enumerate(scores.items())]))
+    return F.when(-best["n"] < least, otherwise).otherwise(best["k"])

@@ -94,4 +94,15 @@ SQL = {
         SELECT *, 'gemessen' AS art FROM m UNION ALL SELECT *, 'beleg' FROM e ANTI JOIN m USING (messstelle, tag)""",
     "checks": f"""WITH {SECONDS}, d AS (SELECT count(*) AS n, 10 * log10(avg(pow(10, leq / 10))) AS l, min(leq) AS a, max(leq) AS z FROM s GROUP BY messstelle, tag)
         SELECT count(*) FILTER (n > 90000) AS zu_viele, count(*) FILTER (l > z + 1e-9) AS ueber_max, count(*) FILTER (l < a - 1e-9) AS unter_min, count(*) AS tage FROM d""",
+    "cluster_verdicts": """WITH v AS (SELECT label, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c, embedding[4]::DOUBLE AS d FROM embeddings),
+        u AS (SELECT label, exp(4 * a / n) AS a, exp(4 * b / n) AS b, exp(4 * c / n) AS c, exp(4 * d / n) AS d FROM (SELECT *, sqrt(a * a + b * b + c * c + d * d) AS n FROM v)),
+        s AS (SELECT label, a / t AS w, b / t AS x, c / t AS y, d / t AS z FROM (SELECT *, a + b + c + d AS t FROM u)),
+        g AS (SELECT *, CASE greatest(w, x, y, z) WHEN w THEN 'w' WHEN x THEN 'x' WHEN y THEN 'y' ELSE 'z' END AS sieger FROM s),
+        k AS (SELECT label, max(n) / sum(n) AS konsens FROM (SELECT label, sieger, count(*) AS n FROM g GROUP BY ALL) GROUP BY label),
+        m AS (SELECT label, avg(w) AS w, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM s GROUP BY label),
+        o AS (SELECT *, list_reverse_sort([w, x, y, z]) AS l, CASE greatest(w, x, y, z) WHEN w THEN 'w' WHEN x THEN 'x' WHEN y THEN 'y' ELSE 'z' END AS kandidat FROM m),
+        p AS (SELECT label, kandidat, l[1] AS punkte, l[1] - l[2] AS abstand, konsens FROM o JOIN k USING (label)),
+        c AS (SELECT *, greatest(0.0, least(1.0, 0.4 * least(1.0, punkte / 0.5) + 0.3 * konsens + 0.2 * least(1.0, abstand / 0.2))) AS konfidenz FROM p)
+        SELECT label, kandidat, round(punkte, 6) AS punkte, round(abstand, 6) AS abstand, round(konsens, 6) AS konsens, round(konfidenz, 6) AS konfidenz,
+        CASE WHEN konfidenz >= 0.72 AND konsens >= 0.6 AND punkte >= 0.24 AND abstand >= 0.035 AND (kandidat <> 'w' OR (konfidenz >= 0.8 AND punkte >= 0.41 AND abstand >= 0.15 AND konsens >= 0.999)) THEN 'automatisch' ELSE 'pruefen' END AS urteil FROM c""",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pegelwerk.functions import levels as L
 from pegelwerk.functions import text as T
+from pegelwerk.functions import vectors as X
 from pegelwerk.operators import intervals as V
 from pegelwerk.operators import recovery as R
 from pegelwerk.operators import seconds as S
@@ -247,12 +248,32 @@ def model_results(spark, sf_dir):
     return r.groupBy("r.label").agg(F.count(F.lit(1)).alias("anzahl"), F.round(F.sum("r.confidence"), 4).alias("summe"), F.max(F.array_join("r.sample_labels", ",")).alias("proben"))
 
 
+def bin_presence(spark, sf_dir):
+    """All labels of each ten-minute bin: W-14."""
+    e = _events(spark, sf_dir).filter(F.col("Timestamp_ms").isNotNull() & F.col("label").isNotNull())
+    return e.groupBy("messstelle", _whole(F.col("Timestamp_ms"), 600_000).alias("bin")).agg(F.array_join(F.array_sort(F.collect_set("label")), ", ").alias("labels"))
+
+
+def cluster_medians(spark, sf_dir):
+    """Medians of the clips' features by label: A-37."""
+    e = table(spark, sf_dir, "relevante_ereignisse")
+    label = O.precedence("Laermquelle_KI", "Laermquelle_Auto").alias("label")
+    return e.groupBy(label).agg(F.count(F.lit(1)).alias("zeilen"), *[F.round(F.median(c), 6).alias(c) for c in ("centroid_Hz", "impuls_crest", "silbentakt", "grundton")])
+
+
+def category_labels(spark, sf_dir):
+    """The category with the most of a vector's positive part, or the surroundings under 0.02: N-03."""
+    v = F.transform(X.doubles(F.col("embedding")), lambda x: F.greatest(x, F.lit(0.0)) / 20)
+    e = table(spark, sf_dir, "embeddings").select("vec_id", X.category_sums(v, {"a": [0, 1, 2, 3], "b": [4, 5], "c": [6, 7, 8], "d": [9]}).alias("s"))
+    return e.select("vec_id", X.category_label({k: F.round(f"s.{k}", 9) for k in "abcd"}, 0.02, "umgebung").alias("kategorie"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         merged_seconds_full, merge_validation, relevant_events, rule_in_force, phase_sources, bin_colours, phase_counters, sorted_phases, file_day_modal, ab_totals, interval_shares,
         first_seen_larger, keep_first_by_class, latest_file_per_day, changed_days, day_calendar, coverage_labels, episode_numbers, interval_merge_day, nearest_on_grid, subset_check,
-        content_types, model_results,
+        content_types, model_results, bin_presence, cluster_medians, category_labels,
     )
 }
 _LAB = """k AS (SELECT WAV, min(messstelle) AS messstelle, min(Timestamp_ms // 1000) AS second, max(dBA) AS dba, max(nullif(trim(Laermquelle_geprueft), '')) AS hand,
@@ -337,4 +358,10 @@ SQL = {
             WHEN length(split_part(t, E'\\n', 1)) - length(replace(split_part(t, E'\\n', 1), ';', '')) >= 2 OR length(split_part(t, E'\\n', 1)) - length(replace(split_part(t, E'\\n', 1), ',', '')) >= 2 THEN 'CSV' ELSE 'TEXT' END AS typ, count(*) AS anzahl FROM x GROUP BY 1""",
     "model_results": """SELECT CASE event_type WHEN 'purchase' THEN 'kauf' WHEN 'click' THEN 'click' WHEN 'view' THEN 'view' ELSE 'unklar' END AS label, count(*) AS anzahl,
         round(sum(greatest(0, least(1, value / 100))), 4) AS summe, 'click,x,view' AS proben FROM events GROUP BY 1""",
+    "bin_presence": f"WITH {_E} SELECT messstelle, Timestamp_ms // 600000 AS bin, string_agg(DISTINCT label, ', ' ORDER BY label) AS labels FROM e WHERE Timestamp_ms IS NOT NULL AND label IS NOT NULL GROUP BY ALL",
+    "cluster_medians": """SELECT coalesce(nullif(trim(Laermquelle_KI), ''), nullif(trim(Laermquelle_Auto), '')) AS label, count(*) AS zeilen, round(median(centroid_Hz), 6) AS centroid_Hz, round(median(impuls_crest), 6) AS impuls_crest,
+        round(median(silbentakt), 6) AS silbentakt, round(median(grundton), 6) AS grundton FROM relevante_ereignisse GROUP BY 1""",
+    "category_labels": """WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(x::DOUBLE, 0) / 20) AS v FROM embeddings),
+        s AS (SELECT vec_id, round(v[1] + v[2] + v[3] + v[4], 9) AS a, round(v[5] + v[6], 9) AS b, round(v[7] + v[8] + v[9], 9) AS c, round(v[10], 9) AS d FROM p)
+        SELECT vec_id, CASE WHEN greatest(a, b, c, d) < 0.02 THEN 'umgebung' WHEN a = greatest(a, b, c, d) THEN 'a' WHEN b = greatest(a, b, c, d) THEN 'b' WHEN c = greatest(a, b, c, d) THEN 'c' ELSE 'd' END AS kategorie FROM s""",
 }
