@@ -159,7 +159,7 @@ def _common(items: DataFrame, least: int) -> frozenset:
 
 
 def windows(docs: DataFrame, items: DataFrame, size: int = 10, least: int = 3, fixed: int = 4, bound: int = 2_000_000) -> DataFrame:
-    """docs (doc_id, text), items (item_id, text) -> (doc_id, pos, w, item_id, item_pos, item_w): windows with equal keys."""
+    """docs (doc_id, text), items (item_id, text) -> (doc_id, pos, w, item_id, item_pos, item_w, item_n): windows with equal keys, and how many windows the item has."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropna()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).dropna()
     common = _common(items, least)
@@ -169,7 +169,8 @@ def windows(docs: DataFrame, items: DataFrame, size: int = 10, least: int = 3, f
     wanted = np.sort(hashes) if len(hashes) <= bound else None
     run, schema = _scanner(size, fixed, common, wanted, "doc_id")
     hits = docs.mapInArrow(run, schema)
-    of_items = of_items.select("h", "item_id", F.col("pos").alias("item_pos"), F.col("w").alias("item_w"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("item_id"))
+    of_items = of_items.select("h", "item_id", F.col("pos").alias("item_pos"), F.col("w").alias("item_w"), n.alias("item_n"))
     if wanted is not None:
         of_items = bounded(of_items)
     return hits.join(of_items, "h").drop("h")
@@ -183,12 +184,13 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     return windows(docs, items, size).filter(F.col("w") == F.col("item_w")).select("doc_id", "item_id").distinct()
 
 
-def reparameterised(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
+def reparameterised(docs: DataFrame, items: DataFrame, size: int = 10, share: float = 0.5) -> DataFrame:
     """(doc_id, item_id, fenster, geaendert): items whose template stands in the text with slots that change one to one.
 
     A passage is a run of matching windows at one distance between text and item.  Over the whole of it each
     word of the item must always have become the same word of the text, and no two the same; of a passage in which
-    that is not so only windows shared word for word count.  ``fenster`` counts the text's windows, ``geaendert``
+    that is not so only windows shared word for word count.  A sentence or two built alike are no re-parameterised
+    item: passages must cover ``share`` of the item's windows, or hold one word for word.  ``fenster`` counts the text's windows, ``geaendert``
     those with other slot values.
     """
     w = windows(docs, items, size).withColumn("off", F.col("pos") - F.col("item_pos"))
@@ -198,8 +200,12 @@ def reparameterised(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFr
     pairs = F.arrays_zip(F.split("item_w", " ").alias("a"), F.split("w", " ").alias("b"))
     same = F.col("w") == F.col("item_w")
     runs = w.groupBy("doc_id", "item_id", "off", "run").agg(
-        F.array_distinct(F.flatten(F.collect_list(pairs))).alias("p"), F.collect_list(F.struct("pos", same.alias("same"))).alias("at")
+        F.array_distinct(F.flatten(F.collect_list(pairs))).alias("p"), F.collect_list(F.struct("pos", "item_pos", same.alias("same"))).alias("at"), F.first("item_n").alias("item_n")
     )
     one = (F.size(F.array_distinct("p.a")) == F.size("p")) & (F.size(F.array_distinct("p.b")) == F.size("p"))
-    kept = runs.select("doc_id", "item_id", F.explode(F.when(one, F.col("at")).otherwise(F.filter("at", lambda x: x["same"]))).alias("x"))
-    return kept.groupBy("doc_id", "item_id").agg(F.countDistinct("x.pos").alias("fenster"), F.countDistinct(F.when(~F.col("x.same"), F.col("x.pos"))).alias("geaendert"))
+    kept = runs.select("doc_id", "item_id", "item_n", F.explode(F.when(one, F.col("at")).otherwise(F.filter("at", lambda x: x["same"]))).alias("x"))
+    found = kept.groupBy("doc_id", "item_id").agg(
+        F.countDistinct("x.pos").alias("fenster"), F.countDistinct(F.when(~F.col("x.same"), F.col("x.pos"))).alias("geaendert"),
+        (F.countDistinct("x.item_pos") / F.first("item_n")).alias("_share"), F.max("x.same").alias("_same"),
+    )
+    return found.filter(F.col("_same") | (F.col("_share") >= share)).drop("_share", "_same")

@@ -78,6 +78,16 @@ def test_windows_without_common_words_are_no_template(spark):
     assert {tuple(x) for x in leaks.leaks(d, i).collect()} == {(0, 0)}
 
 
+def test_one_sentence_built_alike_is_no_item(spark):
+    """Of an item of four sentences one with other names is chance; three of four are the item."""
+    s = ["Das Theater in {} malt den alten Brunnen aus {} und zaehlt Sterne statt Schafe", "Im Garten von {} liest die Imkerin dem Wind von {} einen langen Brief vor", "Am Hafen von {} wartet der Fischer aus {} lange auf ein Schiff aus Holz", "Im Turm von {} backt der Koch aus {} Brot fuer den ganzen langen Winter"]
+    name = lambda k: "lu" + "".join("abcdefghij"[int(c)] for c in str(1000 + k)) + "m"
+    made = lambda k, n=4: ". ".join(x.format(name(k + 2 * i), name(k + 2 * i + 1)) for i, x in enumerate(s[:n]))
+    items = spark.createDataFrame([(i, made(10 * i)) for i in range(3)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(0, made(500, 1)), (1, made(600, 3)), (2, made(700, 4))], "doc_id bigint, text string")
+    assert {x.doc_id for x in leaks.reparameterised(docs, items).collect()} == {1, 2}
+
+
 def test_slots_change_one_to_one_over_the_whole_passage(spark):
     text = "Wenn {0} und {1} am See neben dem alten Haus stehen, dann ruft {0} laut nach {1} und auch nach dem Hund im Garten"
     items = [(k, text.format(a, b)) for k, (a, b) in enumerate([("Larwik", "Solik"), ("Ostum", "Tasik"), ("Fenau", "Xelik")])]
