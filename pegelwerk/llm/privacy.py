@@ -23,8 +23,8 @@ is left but exceeds the threshold by itself is generalised to the placeholder as
 
 Scale: each text is read once by the scan, which writes one small row per candidate;
 counts are combined before the shuffle (a term or context with a third of all
-occurrences is one row per task); only disclosing terms and cues are joined back.  No
-term table or text is collected.
+occurrences is one row per task); only disclosing terms and cues are joined back, from
+tables whose size Spark knows when it plans the join.  No term table or text is collected.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pegelwerk.llm import patterns
-from pegelwerk.plans.lineage import bounded, cut, written
+from pegelwerk.plans.lineage import written
 
 SCHEMA = "doc_id long, start int, end int, typ string, wert string, given string, family string, more string, before string, before2 string, particle string, over array<string>, title boolean, near boolean"
 #: What two terms of a name may leave open together.
@@ -166,7 +166,7 @@ def seeds(cands: DataFrame, bits: float = 5.0, least: int = 2) -> DataFrame:
 
     No initials; and no terms that mostly stand before another seed: these announce.
     """
-    both = cut(_pairs(cands).groupBy("given", "family").agg(F.count(F.lit(1)).alias("n"), F.count_if("near").alias("k"), F.count_if("title").alias("t")))
+    both = written(_pairs(cands).groupBy("given", "family").agg(F.count(F.lit(1)).alias("n"), F.count_if("near").alias("k"), F.count_if("title").alias("t")))
     terms = both.groupBy("given").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("others"))
     base = terms.agg((F.sum("k") / F.sum("n")).alias("b"))  # one row, whatever the corpus
     share, b = F.col("k") / F.col("n"), F.col("b")
@@ -175,7 +175,7 @@ def seeds(cands: DataFrame, bits: float = 5.0, least: int = 2) -> DataFrame:
     varied = F.col("others") >= F.greatest(F.lit(least), F.col("n") / 4)
     hit = ((share > 2 * b) & (info >= bits) & varied) | (F.col("t") / (F.col("n") + 2) >= 0.125)
     known = terms.join(F.broadcast(base)).filter(hit & ~F.col("given").endswith(".") & ~F.col("given").isin(*sorted({plain(t) for t in patterns.TITLES})))
-    known = bounded(known.select("given", "n"))
+    known = known.select("given", "n")
     before = both.join(known.select(F.col("given").alias("family")), "family", "left_semi").groupBy("given").agg(F.sum("n").alias("before"))
     return known.join(before, "given", "left").filter(F.coalesce("before", F.lit(0)) * 2 <= F.col("n")).select("given")
 
@@ -186,12 +186,13 @@ def counted(cands: DataFrame, known: DataFrame) -> DataFrame:
     With the family term first ("Regards, Ida Holm") it must also stand behind a seed elsewhere.
     """
     pairs = _pairs(cands).withColumn("comma", F.col("wert").contains(","))
-    behind = bounded(pairs.filter(~F.col("comma")).join(known, "given", "left_semi").select("family").distinct())
+    behind = pairs.filter(~F.col("comma")).join(known, "given", "left_semi").select("family").distinct()
     over = pairs.filter(F.col("over").isNotNull()).select("doc_id", "start", F.explode("over").alias("x")).withColumn("x", F.split("x", "\t"))
     over = over.select("doc_id", "start", F.col("x")[0].alias("given"), F.try_element_at("x", F.lit(2)).alias("family"))
     over = over.join(known.withColumn("_seed", F.lit(True)), "given", "left").join(behind.withColumn("_behind", F.lit(True)), "family", "left")
     led = over.filter((F.col("family").isNull() & (F.col("given").endswith(".") | F.col("_seed"))) | (F.col("_seed") & F.col("_behind")))
-    return pairs.join(bounded(led.select("doc_id", "start").distinct()), ["doc_id", "start"], "left_anti")
+    free = pairs.join(led.select("doc_id", "start").distinct(), ["doc_id", "start"], "left_anti")
+    return free.select("given", "family", "before", "before2", "title", "comma")
 
 
 def cues(pairs: DataFrame, known: DataFrame, place: str) -> DataFrame:
@@ -208,21 +209,21 @@ def learned(pairs: DataFrame, known: DataFrame, share: float = 0.5, smoothing: f
     The longer context's share is smoothed towards the shorter one's; as false it is kept where it contradicts it.
     """
     part = F.col("k") / (F.col("n") + smoothing)
-    one = bounded(cues(pairs, known, "before").filter((F.col("others") > 1) & (part >= share)).select("before", part.alias("one")))
+    one = written(cues(pairs, known, "before").filter((F.col("others") > 1) & (part >= share)).select("before", part.alias("one")))
     two = cues(pairs, known, "before2").withColumn("before", F.substring_index("before2", " ", -1)).join(one, "before", "left")
     hit = (F.col("k") + smoothing * F.coalesce("one", F.lit(0.0))) / (F.col("n") + smoothing) >= share
     two = two.withColumn("two", hit & ((F.col("others") > 1) | F.col("one").isNotNull())).filter(F.col("two") | F.col("one").isNotNull())
-    return one, bounded(two.select("before2", "two"))
+    return one, written(two.select("before2", "two"))
 
 
 class Knowledge:
     """What a corpus says about its terms: cues, and the disclosure of given and family terms."""
 
     def __init__(self, cands: DataFrame):
-        known = bounded(seeds(cands))
-        pairs = counted(cands, known)
+        known = written(seeds(cands))
+        pairs = written(counted(cands, known))
         self.one, self.two = learned(pairs, known)
-        self.terms = {role: bounded(t.filter(F.col("share") >= 2.0 ** -(BITS + 4))) for role, t in disclosure(self.marked(pairs)).items()}
+        self.terms = {role: written(t.filter(F.col("share") >= 2.0 ** -(BITS + 4))) for role, t in disclosure(self.marked(pairs)).items()}
 
     def marked(self, rows: DataFrame) -> DataFrame:
         """rows with ``cue``: a word of address or a learned context stands right before. The longer context decides, if it is known."""
@@ -239,7 +240,7 @@ def disclosure(pairs: DataFrame, smoothing: float = 2.0, firm: float = 0.25) ->
     given term with a share of ``firm`` or more; ``share`` = (announced + smoothing * base) / (n + smoothing),
     where base is the corpus' share; ``bits`` is what the term tells: log2(share / base).
     """
-    both = cut(pairs.groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k")))
+    both = written(pairs.groupBy("given", "family", "comma").agg(F.count(F.lit(1)).alias("n"), F.count_if("cue").alias("k")))
     base = F.broadcast(both.agg((F.sum("k") / F.sum("n")).alias("base")))  # one row, whatever the corpus
     share = (F.col("announced") + smoothing * F.col("base")) / (F.col("n") + smoothing)
 
@@ -249,7 +250,7 @@ def disclosure(pairs: DataFrame, smoothing: float = 2.0, firm: float = 0.25) ->
         return t.select("term", "n", "announced", "share", F.log2(F.col("share") / F.col("base")).alias("bits"))
 
     given = terms(both, "given", F.col("k"))
-    sure = bounded(given.filter(F.col("share") >= firm).select(F.col("term").alias("given"), F.col("share").alias("_s")))
+    sure = given.filter(F.col("share") >= firm).select(F.col("term").alias("given"), F.col("share").alias("_s"))
     behind = F.when(F.col("comma"), F.col("k")).otherwise(F.greatest(F.col("k").cast("double"), F.col("n") * F.coalesce("_s", F.lit(0.0))))
     last = both.withColumn("n", F.when(F.col("comma"), F.col("k")).otherwise(F.col("n"))).filter("n > 0")
     return {"given": given, "family": terms(last.join(sure, "given", "left"), "family", behind)}
