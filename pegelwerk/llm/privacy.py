@@ -164,18 +164,22 @@ def _pairs(cands: DataFrame) -> DataFrame:
 def seeds(cands: DataFrame, bits: float = 5.0, least: int = 2) -> DataFrame:
     """(given): terms whose texts hold direct identifiers beyond chance, or that words of address stand before.
 
-    No initials; and no terms that mostly stand before another seed: these announce.
+    What goes with a term varies if it is a quarter of its occurrences or, however many these are, leaves ``BITS`` bits open.
+    No initials; no terms that stand behind capitalised words more often than before them: these are family terms;
+    and no terms that mostly stand before another seed: these announce.
     """
     both = written(_pairs(cands).groupBy("given", "family").agg(F.count(F.lit(1)).alias("n"), F.count_if("near").alias("k"), F.count_if("title").alias("t")))
-    terms = both.groupBy("given").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("others"))
+    terms = both.groupBy("given").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("others"), F.sum(F.col("n") * F.log2("n")).alias("same"))
     base = terms.agg((F.sum("k") / F.sum("n")).alias("b"))  # one row, whatever the corpus
     share, b = F.col("k") / F.col("n"), F.col("b")
     gain = lambda p, q: F.when(p > 0, p * F.log2(p / q)).otherwise(0.0)
     info = F.col("n") * (gain(share, b) + gain(1 - share, 1 - b))
-    varied = F.col("others") >= F.greatest(F.lit(least), F.col("n") / 4)
+    goes_with = F.log2("n") - F.col("same") / F.col("n")  # entropy: numbers of different ones stop growing with the corpus
+    varied = (F.col("others") >= least) & ((F.col("others") >= F.col("n") / 4) | (goes_with >= BITS))
     hit = ((share > 2 * b) & (info >= bits) & varied) | (F.col("t") / (F.col("n") + 2) >= 0.125)
     known = terms.join(F.broadcast(base)).filter(hit & ~F.col("given").endswith(".") & ~F.col("given").isin(*sorted({plain(t) for t in patterns.TITLES})))
-    known = known.select("given", "n")
+    behind = both.groupBy(F.col("family").alias("given")).agg(F.sum("n").alias("behind"))
+    known = written(known.join(behind, "given", "left").filter(F.coalesce("behind", F.lit(0)) <= F.col("n")).select("given", "n"))
     before = both.join(known.select(F.col("given").alias("family")), "family", "left_semi").groupBy("given").agg(F.sum("n").alias("before"))
     return known.join(before, "given", "left").filter(F.coalesce("before", F.lit(0)) * 2 <= F.col("n")).select("given")
 

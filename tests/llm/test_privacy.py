@@ -123,3 +123,26 @@ def test_other_names_titles_and_labels(spark):
     got = names(spark, docs)
     both = len(got & truth)
     assert both / len(truth) >= 0.95 and both / len(got) >= 0.95, (both, len(truth), len(got), sorted(got - truth)[:9], sorted(truth - got)[:9])
+
+
+@pytest.mark.parametrize("repeats", [3, 8])
+def test_names_of_a_corpus_that_has_all_of_them_often(spark, repeats):
+    """Neither more pairs of the same terms nor family terms with much evidence of their own make given terms less of a sign."""
+    import random
+
+    r = random.Random(5)
+    given = "Ainhoa Bertil Csilla Dragan Eirik Gorka Hjalmar Ioana Katalin Mireia".split()
+    family = [a + b for a in "Lind Arza Kova Petro Sund Iriar".split() for b in "gren vic nyi qvist".split()]
+    things = [a + b for a in "Kran Pumpe Turm Halle Tor Rohr".split() for b in "nord ost west mitte grund".split()]
+    docs, truth = [], set()
+    for g in given:
+        for f in family * repeats:
+            i = len(docs)
+            text = r.choice(["Firmado: {n} {t} fertig.", "heute prüft {n} {t} allein.", "laut {n} läuft alles."]).format(n=f"{g} {f}", t=r.choice(things))
+            docs.append((i, text + (f" x{i}@obra.example" if r.random() < 0.6 else "")))
+            truth.add((i, f"{g} {f}"))
+            for _ in range(4):
+                docs.append((len(docs), "{} {} steht.".format(*r.sample(things, 2)) + (f" x{i}@obra.example" if r.random() < 0.05 else "")))
+    got = names(spark, docs)
+    both = len(got & truth)
+    assert both / len(truth) >= 0.95 and both / len(got) >= 0.95, (both, len(truth), len(got), sorted(got - truth)[:9], sorted(truth - got)[:9])
