@@ -7,19 +7,20 @@ own).  Each column is voted on with the values' weights, a value without a token
 votes for none; the winning tokens are the consensus, and the existing value closest to
 it survives, of equally close ones the more trusted.
 
-A value that outweighs all others together has the most votes in every column, so the
-consensus is that value and nothing needs to be aligned: exact, and decided on the JVM.
-
 Weights: ``"first"`` halves the weight from one value to the next in order of trust, so
-that the best row's value outweighs all later ones and missing fields are filled from the
-best row that has them: the majority rule always decides.  ``"vote"`` weighs a value by
-its rows, each by 1 / (1 + rank).
-
-Scale: rows of a group are combined before they move, so a group with a third of all
-rows is one row per task.  Under "vote" only groups without majority reach Python, one
-value and its seed at a time, in parallel; votes and distances are combined again.  No
-group is in one task, and groups of all sizes go the same way.  An alignment costs the
-product of what lies between the common beginning and end of two values.
+that missing fields are filled from the best row that has them: every group with
+different values is aligned, voted and measured, and the best row's value wins each
+column, since it outweighs all later ones together.  ``"vote"`` weighs a value by its
+rows, each by 1 / (1 + rank); there a value that outweighs all others together has the
+most votes in every column and is taken without aligning.
+
+Scale: keys that occur twice are counted first and written, so that of all other rows
+nothing moves once Spark knows them to be few; a group's values are combined before
+they move, so a group with a third of all rows is one row per value and task.  The
+different values are written once.  One value and its seed at a time reach Python, in
+parallel; votes and distances are combined again.  No group is in one task, and groups
+of all sizes go the same way.  An alignment costs the product of what lies between the
+common beginning and end of two values.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pegelwerk.plans.lineage import written
+
 #: Columns are numbered seed position * STEP, then what is inserted before that position counts on from the one before.
 STEP = 1 << 32
 
@@ -108,39 +111,33 @@ def duplicates(rows: DataFrame, keys: list[str], row_id: str) -> DataFrame:
     """rows whose key occurs twice or more, with the group's smallest row id as ``_group``. Null keys are no group, rows without id in none."""
     rows = rows.dropna(subset=[*keys, row_id])
     twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_group")).filter("_n > 1").drop("_n")
-    return rows.join(twice, keys)
+    return rows.join(written(twice), keys)
 
 
-def representatives(rows: DataFrame, keys: list[str], row_id: str, order: list[Column], fields: list[str], weights: str = "first") -> DataFrame:
-    """rows -> (group, field, row_id), under "vote" also value: the row that gives the surviving value of each field.
-
-    ``group`` is the smallest row id.  ``order``: bigint columns, the best row has the smallest; ties go to
-    the smaller ``row_id``.  A value stands for all rows that have it; its row is the best of them.  A field that no
-    row of the group has filled (null, NaN and blank are not) gives no row; null keys are no group.
-    """
+def different(rows: DataFrame, keys: list[str], row_id: str, order: list[Column], fields: list[str]) -> DataFrame:
+    """rows -> (_group, field, value, _rank, _w): the different values of each field of the groups, their best row's rank and their weight by rows and trust."""
     kinds = dict(rows.dtypes)
     rank = F.struct(*[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).cast("long").alias("id"))
-    if weights == "first":
-        return _first(rows, keys, row_id, rank, {f: is_filled(F.col(f), kinds[f]) for f in fields})
     values = [F.when(is_filled(F.col(f), kinds[f]), F.col(f).cast("string")) for f in fields]
     dup = duplicates(rows.select(*keys, row_id, rank.alias("_rank"), *[v.alias(f"_v{i}") for i, v in enumerate(values)]), keys, row_id)
     each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_v{i}").alias("value")) for i, f in enumerate(fields)])
     long = dup.select("_group", "_rank", F.explode(each).alias("x")).select("_group", "_rank", "x.field", "x.value").filter(F.col("value").isNotNull())
     trust = F.sum(F.lit(1.0) / (1 + F.greatest(F.lit(0).cast("long"), F.col("_rank.o0"))))
-    distinct = long.groupBy("_group", "field", "value").agg(F.min("_rank").alias("_rank"), F.round(trust, 9).alias("_w"))
-    return vote(distinct, ["_group", "field"]).select(F.col("_group").alias("group"), "field", F.col("_rank.id").alias("row_id"), "value")
+    return long.groupBy("_group", "field", "value").agg(F.min("_rank").alias("_rank"), F.round(trust, 9).alias("_w"))
+
 
+def representatives(rows: DataFrame, keys: list[str], row_id: str, order: list[Column], fields: list[str], weights: str = "first") -> DataFrame:
+    """rows -> (group, field, row_id, value): the row that gives the surviving value of each field.
 
-def _first(rows: DataFrame, keys: list[str], row_id: str, rank: Column, has: dict[str, Column]) -> DataFrame:
-    """The values that outweigh all later ones together: of each field the best row's that has it. One aggregation, combined before the shuffle."""
-    slim = rows.dropna(subset=[*keys, row_id]).select(*keys, rank.alias("_rank"), *[h.alias(f"_h{i}") for i, h in enumerate(has.values())])
-    best = [F.min(F.when(F.col(f"_h{i}"), F.col("_rank"))).alias(f"_b{i}") for i in range(len(has))]
-    groups = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_rank.id").alias("_group"), *best).filter("_n > 1")
-    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_b{i}.id").alias("row_id")) for i, f in enumerate(has)])
-    return groups.select(F.col("_group").alias("group"), F.explode(each).alias("x")).select("group", "x.*").filter(F.col("row_id").isNotNull())
+    ``group`` is the smallest row id.  ``order``: bigint columns, the best row has the smallest; ties go to
+    the smaller ``row_id``.  A value stands for all rows that have it; its row is the best of them.  A field that no
+    row of the group has filled (null, NaN and blank are not) gives no row; null keys are no group.
+    """
+    values = written(different(rows, keys, row_id, order, fields))
+    return vote(values, ["_group", "field"], weights).select(F.col("_group").alias("group"), "field", F.col("_rank.id").alias("row_id"), "value")
 
 
-def vote(values: DataFrame, group: list[str]) -> DataFrame:
+def vote(values: DataFrame, group: list[str], weights: str = "vote") -> DataFrame:
     """values (group, value, _rank, _w), each value once -> one row per group, the survivor: (group, value, _rank)."""
 
     @F.pandas_udf("array<struct<c:bigint,t:string>>")
@@ -151,22 +148,29 @@ def vote(values: DataFrame, group: list[str]) -> DataFrame:
     def away(vs: pd.Series, consensus: pd.Series) -> pd.Series:
         return pd.Series([distance(tokens(v), list(c)) for v, c in zip(vs, consensus)], dtype="int32")
 
-    heavy = F.min(F.struct((-F.col("_w")).alias("w"), "_rank", "value")).alias("_b")
-    groups = values.groupBy(*group).agg(F.round(F.sum("_w"), 9).alias("_all"), heavy)
-    major = -F.col("_b.w") * 2 > F.col("_all")
-    decided = groups.filter(major).select(*group, "_b.value", "_b._rank")
-    seeds = groups.filter(~major).select(*group, "_all", F.col("_b.value").alias("_seed"))
+    first = weights == "first"
+    heavy = F.min(F.struct(*[] if first else [(-F.col("_w")).alias("w")], "_rank", "value")).alias("_b")
+    groups = values.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.round(F.sum("_w"), 9).alias("_all"), heavy)
+    # one value has nothing to be aligned with; under trust also one that outweighs the rest
+    done = F.col("_n") == 1 if first else -F.col("_b.w") * 2 > F.col("_all")
+    decided = groups.filter(done).select(*group, "_b.value", "_b._rank")
+    seeds = groups.filter(~done).select(*group, "_all", F.col("_b.value").alias("_seed"))
     open_ = values.join(seeds, group)
-    votes = (
-        open_.select(*group, "_w", "_all", (F.col("value") == F.col("_seed")).alias("_s"), F.explode(placed("_seed", "value")).alias("x"))
-        .groupBy(*group, F.col("x.c").alias("c"), F.col("x.t").alias("t"))
-        .agg(F.sum("_w").alias("_w"), F.max("_s").alias("_s"), F.first("_all").alias("_all"))
-    )
-    best = F.min(F.struct((-F.round("_w", 9)).alias("w"), (~F.col("_s")).alias("s"), "t")).alias("_b")
-    columns = votes.groupBy(*group, "c").agg(best, F.round(F.first("_all") - F.sum("_w"), 9).alias("_none"))
-    # a tie keeps the seed's side: its token in its own columns, none in those that others opened
-    kept = F.when(F.col("c") % STEP == 0, -F.col("_b.w") >= F.col("_none")).otherwise(-F.col("_b.w") > F.col("_none"))
-    consensus = columns.filter(kept).groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("c", "_b.t"))).alias("_c"))
+    votes = open_.select(*group, "_rank", "value", "_w", "_all", (F.col("value") == F.col("_seed")).alias("_s"), F.explode(placed("_seed", "value")).alias("x"))
+    votes = votes.select(*group, "_rank", "value", "_w", "_all", "_s", F.col("x.c").alias("c"), F.col("x.t").alias("t"))
+    # of halving weights the first one outweighs the sum of the others, however many: sums are compared by their best value, without rounding.
+    # The seed is the best of all, so a column that it has no token in is outvoted by those that have none
+    by_rank = lambda: votes.groupBy(*group, "c").agg(F.min(F.struct("_rank", "value", "t", "_s")).alias("_b")).filter("_b._s")
+
+    def by_sum() -> DataFrame:
+        tokens_ = votes.groupBy(*group, "c", "t").agg(F.sum("_w").alias("_w"), F.max("_s").alias("_s"), F.first("_all").alias("_all"))
+        best = F.min(F.struct((-F.round("_w", 9)).alias("w"), (~F.col("_s")).alias("s"), "t")).alias("_b")
+        columns = tokens_.groupBy(*group, "c").agg(best, F.round(F.first("_all") - F.sum("_w"), 9).alias("_none"))
+        # a tie keeps the seed's side: its token in its own columns, none in those that others opened
+        return columns.filter(F.when(F.col("c") % STEP == 0, -F.col("_b.w") >= F.col("_none")).otherwise(-F.col("_b.w") > F.col("_none")))
+
+    columns = by_rank() if first else by_sum()
+    consensus = columns.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("c", "_b.t"))).alias("_c"))
     near = open_.join(consensus, group, "left").withColumn("_d", away("value", F.coalesce(F.transform("_c", lambda x: x["t"]), F.array().cast("array<string>"))))
     closest = near.groupBy(*group).agg(F.min(F.struct("_d", "_rank", "value")).alias("_b")).select(*group, "_b.value", "_b._rank")
     return decided.unionByName(closest)

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pegelwerk.llm.consensus import representatives
+from pegelwerk.llm.consensus import different, vote
+from pegelwerk.plans.lineage import written
 from pegelwerk.sources.tables import table
 
 UNLISTED = 1 << 30
@@ -29,7 +30,7 @@ def _keyed(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
     return df, ["messstelle", "sekunde"]
 
 
-def _survivors(spark: SparkSession, sf_dir: str, name: str, weights: str) -> DataFrame:
+def _values(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     art, by, newest, fields = TABLES[name]
     trust = (
         table(spark, sf_dir, "vertrauen")
@@ -40,12 +41,13 @@ def _survivors(spark: SparkSession, sf_dir: str, name: str, weights: str) -> Dat
     df, keys = _keyed(table(spark, sf_dir, name), name)
     rows = df.select(*keys, "satz_id", newest, by, *fields).withColumn("_by", F.upper(F.trim(F.col(by)))).join(trust, "_by", "left")
     order = [F.coalesce(F.col("_rang").cast("long"), F.lit(UNLISTED)), -F.coalesce(F.col(newest).cast("long"), F.lit(-(1 << 62)))]
-    best = representatives(rows, keys, "satz_id", order, fields, weights)
-    return best.withColumnsRenamed({"group": "gruppe", "field": "feld", "row_id": "satz_id"}).withColumn("tabelle", F.lit(name))
+    return different(rows, keys, "satz_id", order, fields).withColumn("tabelle", F.lit(name))
 
 
 def _all(spark: SparkSession, sf_dir: str, weights: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [_survivors(spark, sf_dir, name, weights) for name in TABLES])
+    values = written(reduce(DataFrame.unionByName, [_values(spark, sf_dir, name) for name in TABLES]))
+    best = vote(values, ["tabelle", "_group", "field"], weights)
+    return best.select("tabelle", F.col("_group").alias("gruppe"), F.col("field").alias("feld"), F.col("_rank.id").alias("satz_id"), "value")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

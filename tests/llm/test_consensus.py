@@ -114,3 +114,24 @@ def test_a_key_with_most_rows(spark):
     for weights in ("first", "vote"):
         assert representatives(df, ["key"], "id", [F.col("rang").cast("long")], ["s"], weights).count() == 1
     assert representatives(df, ["key"], "id", [F.col("rang").cast("long")], ["s"]).first().row_id == 0
+
+
+def test_strict_precedence_goes_through_alignment_vote_and_distance(spark, sf_dir):
+    """Halving weights: groups of all sizes, also beyond what a double can halve; and p5_found takes this way."""
+    from pegelwerk.llm.consensus import vote
+    from pegelwerk.llm.p05 import p5_found
+
+    r = random.Random(6)
+    data, want = [], set()
+    for g, n in enumerate([1, 2, 2, 3, 5, 9, 25, 1200]):
+        values = list(dict.fromkeys(f"Tor {r.randrange(n * 3)} {r.choice(['nord', 'sued b', ''])}" for _ in range(n)))
+        ranks = r.sample(range(10_000), len(values))
+        data += [(g, v, (k, k), 1.0) for v, k in zip(values, ranks)]
+        order = sorted(range(len(values)), key=lambda i: ranks[i])
+        at = order[survivor([values[i] for i in order], [0.5**k for k in range(len(order))])] if n < 30 else order[0]
+        want.add((g, values[at], ranks[at]))
+    df = spark.createDataFrame(data, "g int, value string, _rank struct<o0: bigint, id: bigint>, _w double")
+    best = vote(df, ["g"], "first")
+    assert {(x.g, x.value, x._rank.id) for x in best.collect()} == want
+    for plan in (best, p5_found(spark, sf_dir)):
+        assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") >= 2
