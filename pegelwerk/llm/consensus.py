@@ -117,9 +117,11 @@ def duplicates(rows: DataFrame, keys: list[str], row_id: str) -> DataFrame:
 def different(rows: DataFrame, keys: list[str], row_id: str, order: list[Column], fields: list[str]) -> DataFrame:
     """rows -> (_group, field, value, _rank, _w): the different values of each field of the groups, their best row's rank and their weight by rows and trust."""
     kinds = dict(rows.dtypes)
-    rank = F.struct(*[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).cast("long").alias("id"))
-    values = [F.when(is_filled(F.col(f), kinds[f]), F.col(f).cast("string")) for f in fields]
-    dup = duplicates(rows.select(*keys, row_id, rank.alias("_rank"), *[v.alias(f"_v{i}") for i, v in enumerate(values)]), keys, row_id)
+    # plain columns move; structs and texts are made of the few rows that stay
+    slim = rows.select(*keys, row_id, *[c.cast("long").alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(f).alias(f"_v{i}") for i, f in enumerate(fields)])
+    rank = F.struct(*[F.col(f"_o{i}").alias(f"o{i}") for i in range(len(order))], F.col(row_id).cast("long").alias("id"))
+    values = [F.when(is_filled(F.col(f"_v{i}"), kinds[f]), F.col(f"_v{i}").cast("string")).alias(f"_v{i}") for i, f in enumerate(fields)]
+    dup = duplicates(slim, keys, row_id).select("_group", rank.alias("_rank"), *values)
     each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_v{i}").alias("value")) for i, f in enumerate(fields)])
     long = dup.select("_group", "_rank", F.explode(each).alias("x")).select("_group", "_rank", "x.field", "x.value").filter(F.col("value").isNotNull())
     trust = F.sum(F.lit(1.0) / (1 + F.greatest(F.lit(0).cast("long"), F.col("_rank.o0"))))
